@@ -29,6 +29,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false")
                .config("spark.driver.memory", "16g"))
     for key, value in {**RECOMMENDED_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
