@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from .. import operators as ops
 from ..oracle import AS_OF
 from ..sources import bronze as bronze_io
-from ..sources.fixtures import BRONZE_CUSTOMER_COLUMNS, bronze_customer, load_tables
-from ..warehouse import gold_for, layers_for, silver_for
+from ..sources.fixtures import BRONZE_CUSTOMER_COLUMNS, bronze_customer
+from ..warehouse import gold_for, layers_for, silver_for, source
 from . import explore, reports, trends
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,7 +49,7 @@ def _dim_p(s, d):
 
 
 def _bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bronze_customer(load_tables(spark, sf_dir, ("customer",))["customer"])
+    return bronze_customer(source(spark, sf_dir, "customer"))
 
 
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +86,7 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = load_tables(spark, sf_dir, ("orders",))["orders"].select("o_orderkey", "o_orderdate")
+    orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     keyed = ops.surrogate_key(orders, ["o_orderdate"], "order_key", tiebreak=["o_orderkey"])
     return keyed.select("o_orderkey", "order_key")
 
@@ -109,7 +109,7 @@ def queries() -> dict[str, Query]:
     q["fill_placeholders"] = lambda s, d: ops.fill_unknown(_bronze_rows(s, d),
                                                            ops.cleansing.CUSTOMER_TEXT)
     q["latest_per_key"] = lambda s, d: ops.latest_per_key(
-        load_tables(s, d, ("events",))["events"], ["user_id"], ["ts", "event_id"])
+        source(s, d, "events"), ["user_id"], ["ts", "event_id"])
     q["rename_business"] = lambda s, d: ops.rename(silver_for(s, d)["crm_cust_info"], CUSTOMER_RENAMES)
     q["silver_write"] = silver_write
     # gold

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+SILVER_SOURCES = ("customer", "nation", "part", "orders", "lineitem")
 
 
 def load_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
@@ -96,8 +97,8 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    t = load_tables(spark, sf_dir, ("customer", "nation", "part", "orders", "lineitem"))
+def silver_tables(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Silver frames from loaded test tables (see ``load_tables``)."""
     return {
         "crm_cust_info": crm_cust_info(t["customer"]),
         "erp_cust_az12": erp_cust_az12(t["customer"]),

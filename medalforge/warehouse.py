@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators.gold import build_gold
 from .session import scratch_path
 from .sources.catalog import Layers
-from .sources.fixtures import silver_tables
+from .sources.fixtures import SILVER_SOURCES, load_tables, silver_tables
 
 _BUILT: dict[tuple, dict[str, DataFrame]] = {}
 _LAYERS: dict[tuple, Layers] = {}
+_SOURCES: dict[tuple, dict[str, DataFrame]] = {}
+_SILVER: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, key_mode: str) -> tuple:
@@ -33,8 +35,21 @@ def layers_for(spark: SparkSession, sf_dir: str, key_mode: str = "distributed")
     return _LAYERS[key]
 
 
+def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Handle on one source table; reused so the file listing and footer read happen once."""
+    key = _key(spark, sf_dir, "")
+    tables = _SOURCES.setdefault(key, {})
+    if name not in tables:
+        tables[name] = load_tables(spark, sf_dir, (name,))[name]
+    return tables[name]
+
+
 def silver_for(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return silver_tables(spark, sf_dir)
+    """The six silver frames (lazy plans over the source tables), built once per session."""
+    key = _key(spark, sf_dir, "")
+    if key not in _SILVER:
+        _SILVER[key] = silver_tables({n: source(spark, sf_dir, n) for n in SILVER_SOURCES})
+    return _SILVER[key]
 
 
 def gold_for(spark: SparkSession, sf_dir: str, key_mode: str = "distributed") -> dict[str, DataFrame]:
@@ -47,7 +62,7 @@ def gold_for(spark: SparkSession, sf_dir: str, key_mode: str = "distributed") ->
 
 def forget(spark: SparkSession | None = None) -> None:
     """Drop cached handles (tests); the written files stay in the shared folder."""
-    for cache in (_BUILT, _LAYERS):
+    for cache in (_BUILT, _LAYERS, _SOURCES, _SILVER):
         for k in list(cache):
             if spark is None or k[0] == spark.sparkContext.applicationId:
                 del cache[k]

@@ -119,8 +119,8 @@ def test_layers_write_and_read(spark):
 def test_gold_properties(spark):
     gold = gold_for(spark, SF001)
     fact, dc, dp = gold["fact_sales"], gold["dim_customer_info"], gold["dim_product_info"]
-    from medalforge.sources.fixtures import silver_tables
-    assert fact.count() == silver_tables(spark, SF001)["crm_sales_details"].count()
+    from medalforge.warehouse import silver_for
+    assert fact.count() == silver_for(spark, SF001)["crm_sales_details"].count()
     n = dc.count()
     assert sorted(r.customer_key for r in dc.select("customer_key").collect()) == list(range(1, n + 1))
     rep = {r.dimension: r for r in ops.integrity_report(fact, {
