@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bands import band, safe_ratio
-from ..functions.dates import as_of_date, months_between_boundary, years_between_boundary
+from ..functions.dates import (age_days_based, as_of_date, months_between_boundary,
+                               years_between_boundary)
 from ..functions.text import full_name
 
 # Report labels, fixed values (they are the output). 'Dead' is the reference's
@@ -32,12 +33,16 @@ def _money_ratio(num: str, den: str, when_zero: Column) -> Column:
 
 def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "orders",
                  threshold: float = 5000, months: int = 12, age_labels=AGE_BANDS,
-                 segment_labels=CUSTOMER_SEGMENTS) -> DataFrame:
+                 segment_labels=CUSTOMER_SEGMENTS, age: str = "boundary") -> DataFrame:
     """One row per buying customer (16 columns).
 
     ``vip_on="orders"`` tests the order count against ``threshold`` as the
     reference does; ``vip_on="amount"`` tests the revenue instead.
+    ``age="boundary"`` counts calendar years crossed, as the reference does;
+    ``age="days"`` gives completed years (elapsed days / 365.25).
     """
+    if vip_on not in ("orders", "amount") or age not in ("boundary", "days"):
+        raise ValueError("vip_on must be 'orders' or 'amount'; age 'boundary' or 'days'")
     agg = (fact.where(F.col("order_date").isNotNull()).groupBy("customer_key").agg(
         F.count_distinct("product_key").alias("total_products"),
         F.count_distinct("sales_order_number").alias("total_sales"),
@@ -50,7 +55,8 @@ def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "o
     det = agg.join(d, agg.customer_key == d._dk, "left")
     today = as_of_date(as_of)
     det = det.withColumns({
-        "customer_age": years_between_boundary("customer_birthdate", today),
+        "customer_age": (years_between_boundary("customer_birthdate", today) if age == "boundary"
+                         else age_days_based("customer_birthdate", today)),
         "lifespan": months_between_boundary("first_order", "latest_order_date"),
     })
     age, life = F.col("customer_age"), F.col("lifespan")

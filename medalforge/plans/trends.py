@@ -40,16 +40,38 @@ def sales_by_year_month(fact: DataFrame) -> DataFrame:
     return out.orderBy(F.col("order_year").desc(), F.col("_m")).drop("_m")
 
 
-def monthly_trend(fact: DataFrame, window: int = 3) -> DataFrame:
-    """Month series with running total, rolling mean, average price, AOV, MoM and YoY %.
+def monthly_sales(fact: DataFrame, dense: bool = False) -> DataFrame:
+    """One row per month with sales: total sales, quantity, distinct orders.
 
-    LAG 1 and LAG 12 are previous *rows*, as in the reference; months with no
-    sales are absent, not zero.
+    ``dense=True`` adds the months between the first and the last one that
+    had no sales, with zero totals, so that row offsets equal calendar months.
+    The month calendar is generated from the monthly rows themselves (a few
+    hundred rows at most), never from the fact.
     """
     monthly = _dated(fact).groupBy(month_start("order_date").alias("order_month")).agg(
         F.sum("sales_amount").alias("total_sales"),
         F.sum("quantity").alias("total_quantity"),
         F.count_distinct("sales_order_number").alias("total_units_solds"))
+    if not dense:
+        return monthly
+    calendar = monthly.agg(F.min("order_month").alias("lo"), F.max("order_month").alias("hi")) \
+        .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("order_month"))
+    filled = calendar.join(monthly, "order_month", "left")
+    zero_money = F.lit(0).cast(monthly.schema["total_sales"].dataType)
+    return filled.select(
+        "order_month",
+        F.coalesce("total_sales", zero_money).alias("total_sales"),
+        F.coalesce("total_quantity", F.lit(0).cast("long")).alias("total_quantity"),
+        F.coalesce("total_units_solds", F.lit(0).cast("long")).alias("total_units_solds"))
+
+
+def monthly_trend(fact: DataFrame, window: int = 3, dense: bool = False) -> DataFrame:
+    """Month series with running total, rolling mean, average price, AOV, MoM and YoY %.
+
+    LAG 1 and LAG 12 are previous *rows*, as in the reference; months with no
+    sales are absent unless ``dense=True``.
+    """
+    monthly = monthly_sales(fact, dense)
     w = Window.orderBy("order_month")  # one row per month: a small, bounded series
     sales = F.col("total_sales")
     return monthly.select(
@@ -93,18 +115,20 @@ def product_year_trend(fact: DataFrame, dim_p: DataFrame, corrected: bool = Fals
 
 
 def share_of_total(value: str, dtype: str = "decimal(28,2)") -> tuple[Column, Column]:
-    """(overall total, percent text) of a column over all rows of a small frame."""
+    """(overall total, share in percent rounded to 2 places) over all rows of a small frame."""
     overall = F.sum(value).over(Window.partitionBy())
     share = F.round(F.col(value).cast(dtype) * 100 / F.when(overall != 0, overall), 2)
-    return overall, percent_text(share)
+    return overall, share.cast("decimal(18,2)")
 
 
-def category_contribution(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
+def category_contribution(fact: DataFrame, dim_p: DataFrame, numeric: bool = False) -> DataFrame:
     """Per category: quantity, sales, cost and profit with overall totals and shares.
 
     Cost is the product cost summed once per sales row (not times quantity),
     as in the reference; a category whose costs are all NULL has NULL cost and
-    NULL profit. Sums run per product first, then per category.
+    NULL profit. Sums run per product first, then per category. Shares are
+    text with a '%' sign as in the reference; ``numeric=True`` adds each share
+    as DECIMAL(18,2) too (``category_<measure>_share``).
     """
     per = _dated(fact).groupBy("product_key").agg(
         F.sum("sales_amount").alias("_s"), F.sum("quantity").alias("_q"),
@@ -119,9 +143,11 @@ def category_contribution(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     cols = ["category_name"]
     for measure, label in (("total_quantity", "quantity"), ("total_sales", "sales"),
                            ("total_product_cost", "product_cost"), ("total_profit", "profit")):
-        overall, pct = share_of_total(measure)
+        overall, share = share_of_total(measure)
         cols += [measure, overall.alias(f"overall_{measure}"),
-                 pct.alias(f"category_{label}_percentage")]
+                 percent_text(share).alias(f"category_{label}_percentage")]
+        if numeric:
+            cols.append(share.alias(f"category_{label}_share"))
     return cat.select(*cols).orderBy(F.col("total_sales").desc())
 
 

@@ -199,3 +199,30 @@ def test_top_n_ties_broken_by_name(spark, best):
     p = dim_p(spark, [(k, f"n{8 - k}", "C", 1) for k in range(1, 8)])
     names = [r["product_name"] for r in one(explore.top_products(f, p, 5, best=best))]
     assert names == ["n1", "n2", "n3", "n4", "n5"]
+
+
+def test_dense_months_fill_gaps_with_zero(spark):
+    f = fact_rows(spark, [("O1", 1, 1, date(2000, 1, 5), 100, 1),
+                          ("O2", 1, 1, date(2000, 4, 5), 150, 2)])
+    rows = one(trends.monthly_trend(f, dense=True))
+    assert [r["order_month"] for r in rows] == [date(2000, m, 1) for m in (1, 2, 3, 4)]
+    assert [str(r["total_sales"]) for r in rows] == ["100.00", "0.00", "0.00", "150.00"]
+    assert rows[1]["mom_growth_pct"] == Decimal("-100.00") and rows[3]["mom_growth_pct"] is None
+    assert rows[3]["average_order_value"] == Decimal("150.00")
+
+
+def test_numeric_shares_beside_text(spark):
+    f = fact_rows(spark, [("O1", 1, 1, date(2000, 1, 1), 1, 1), ("O2", 2, 1, date(2000, 1, 1), 2, 1)])
+    p = dim_p(spark, [(1, "a", "Core", 5), (2, "b", "Basic", 7)])
+    rows = {r["category_name"]: r for r in one(trends.category_contribution(f, p, numeric=True))}
+    assert rows["Core"]["category_sales_share"] == Decimal("33.33")
+    assert rows["Basic"]["category_sales_percentage"] == "66.67%"
+
+
+def test_days_based_age(spark):
+    f = fact_rows(spark, [("O1", 1, 1, date(2000, 1, 1), 1, 1)])
+    c = dim_c(spark, [(1, "a", "b", date(1990, 12, 31))])
+    assert one(reports.customer_360(f, c, "2002-01-01"))[0]["customer_age"] == 12
+    assert one(reports.customer_360(f, c, "2002-01-01", age="days"))[0]["customer_age"] == 11
+    with pytest.raises(ValueError):
+        reports.customer_360(f, c, "2002-01-01", vip_on="revenue")
