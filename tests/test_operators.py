@@ -139,12 +139,20 @@ def test_running_total_ends_at_total_sales(spark):
     assert last.cumulative_total_sales == total
 
 
-def test_measure_summary_scans_each_table_once(spark):
+def test_measure_summary_reads_each_column_once(spark):
+    import re
     gold = gold_for(spark, SF001)
     df = explore.measure_summary(gold["fact_sales"], gold["dim_product_info"],
                                  gold["dim_customer_info"])
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("Relation ") == 3
+    assert "Expand" not in df._jdf.queryExecution().optimizedPlan().toString()
+    fact_cols = {"sales_order_number", "product_key", "customer_key", "order_date", "ship_date",
+                 "due_date", "sales_amount", "quantity", "unit_price"}
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    reads = []
+    for m in re.finditer(r"FileScan parquet [^\n]*?fact_sales[^\n]*?ReadSchema: struct<([^>]*)>",
+                         _plan(df)):
+        reads += re.findall(r"(\w+):", m.group(1))
+    assert set(reads) <= fact_cols and len(reads) == len(set(reads)) == 6
     assert df.count() == 8
 
 
