@@ -192,3 +192,17 @@ def test_profile_columns_exact_and_approx(spark):
     assert exact["y"].data_type == "string" and exact["y"].ordinal_position == 2
     approx = {r.column_name: r for r in ops.profile_columns(df, exact=False).collect()}
     assert approx["x"].distinct_count == 2
+
+
+def test_single_partition_exchanges_only_carry_aggregates(spark):
+    """No registered query gathers unaggregated rows into one task."""
+    import __spark_entry__ as entry
+    stops = ("Aggregate", "Scan", "Exchange", "HashJoin", "SortMergeJoin", "Window", "Union",
+             "Expand", "Generate")
+    for name, fn in entry.queries().items():
+        lines = _plan(fn(spark, SF001)).split("\n")
+        for i, line in enumerate(lines):
+            if "Exchange SinglePartition" not in line:
+                continue
+            below = next((l for l in lines[i + 1:] if any(s in l for s in stops)), "")
+            assert "Aggregate" in below, f"{name}: single-partition exchange over {below.strip()[:80]}"
