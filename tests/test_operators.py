@@ -206,3 +206,27 @@ def test_single_partition_exchanges_only_carry_aggregates(spark):
                 continue
             below = next((l for l in lines[i + 1:] if any(s in l for s in stops)), "")
             assert "Aggregate" in below, f"{name}: single-partition exchange over {below.strip()[:80]}"
+
+
+def test_fact_build_split_path_equals_broadcast_path(spark):
+    from medalforge.operators.gold import fact_sales
+    from medalforge.warehouse import silver_for
+    gold, silver = gold_for(spark, SF001), silver_for(spark, SF001)
+    dims = (gold["dim_product_info"], gold["dim_customer_info"])
+    split = fact_sales(silver["crm_sales_details"], *dims, limit_bytes=0)
+    plain = fact_sales(silver["crm_sales_details"], *dims)
+    assert split.count() == plain.count() == gold["fact_sales"].count()
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
+
+
+def test_bronze_keeps_malformed_lines(spark):
+    import os
+    path = scratch_path(spark, "test-corrupt")
+    local = path[5:] if path.startswith("file:") else path
+    os.makedirs(local)
+    with open(f"{local}/raw.csv", "w") as fh:
+        fh.write('a,b\n1,x\n2,"unterminated\n3,y,extra\n')
+    df = ingest(spark, path, "csv", STRING(["a", "b"]), keep_corrupt=True)
+    rows = df.collect()
+    assert any(r["_corrupt_record"] for r in rows)
+    assert [r.a for r in rows if r["_corrupt_record"] is None][0] == "1"
