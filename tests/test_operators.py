@@ -230,3 +230,18 @@ def test_bronze_keeps_malformed_lines(spark):
     rows = df.collect()
     assert any(r["_corrupt_record"] for r in rows)
     assert [r.a for r in rows if r["_corrupt_record"] is None][0] == "1"
+
+
+def test_sql_over_registered_views(spark):
+    from medalforge.plans.views import register_views
+    gold = gold_for(spark, SF001)
+    names = register_views(spark, gold, as_of="2002-01-01")
+    assert "view_customer_analytics" in names
+    top = spark.sql("SELECT * FROM view_customer_analytics "
+                    "ORDER BY total_sales_amount DESC, customer_key LIMIT 100")
+    lib = reports.top_rows(reports.customer_360(gold["fact_sales"], gold["dim_customer_info"],
+                                                "2002-01-01"), "total_sales_amount", "customer_key")
+    assert top.exceptAll(lib).count() == 0 and top.count() == 100
+    n = spark.sql("SELECT COUNT(*) AS n FROM fact_sales f LEFT JOIN dim_product_info p "
+                  "ON f.product_key = p.product_key").first().n
+    assert n == gold["fact_sales"].count()
