@@ -4,7 +4,6 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from medalforge.functions import (full_name, month_start, months_between_boundary,
                                   percent_text, years_between_boundary)
