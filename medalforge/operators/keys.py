@@ -6,7 +6,8 @@ gives the same numbers:
 1. range-partition on the order columns (plus a unique tiebreak, so partition
    bounds can split inside a run of equal values) and sort within partitions;
 2. tag each row with its partition id and its position inside the partition,
-   and checkpoint, so the sampled range bounds are fixed once and both later
+   and checkpoint to the shared folder (persisted first, so the sort is not
+   computed twice), so the sampled range bounds are fixed once and both later
    passes see the same rows in the same partitions;
 3. count rows per partition (one row per partition), turn the counts into
    running offsets, broadcast that table (its size is the partition count) and
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +47,14 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, mode: str = "distri
                 .sortWithinPartitions(*order_cols)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_RID, F.monotonically_increasing_id()))
-    staged = staged.checkpoint(eager=True)
+    # Persist first: an eager reliable checkpoint otherwise computes the sorted
+    # partitions twice (once to count, once to write the checkpoint files).
+    staged.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        checkpointed = staged.checkpoint(eager=True)
+    finally:
+        staged.unpersist()
+    staged = checkpointed
     counts = staged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     offsets = counts.select(
         _PID, (F.sum(_N).over(Window.orderBy(_PID)) - F.col(_N)).alias(_OFF))
