@@ -95,17 +95,20 @@ def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
 def fact_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     """File layout of the written fact: evenly spread, each file sorted by order date.
 
-    The round-robin spread needs no sampling pass over the input (a range
-    partitioning would run the whole fact build once more to pick its bounds)
-    and stays balanced whatever the key skew. Sorting within each file by
+    The spread is a REBALANCE: a round-robin shuffle whose output AQE sizes
+    from the measured data (large partitions split, small ones merged), so
+    files track the data volume instead of a fixed count; ``partitions`` fixes
+    the count instead. Neither needs a sampling pass over the input (a range
+    partitioning would run the whole fact build once more to pick its bounds),
+    and both stay balanced whatever the key skew. Sorting within each file by
     order date clusters row groups by date, so the NULL dates that nearly every
     query excludes sit in row groups the pushed ``IsNotNull`` filter skips, and
     date-range filters prune on min/max statistics. One shuffle per gold build,
     reused by every query.
     """
-    n = partitions or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = fact.hint("rebalance") if partitions is None else fact.repartition(partitions)
     keys = [F.col("order_date").asc_nulls_first(), F.col("sales_order_number")]
-    return fact.repartition(n).sortWithinPartitions(*keys)
+    return spread.sortWithinPartitions(*keys)
 
 
 def build_gold(silver: dict[str, DataFrame], layers: Layers,
