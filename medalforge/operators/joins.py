@@ -3,15 +3,15 @@
 * If the dimension's join projection is provably small (rows and string bytes
   measured by one aggregate over the dimension), it is broadcast: no shuffle of
   the fact at all.
-* Otherwise the fact is shuffled, but three kinds of rows are kept out of the
+* Otherwise the fact is shuffled, but two kinds of rows are kept out of the
   shuffle: NULL keys (they can never match, and would all land in one task),
   and *hot* keys, those holding at least ``hot_fraction`` of the fact rows.
   There are at most ``1 / hot_fraction`` hot keys, so they are fetched as a
-  bounded list and the dimension rows for them form a bounded table that is
-  broadcast to the hot fact rows. The
-  remaining keys each hold less than ``hot_fraction`` of the rows, so the
-  shuffle join on them is balanced. The three parts are unioned back; every
-  fact row appears exactly once.
+  bounded list, and the dimension rows for them (one per key, the dimension
+  being unique on its key) form a bounded table that is broadcast to the hot
+  fact rows. The remaining keys each hold less than ``hot_fraction`` of the
+  rows, so the shuffle join on them is balanced. The three parts (NULL, hot,
+  rest) are unioned back; every fact row appears exactly once.
 """
 
 from __future__ import annotations
