@@ -2,14 +2,14 @@
 
 from .cleansing import (cleanse_customers, drop_critical, enforce_types, fill_unknown,
                         latest_per_key, rename)
-from .gold import (GOLD_ORDER, active_only, build_gold, dim_customer_info, dim_product_info,
+from .gold import (GOLD_ORDER, GoldBuildError, active_only, build_gold, dim_customer_info, dim_product_info,
                    fact_sales, resolve_gender)
 from .joins import left_join_dim, projection_bytes
 from .keys import surrogate_key
 from .quality import integrity_report, profile_columns, profile_tables
 
 __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown",
-           "latest_per_key", "rename", "GOLD_ORDER", "active_only", "build_gold",
+           "latest_per_key", "rename", "GOLD_ORDER", "GoldBuildError", "active_only", "build_gold",
            "dim_customer_info", "dim_product_info", "fact_sales", "resolve_gender",
            "left_join_dim", "projection_bytes", "surrogate_key", "integrity_report",
            "profile_columns", "profile_tables"]

@@ -7,6 +7,8 @@ windows and dimension joins. Here they are materialised once per build
 
 from __future__ import annotations
 
+import logging
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,16 @@ from .keys import surrogate_key
 
 GOLD_ORDER = ("dim_customer_info", "dim_product_info", "fact_sales")
 
+log = logging.getLogger("medalforge.gold")
+
+
+class GoldBuildError(RuntimeError):
+    """A gold table failed to build; ``table`` names it, the cause is chained."""
+
+    def __init__(self, table: str, cause: BaseException):
+        super().__init__(f"building gold table {table!r} failed: {cause}")
+        self.table = table
+
 
 def resolve_gender(master, other) -> Column:
     """Master value unless it is 'Unknown' (or NULL); then the other source, else 'Unknown'."""
@@ -111,26 +123,36 @@ def fact_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
     return spread.sortWithinPartitions(*keys)
 
 
-def build_gold(silver: dict[str, DataFrame], layers: Layers,
-               key_mode: str = "distributed") -> dict[str, DataFrame]:
+def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "distributed",
+               timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
     """Create or replace the gold tables in dependency order; return them read back.
 
     The two dimensions do not depend on each other and are built as two
-    concurrent Spark jobs; the fact, which reads both, follows.
+    concurrent Spark jobs; the fact, which reads both, follows. Seconds per
+    table (and ``total``) are logged and, if ``timings`` is given, stored in it.
+    A failure raises ``GoldBuildError`` naming the table.
     """
-    def customers() -> DataFrame:
-        return layers.write(dim_customer_info(silver["crm_cust_info"], silver["erp_cust_az12"],
-                                              silver["erp_loc_a101"], key_mode),
-                            "gold", "dim_customer_info")
-
-    def products() -> DataFrame:
-        return layers.write(dim_product_info(silver["crm_prd_info"], silver["erp_px_cat_g1v1"],
-                                             key_mode), "gold", "dim_product_info")
+    timings = {} if timings is None else timings
+    started = time.perf_counter()
+
+    def timed(name: str, build) -> DataFrame:
+        t0 = time.perf_counter()
+        try:
+            out = layers.write(build(), "gold", name)
+        except Exception as exc:  # name the table, keep the original cause
+            raise GoldBuildError(name, exc) from exc
+        timings[name] = time.perf_counter() - t0
+        log.info("gold table %s written in %.0f ms", name, 1000 * timings[name])
+        return out
 
     with ThreadPoolExecutor(max_workers=2) as pool:
-        dim_c, dim_p = pool.submit(customers), pool.submit(products)
+        dim_c = pool.submit(timed, "dim_customer_info", lambda: dim_customer_info(
+            silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"], key_mode))
+        dim_p = pool.submit(timed, "dim_product_info", lambda: dim_product_info(
+            silver["crm_prd_info"], silver["erp_px_cat_g1v1"], key_mode))
         out = {"dim_customer_info": dim_c.result(), "dim_product_info": dim_p.result()}
-    out["fact_sales"] = layers.write(
-        fact_layout(fact_sales(silver["crm_sales_details"], out["dim_product_info"],
-                               out["dim_customer_info"])), "gold", "fact_sales")
+    out["fact_sales"] = timed("fact_sales", lambda: fact_layout(fact_sales(
+        silver["crm_sales_details"], out["dim_product_info"], out["dim_customer_info"])))
+    timings["total"] = time.perf_counter() - started
+    log.info("gold layer built in %.0f ms", 1000 * timings["total"])
     return out

@@ -245,3 +245,18 @@ def test_sql_over_registered_views(spark):
     n = spark.sql("SELECT COUNT(*) AS n FROM fact_sales f LEFT JOIN dim_product_info p "
                   "ON f.product_key = p.product_key").first().n
     assert n == gold["fact_sales"].count()
+
+
+def test_build_gold_reports_timings_and_names_failures(spark):
+    from medalforge.operators.gold import GoldBuildError, build_gold
+    from medalforge.warehouse import silver_for
+    silver = silver_for(spark, SF001)
+    layers = Layers(spark, scratch_path(spark, "test-gold"))
+    timings = {}
+    gold = build_gold(silver, layers, timings=timings)
+    assert set(timings) == {"dim_customer_info", "dim_product_info", "fact_sales", "total"}
+    assert gold["fact_sales"].count() == silver["crm_sales_details"].count()
+    broken = dict(silver, crm_sales_details=silver["crm_sales_details"].drop("sls_prd_key"))
+    with pytest.raises(GoldBuildError) as err:
+        build_gold(broken, Layers(spark, scratch_path(spark, "test-gold-bad")))
+    assert err.value.table == "fact_sales"
