@@ -43,8 +43,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
-    sc = spark.sparkContext
+    """Return the session's checkpoint folder, creating a local one only if unset.
+
+    Classic sessions read (and, if needed, set) the SparkContext checkpoint
+    folder; Spark Connect sessions, which have no SparkContext, read
+    ``spark.checkpoint.dir`` from the session configuration.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect
+        sc = None
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -55,6 +68,14 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identifies the running application (used to key per-session caches)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique location under the shared folder."""
     return "/".join([shared_dir(spark), "medalforge", *parts, uuid.uuid4().hex])
@@ -72,5 +93,5 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(text)
 
 
-__all__ = ["build_session", "shared_dir", "scratch_path", "broadcast_limit",
+__all__ = ["build_session", "shared_dir", "scratch_path", "broadcast_limit", "session_id",
            "RECOMMENDED_CONF"]

@@ -14,7 +14,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.gold import build_gold
-from .session import scratch_path
+from .session import scratch_path, session_id
 from .sources.catalog import Layers
 from .sources.fixtures import SILVER_SOURCES, load_tables, silver_tables
 
@@ -25,7 +25,7 @@ _SILVER: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def _key(spark: SparkSession, sf_dir: str, key_mode: str) -> tuple:
-    return (spark.sparkContext.applicationId, os.path.abspath(sf_dir), key_mode)
+    return (session_id(spark), os.path.abspath(sf_dir), key_mode)
 
 
 def layers_for(spark: SparkSession, sf_dir: str, key_mode: str = "distributed") -> Layers:
@@ -64,5 +64,5 @@ def forget(spark: SparkSession | None = None) -> None:
     """Drop cached handles (tests); the written files stay in the shared folder."""
     for cache in (_BUILT, _LAYERS, _SOURCES, _SILVER):
         for k in list(cache):
-            if spark is None or k[0] == spark.sparkContext.applicationId:
+            if spark is None or k[0] == session_id(spark):
                 del cache[k]
