@@ -6,7 +6,10 @@ Usage: python -m tools.compare_strategies [sf_dir] [runs]
   (fact joined to the dimension, then aggregated, as a view would do);
 * measure_summary: per-column aggregates (library) against one multi-distinct
   aggregate per table and against eight UNION ALL branches;
-* surrogate keys: single-partition window against the distributed form.
+* surrogate keys: single-partition window against the distributed form;
+* the reports' two distinct counts: Spark's multi-distinct rewrite (Expand)
+  against per-order then per-customer grouping plus a separate distinct
+  product count, joined back null-safely.
 
 Prints one JSON object with the median warm time of each variant.
 """
@@ -54,6 +57,28 @@ def main(argv: list[str]) -> int:
             F.count_distinct("product_key"), F.count_distinct("sales_order_number"),
             F.sum("sales_amount"), F.sum("quantity"), F.min("order_date"), F.max("order_date"))
 
+    def customer_core_expand():
+        dated = fact.where(F.col("order_date").isNotNull())
+        return dated.groupBy("customer_key").agg(
+            F.count_distinct("product_key").alias("total_products"),
+            F.count_distinct("sales_order_number").alias("total_sales"),
+            F.sum("sales_amount").alias("amount"), F.sum("quantity").alias("qty"),
+            F.min("order_date").alias("first"), F.max("order_date").alias("last"))
+
+    def customer_core_two_level():
+        # per (customer, order) first, then per customer; distinct products apart
+        dated = fact.where(F.col("order_date").isNotNull())
+        orders = (dated.groupBy("customer_key", "sales_order_number")
+                  .agg(F.sum("sales_amount").alias("s"), F.sum("quantity").alias("q"),
+                       F.min("order_date").alias("f"), F.max("order_date").alias("l"))
+                  .groupBy("customer_key")
+                  .agg(F.count("sales_order_number").alias("total_sales"), F.sum("s").alias("amount"),
+                       F.sum("q").alias("qty"), F.min("f").alias("first"), F.max("l").alias("last")))
+        products = (dated.select("customer_key", "product_key").distinct()
+                    .groupBy(F.col("customer_key").alias("_ck"))
+                    .agg(F.count("product_key").alias("total_products")))
+        return orders.join(products, orders.customer_key.eqNullSafe(products._ck), "left").drop("_ck")
+
     def product_join_first():
         j = fact.where(F.col("order_date").isNotNull()).join(
             dp.select(F.col("product_key").alias("_dk"), "product_name", "category_name",
@@ -92,6 +117,8 @@ def main(argv: list[str]) -> int:
     result = {
         "customer_360_aggregate_first": timed(lambda: reports.customer_360(fact, dc, AS_OF)),
         "customer_360_join_first_core": timed(customer_join_first),
+        "customer_360_core_expand": timed(customer_core_expand),
+        "customer_360_core_two_level": timed(customer_core_two_level),
         "product_360_aggregate_first": timed(lambda: reports.product_360(fact, dp, AS_OF)),
         "product_360_join_first_core": timed(product_join_first),
         "measure_summary_per_column": timed(lambda: explore.measure_summary(fact, dp, dc)),
