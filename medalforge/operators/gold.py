@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..sources.catalog import Layers
 from .joins import left_join_dim
 from .keys import surrogate_key
+from .quality import assert_integrity, integrity_report
 
 GOLD_ORDER = ("dim_customer_info", "dim_product_info", "fact_sales")
 
@@ -124,13 +125,15 @@ def fact_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "distributed",
-               timings: dict[str, float] | None = None) -> dict[str, DataFrame]:
+               timings: dict[str, float] | None = None, verify: bool = False) -> dict[str, DataFrame]:
     """Create or replace the gold tables in dependency order; return them read back.
 
     The two dimensions do not depend on each other and are built as two
     concurrent Spark jobs; the fact, which reads both, follows. Seconds per
     table (and ``total``) are logged and, if ``timings`` is given, stored in it.
-    A failure raises ``GoldBuildError`` naming the table.
+    A failure raises ``GoldBuildError`` naming the table. With ``verify`` the
+    published fact is checked against both dimensions (every non-NULL key
+    must exist there) and ``IntegrityError`` is raised otherwise.
     """
     timings = {} if timings is None else timings
     started = time.perf_counter()
@@ -153,6 +156,10 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
         out = {"dim_customer_info": dim_c.result(), "dim_product_info": dim_p.result()}
     out["fact_sales"] = timed("fact_sales", lambda: fact_layout(fact_sales(
         silver["crm_sales_details"], out["dim_product_info"], out["dim_customer_info"])))
+    if verify:
+        assert_integrity(integrity_report(out["fact_sales"], {
+            "product_key": ("dim_product_info", out["dim_product_info"], "product_key"),
+            "customer_key": ("dim_customer_info", out["dim_customer_info"], "customer_key")}))
     timings["total"] = time.perf_counter() - started
     log.info("gold layer built in %.0f ms", 1000 * timings["total"])
     return out

@@ -34,6 +34,24 @@ def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, s
     return out
 
 
+class IntegrityError(AssertionError):
+    """Fact rows reference keys that the dimension does not have."""
+
+
+def assert_integrity(report: DataFrame, allow_null_keys: bool = True) -> list[dict]:
+    """Raise ``IntegrityError`` if any reference in an ``integrity_report`` is broken.
+
+    The report has one row per dimension, so collecting it is bounded. NULL
+    keys (facts whose natural key had no active dimension row) are allowed by
+    default: the gold fact keeps them, as the reference's left joins do.
+    """
+    rows = [r.asDict() for r in report.collect()]
+    broken = [r for r in rows if r["unmatched_rows"] or (not allow_null_keys and r["null_key_rows"])]
+    if broken:
+        raise IntegrityError(f"broken references: {broken}")
+    return rows
+
+
 def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: table_name, row_count, column_count."""
     parts = [df.agg(F.count(F.lit(1)).alias("row_count"))

@@ -260,3 +260,18 @@ def test_build_gold_reports_timings_and_names_failures(spark):
     with pytest.raises(GoldBuildError) as err:
         build_gold(broken, Layers(spark, scratch_path(spark, "test-gold-bad")))
     assert err.value.table == "fact_sales"
+
+
+def test_assert_integrity(spark):
+    fact = spark.createDataFrame([(1,), (2,), (None,), (9,)], "k long")
+    dim = spark.createDataFrame([(1,), (2,)], "k long")
+    report = ops.integrity_report(fact, {"k": ("dim", dim, "k")})
+    with pytest.raises(ops.IntegrityError):
+        ops.assert_integrity(report)
+    ok = ops.integrity_report(fact.where("k is null or k < 5"), {"k": ("dim", dim, "k")})
+    assert ops.assert_integrity(ok)[0]["null_key_rows"] == 1
+    with pytest.raises(ops.IntegrityError):
+        ops.assert_integrity(ok, allow_null_keys=False)
+    from medalforge.operators.gold import build_gold
+    from medalforge.warehouse import silver_for
+    build_gold(silver_for(spark, SF001), Layers(spark, scratch_path(spark, "test-verify")), verify=True)
