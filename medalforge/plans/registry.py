@@ -16,7 +16,7 @@ from ..oracle import AS_OF
 from ..sources import bronze as bronze_io
 from ..sources.fixtures import BRONZE_CUSTOMER_COLUMNS, bronze_customer
 from ..warehouse import gold_for, layers_for, silver_for, source
-from . import explore, reports, trends
+from . import catalog
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,33 +125,7 @@ def queries() -> dict[str, Query]:
         "customer_key": ("dim_customer_info", _dim_c(s, d), "customer_key")})
     q["table_profile"] = table_profile
     q["column_profile"] = lambda s, d: ops.profile_columns(_dim_c(s, d))
-    # exploration
-    q["distinct_countries"] = lambda s, d: explore.distinct_countries(_dim_c(s, d))
-    q["product_hierarchy"] = lambda s, d: explore.product_hierarchy(_dim_p(s, d))
-    q["order_date_range"] = lambda s, d: explore.order_date_range(_fact(s, d))
-    q["birthdate_range"] = lambda s, d: explore.birthdate_range(_dim_c(s, d), AS_OF)
-    q["measure_summary"] = lambda s, d: explore.measure_summary(_fact(s, d), _dim_p(s, d), _dim_c(s, d))
-    q["customers_by_country"] = lambda s, d: explore.customers_by_country(_dim_c(s, d))
-    q["customers_by_gender"] = lambda s, d: explore.customers_by_gender(_dim_c(s, d))
-    q["products_by_category"] = lambda s, d: explore.products_by_category(_dim_p(s, d))
-    q["avg_cost_by_category"] = lambda s, d: explore.avg_cost_by_category(_dim_p(s, d))
-    q["revenue_by_category"] = lambda s, d: explore.revenue_by_category(_fact(s, d), _dim_p(s, d))
-    q["revenue_by_customer"] = lambda s, d: explore.revenue_by_customer(_fact(s, d), _dim_c(s, d))
-    q["items_sold_by_country"] = lambda s, d: explore.items_sold_by_country(_fact(s, d), _dim_c(s, d))
-    q["top5_products"] = lambda s, d: explore.top_products(_fact(s, d), _dim_p(s, d), 5, best=True)
-    q["bottom5_products"] = lambda s, d: explore.top_products(_fact(s, d), _dim_p(s, d), 5, best=False)
-    # advanced analytics
-    q["sales_by_year_month"] = lambda s, d: trends.sales_by_year_month(_fact(s, d))
-    q["monthly_trend"] = lambda s, d: trends.monthly_trend(_fact(s, d))
-    q["product_year_trend"] = lambda s, d: trends.product_year_trend(_fact(s, d), _dim_p(s, d))
-    q["category_contribution"] = lambda s, d: trends.category_contribution(_fact(s, d), _dim_p(s, d))
-    q["product_cost_bands"] = lambda s, d: trends.product_cost_bands(_dim_p(s, d))
-    q["customer_value_segments"] = lambda s, d: trends.customer_value_segments(_fact(s, d), _dim_c(s, d))
-    # reports
-    q["customer_360"] = lambda s, d: reports.customer_360(_fact(s, d), _dim_c(s, d), AS_OF)
-    q["product_360"] = lambda s, d: reports.product_360(_fact(s, d), _dim_p(s, d), AS_OF)
-    q["customer_360_top100"] = lambda s, d: reports.top_rows(
-        reports.customer_360(_fact(s, d), _dim_c(s, d), AS_OF), "total_sales_amount", "customer_key")
-    q["product_360_top100"] = lambda s, d: reports.top_rows(
-        reports.product_360(_fact(s, d), _dim_p(s, d), AS_OF), "total_sales", "product_key")
+    # the analytic queries, over the gold tables built from the test tables
+    for name in catalog.ANALYTICS:
+        q[name] = (lambda n: lambda s, d: catalog.run(n, gold_for(s, d), AS_OF))(name)
     return q
