@@ -78,9 +78,9 @@ def profile_columns(df: DataFrame, exact: bool = True, rsd: float = 0.01) -> Dat
         aggs.append((F.count_distinct(col) if exact else F.approx_count_distinct(col, rsd))
                     .cast("long").alias(f"d{i}"))
     wide = df.agg(*aggs)
-    entries = ", ".join(
-        f"'{c}', {i + 1}, '{df.schema[c].dataType.simpleString()}', n{i}, d{i}"
-        for i, c in enumerate(df.columns))
-    return wide.selectExpr(
-        f"stack({len(df.columns)}, {entries}) as "
-        "(column_name, ordinal_position, data_type, null_count, distinct_count)")
+    entries = []
+    for i, c in enumerate(df.columns):
+        entries += [F.lit(c), F.lit(i + 1), F.lit(df.schema[c].dataType.simpleString()),
+                    F.col(f"n{i}"), F.col(f"d{i}")]
+    return wide.select(F.stack(F.lit(len(df.columns)), *entries).alias(
+        "column_name", "ordinal_position", "data_type", "null_count", "distinct_count"))

@@ -58,8 +58,11 @@ MEASURE_NAMES = (
 
 
 def _stack(wide: DataFrame, names: list[str], cols: list[str], dtype: str) -> DataFrame:
-    entries = ", ".join(f"'{n}', cast({c} as {dtype})" for n, c in zip(names, cols))
-    return wide.selectExpr(f"stack({len(cols)}, {entries}) as (measure_name, measure_value)")
+    """One wide row of measures → (measure_name, measure_value) rows."""
+    entries = []
+    for n, c in zip(names, cols):
+        entries += [F.lit(n), F.col(c).cast(dtype)]
+    return wide.select(F.stack(F.lit(len(cols)), *entries).alias("measure_name", "measure_value"))
 
 
 def measure_summary(fact: DataFrame, dim_p: DataFrame, dim_c: DataFrame,

@@ -275,3 +275,9 @@ def test_assert_integrity(spark):
     from medalforge.operators.gold import build_gold
     from medalforge.warehouse import silver_for
     build_gold(silver_for(spark, SF001), Layers(spark, scratch_path(spark, "test-verify")), verify=True)
+
+
+def test_profile_columns_odd_names(spark):
+    df = spark.createDataFrame([(1, "x")], "`it's` int, `a b` string")
+    rows = {r.column_name: r for r in ops.profile_columns(df).collect()}
+    assert rows["it's"].distinct_count == 1 and rows["a b"].data_type == "string"
