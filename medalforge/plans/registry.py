@@ -7,6 +7,7 @@ functions themselves take DataFrames and parameters only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +100,10 @@ def resolve_gender_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                      ops.resolve_gender(F.col("c.cust_gender"), F.col("d.gen")).alias("customer_gender")))
 
 
+def _analytic(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.run(name, gold_for(spark, sf_dir), AS_OF)
+
+
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # bronze / silver
@@ -127,5 +132,5 @@ def queries() -> dict[str, Query]:
     q["column_profile"] = lambda s, d: ops.profile_columns(_dim_c(s, d))
     # the analytic queries, over the gold tables built from the test tables
     for name in catalog.ANALYTICS:
-        q[name] = (lambda n: lambda s, d: catalog.run(n, gold_for(s, d), AS_OF))(name)
+        q[name] = partial(_analytic, name)
     return q
