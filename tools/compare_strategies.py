@@ -7,6 +7,9 @@ Usage: python -m tools.compare_strategies [sf_dir] [runs]
 * measure_summary: per-column aggregates (library) against one multi-distinct
   aggregate per table and against eight UNION ALL branches;
 * surrogate keys: single-partition window against the distributed form;
+* the same two report forms with broadcasts disabled (the regime of
+  dimensions too large to broadcast), and the fact build with its checked
+  broadcast against the split join (forced);
 * the reports' two distinct counts: Spark's multi-distinct rewrite (Expand)
   against per-order then per-customer grouping plus a separate distinct
   product count, joined back null-safely.
@@ -114,11 +117,30 @@ def main(argv: list[str]) -> int:
         return out
 
     orders = source(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    from medalforge.operators.gold import fact_sales
+    from medalforge.warehouse import silver_for
+    sales = silver_for(spark, sf_dir)["crm_sales_details"]
+
+    def no_broadcast(make):
+        """Time ``make`` as if the dimensions were too large to broadcast."""
+        def run():
+            return make()
+        previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            return timed(run)
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
     result = {
         "customer_360_aggregate_first": timed(lambda: reports.customer_360(fact, dc, AS_OF)),
         "customer_360_join_first_core": timed(customer_join_first),
         "customer_360_core_expand": timed(customer_core_expand),
         "customer_360_core_two_level": timed(customer_core_two_level),
+        "customer_360_aggregate_first_no_broadcast": no_broadcast(
+            lambda: reports.customer_360(fact, dc, AS_OF)),
+        "customer_360_join_first_core_no_broadcast": no_broadcast(customer_join_first),
+        "fact_build_broadcast": timed(lambda: fact_sales(sales, dp, dc)),
+        "fact_build_split_join": timed(lambda: fact_sales(sales, dp, dc, limit_bytes=0)),
         "product_360_aggregate_first": timed(lambda: reports.product_360(fact, dp, AS_OF)),
         "product_360_join_first_core": timed(product_join_first),
         "measure_summary_per_column": timed(lambda: explore.measure_summary(fact, dp, dc)),
