@@ -1,21 +1,21 @@
-"""Fact → dimension LEFT joins with a checked broadcast and hot-key splitting.
+"""Fact → dimension LEFT joins with a checked broadcast and salted hot keys.
 
 * If the dimension's join projection is provably small (rows and string bytes
   measured by one aggregate over the dimension), it is broadcast: no shuffle of
   the fact at all.
-* Otherwise the fact is shuffled, but two kinds of rows are kept out of the
-  shuffle: NULL keys (they can never match, and would all land in one task),
-  and *hot* keys, those holding at least ``hot_fraction`` of the fact rows.
-  There are at most ``1 / hot_fraction`` hot keys, so they are fetched as a
-  bounded list, and the dimension rows for them (one per key, the dimension
-  being unique on its key) form a bounded table that is broadcast to the hot
-  fact rows. The remaining keys each hold less than ``hot_fraction`` of the
-  rows, so the shuffle join on them is balanced. The three parts (NULL, hot,
-  rest) are unioned back; every fact row appears exactly once.
+* Otherwise one shuffle join on (key, salt) is used. One pass over the fact's
+  key column finds the *hot* keys, those holding at least ``hot_fraction`` of
+  the rows; there are at most ``1 / hot_fraction`` of them, so they come back
+  as a bounded list. Fact rows of hot keys and rows with a NULL key (which can
+  never match, and would otherwise all land in one task) get a salt from a
+  hash of the whole row; all other rows get salt 0. Dimension rows of hot keys
+  are repeated once per salt. No key then holds more than ``hot_fraction`` of
+  the rows of any task, and the fact is read twice in all (key column, join).
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,31 +50,36 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     _, size = projection_bytes(dim)
     if size <= limit:
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
-    return _split_join(fact, dim, fact_key, dim_key, hot_fraction)
+    return _salted_join(fact, dim, fact_key, dim_key, hot_fraction)
 
 
-def _split_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                hot_fraction: float) -> DataFrame:
-    key = F.col(fact_key)
-    payload = [c for c in dim.columns if c != dim_key]
-    keyed = fact.where(key.isNotNull())
-    # Two passes over the key column only: the row total, then the per-key
-    # counts (partial aggregation map-side) filtered to the hot keys. At most
-    # 1 / hot_fraction keys can reach the threshold, so the list is bounded.
-    total = keyed.select(key).count()
-    threshold = max(1, int(total * hot_fraction))
-    hot = [r[0] for r in (keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_hn"))
-                          .where(F.col("_hn") >= threshold).select(fact_key).collect())]
+def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                 hot_fraction: float, salts: int | None = None) -> DataFrame:
+    """One shuffle join in which hot keys and NULL keys are spread over ``salts`` tasks.
 
-    nulls = fact.where(key.isNull())
-    for c in payload:
-        nulls = nulls.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
-    if not hot:
-        cold = keyed.join(dim, key == dim[dim_key], "left").drop(dim[dim_key])
-        return cold.unionByName(nulls)
-    dim_hot = dim.where(F.col(dim_key).isin(hot))
-    hot_rows = (keyed.where(key.isin(hot))
-                .join(F.broadcast(dim_hot), key == dim_hot[dim_key], "left").drop(dim_hot[dim_key]))
-    cold_rows = (keyed.where(~key.isin(hot))
-                 .join(dim, key == dim[dim_key], "left").drop(dim[dim_key]))
-    return cold_rows.unionByName(hot_rows).unionByName(nulls)
+    Fact rows of a hot key (or with a NULL key) get a salt in [0, salts) from a
+    hash of the whole row, which is the same on every retry; all other rows get
+    salt 0. Dimension rows of hot keys are repeated once per salt (at most
+    ``salts / hot_fraction`` extra rows), the others keep salt 0. Joining on
+    (key, salt) then leaves no key with more than ``hot_fraction`` of the fact
+    rows in one task.
+    """
+    n = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = F.col(fact_key)
+    counts = (fact.where(key.isNotNull()).groupBy(key.alias("_hk"))
+              .agg(F.count(F.lit(1)).alias("_hn")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:  # one pass over the key column; total and hot keys come from the counts
+        total = counts.agg(F.sum("_hn")).first()[0] or 0
+        threshold = max(1, int(total * hot_fraction))
+        hot = [r[0] for r in counts.where(F.col("_hn") >= threshold).select("_hk").collect()]
+    finally:
+        counts.unpersist()
+    spread = key.isNull() | key.isin(hot)
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
+    salted = fact.withColumn("_salt", F.when(spread, F.pmod(row_hash, F.lit(n))).otherwise(F.lit(0)))
+    every_salt = F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")
+    dim_salted = dim.withColumn("_dsalt", F.explode(
+        F.when(F.col(dim_key).isin(hot), every_salt).otherwise(F.array(F.lit(0).cast("bigint")))))
+    cond = (salted[fact_key] == dim_salted[dim_key]) & (salted["_salt"] == dim_salted["_dsalt"])
+    return (salted.join(dim_salted, cond, "left")
+            .drop(dim_salted[dim_key]).drop("_salt", "_dsalt"))

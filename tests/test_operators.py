@@ -40,7 +40,7 @@ def test_distributed_key_has_no_single_partition_sort(spark):
 
 
 @pytest.mark.parametrize("limit", [0, None])
-def test_left_join_dim_split_equals_broadcast(spark, limit):
+def test_left_join_dim_salted_equals_broadcast(spark, limit):
     # one hot key with a third of the rows, NULL keys, and keys missing from the dim
     fact_rows = ([(i, "HOT") for i in range(300)] + [(1000 + i, f"K{i % 50}") for i in range(550)]
                  + [(2000 + i, None) for i in range(100)] + [(3000 + i, "MISSING") for i in range(50)])
@@ -53,14 +53,24 @@ def test_left_join_dim_split_equals_broadcast(spark, limit):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
-def test_split_join_keeps_hot_keys_out_of_the_shuffle(spark):
+def test_salted_join_spreads_a_hot_key(spark):
     fact = spark.createDataFrame([(i, "HOT" if i % 3 == 0 else f"K{i % 97}") for i in range(3000)],
                                  "row long, k string")
     dim = spark.createDataFrame([("HOT", 1)] + [(f"K{i}", i) for i in range(97)], "dk string, sk int")
-    got = ops.left_join_dim(fact, dim, "k", "dk", limit_bytes=0, hot_fraction=0.01)
-    plan = _plan(got)
-    assert "BroadcastHashJoin" in plan  # hot rows meet a bounded, broadcast dim slice
-    assert got.where(F.col("sk").isNull()).count() == 0
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",  # force the shuffle join
+                "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # keep its partitions
+    previous = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        got = ops.left_join_dim(fact, dim, "k", "dk", limit_bytes=0, hot_fraction=0.01)
+        assert got.where(F.col("sk").isNull()).count() == 0 and got.count() == 3000
+        tasks = (got.where(F.col("k") == "HOT").select(F.spark_partition_id().alias("p"))
+                 .distinct().count())
+        assert tasks >= 4  # the hot key's 1000 rows are spread, not in one task
+    finally:
+        for k, v in previous.items():
+            spark.conf.set(k, v)
 
 
 def test_projection_bytes_counts_rows_and_strings(spark):
@@ -208,7 +218,7 @@ def test_single_partition_exchanges_only_carry_aggregates(spark):
             assert "Aggregate" in below, f"{name}: single-partition exchange over {below.strip()[:80]}"
 
 
-def test_fact_build_split_path_equals_broadcast_path(spark):
+def test_fact_build_salted_path_equals_broadcast_path(spark):
     from medalforge.operators.gold import fact_sales
     from medalforge.warehouse import silver_for
     gold, silver = gold_for(spark, SF001), silver_for(spark, SF001)

@@ -87,7 +87,7 @@ def test_distributed_key_property(spark, values, partitions):
 @given(keys=st.lists(st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d", "zz"])),
                      min_size=1, max_size=200),
        hot_fraction=st.sampled_from([0.01, 0.2, 0.9]))
-def test_split_join_property(spark, keys, hot_fraction):
+def test_salted_join_property(spark, keys, hot_fraction):
     fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "row long, k string")
     dim = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("d", 4)], "dk string, v int")
     got = sorted(tuple(r) for r in ops.left_join_dim(fact, dim, "k", "dk", limit_bytes=0,

@@ -9,7 +9,7 @@ Usage: python -m tools.compare_strategies [sf_dir] [runs]
 * surrogate keys: single-partition window against the distributed form;
 * the same two report forms with broadcasts disabled (the regime of
   dimensions too large to broadcast), and the fact build with its checked
-  broadcast against the split join (forced);
+  broadcast against the salted shuffle join (forced);
 * the reports' two distinct counts: Spark's multi-distinct rewrite (Expand)
   against per-order then per-customer grouping plus a separate distinct
   product count, joined back null-safely.
@@ -140,7 +140,7 @@ def main(argv: list[str]) -> int:
             lambda: reports.customer_360(fact, dc, AS_OF)),
         "customer_360_join_first_core_no_broadcast": no_broadcast(customer_join_first),
         "fact_build_broadcast": timed(lambda: fact_sales(sales, dp, dc)),
-        "fact_build_split_join": timed(lambda: fact_sales(sales, dp, dc, limit_bytes=0)),
+        "fact_build_salted_join": timed(lambda: fact_sales(sales, dp, dc, limit_bytes=0)),
         "product_360_aggregate_first": timed(lambda: reports.product_360(fact, dp, AS_OF)),
         "product_360_join_first_core": timed(product_join_first),
         "measure_summary_per_column": timed(lambda: explore.measure_summary(fact, dp, dc)),
