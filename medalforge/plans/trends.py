@@ -96,10 +96,9 @@ def product_year_trend(fact: DataFrame, dim_p: DataFrame, corrected: bool = Fals
     """
     per = _dated(fact).groupBy("product_key", F.year("order_date").alias("order_year")) \
                       .agg(F.sum("sales_amount").alias("_s"))
-    # One shuffle by product name serves both the (name, year) aggregate and
-    # the per-name windows; the rows moved are already one per product-year.
-    joined = (per.join(dim_p.select("product_key", "product_name"), "product_key", "left")
-                 .repartition("product_name"))
+    joined = per.join(dim_p.select("product_key", "product_name"), "product_key", "left")
+    # Aggregated map-side by (name, year) before any shuffle, so a name shared
+    # by many products is combined early; the window then sees one row per year.
     ps = joined.groupBy("product_name", "order_year").agg(F.sum("_s").alias("current_year_sales"))
     ordered = Window.partitionBy("product_name").orderBy("order_year")
     whole = Window.partitionBy("product_name")
