@@ -129,8 +129,10 @@ def revenue_by_customer(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
     d = dim_c.select(F.col("customer_key").alias("_dk"), "first_name", "last_name")
     joined = per_customer.join(d, per_customer.customer_key == d._dk, "left")
     # Unmatched and NULL fact keys both end in the NULL dimension key group.
+    # the key as tiebreak keeps the global sort splittable when many totals are equal
     return (joined.groupBy(F.col("_dk").alias("customer_key"), "first_name", "last_name")
-            .agg(F.sum("_rev").alias(alias)).orderBy(F.col(alias).desc()))
+            .agg(F.sum("_rev").alias(alias))
+            .orderBy(F.col(alias).desc(), F.col("customer_key").asc_nulls_first()))
 
 
 def items_sold_by_country(fact: DataFrame, dim_c: DataFrame) -> DataFrame:

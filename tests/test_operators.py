@@ -291,3 +291,23 @@ def test_profile_columns_odd_names(spark):
     df = spark.createDataFrame([(1, "x")], "`it's` int, `a b` string")
     rows = {r.column_name: r for r in ops.profile_columns(df).collect()}
     assert rows["it's"].distinct_count == 1 and rows["a b"].data_type == "string"
+
+
+def test_dimensions_equal_without_broadcasts(spark):
+    from medalforge.operators.gold import dim_customer_info, dim_product_info
+    from medalforge.warehouse import silver_for
+    s = silver_for(spark, SF001)
+
+    def build():
+        return (dim_customer_info(s["crm_cust_info"], s["erp_cust_az12"], s["erp_loc_a101"]),
+                dim_product_info(s["crm_prd_info"], s["erp_px_cat_g1v1"]))
+
+    plain = [d.collect() for d in build()]
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # every join takes the salted path
+    try:
+        salted = [d.collect() for d in build()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    for a, b in zip(plain, salted):
+        assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
