@@ -2,7 +2,7 @@
 
     python -m medalforge build --root /shared/warehouse [--verify]
     python -m medalforge query customer_360 --root /shared/warehouse \\
-        [--as-of 2002-01-01] [--out /shared/reports/customer_360] [--show 20]
+        [--as-of 2002-01-01] [--out /shared/reports/customer_360] [--show 20] [--explain]
     python -m medalforge list
 
 ``--root`` holds ``silver/<table>`` and ``gold/<table>`` Parquet folders.
@@ -44,6 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     query.add_argument("--as-of", default=None, help="date for ages and recency (default: today)")
     query.add_argument("--out", default=None, help="write the result as Parquet here")
     query.add_argument("--show", type=int, default=0, help="print the first N rows")
+    query.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     sub.add_parser("list", help="list the named queries")
     for p in (build, query):
         p.add_argument("--local", action="store_true", help="start a local Spark session")
@@ -66,6 +67,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     gold = {name: layers.gold(name) for name in GOLD_ORDER}
     result = run(args.name, gold, args.as_of)
+    if args.explain:
+        result.explain("formatted")
     if args.out:
         result.write.mode("overwrite").parquet(args.out)
     if args.show:

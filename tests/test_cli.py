@@ -29,6 +29,8 @@ def test_cli_build_and_query(spark):
     assert "fact_sales" in timings
     out = scratch_path(spark, "cli-out")
     _cli("query", "customer_360", "--root", root, "--as-of", "2002-01-01", "--out", out, "--local")
+    plan = _cli("query", "monthly_trend", "--root", root, "--explain", "--show", "3", "--local")
+    assert "Physical Plan" in plan and "order_month" in plan
     got = spark.read.parquet(out)
     want = reports.customer_360(layers.gold("fact_sales"), layers.gold("dim_customer_info"),
                                 "2002-01-01")
