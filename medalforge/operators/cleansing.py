@@ -21,6 +21,8 @@ def enforce_types(df: DataFrame, spec: Mapping[str, str], date_format: str = "yy
     A value that does not parse becomes NULL instead of failing the job; the
     number of such values per row (blank inputs excluded) goes to ``error_col``.
     """
+    if not spec:
+        return df.withColumn(error_col, F.lit(0)) if error_col else df
     typed, errors = {}, []
     for name, dtype in spec.items():
         raw = F.col(name)
