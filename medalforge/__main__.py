@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--root", required=True)
     build.add_argument("--key-mode", choices=("distributed", "window"), default="distributed")
     build.add_argument("--verify", action="store_true", help="fail on broken fact references")
+    build.add_argument("--fact-layout", choices=("rebalance", "sort"), default="rebalance",
+                       help="rebalance (one shuffle, AQE-sized files) or sort within input splits")
     query = sub.add_parser("query", help="run a named query on the gold tables")
     query.add_argument("name")
     query.add_argument("--root", required=True)
@@ -62,7 +64,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "build":
         timings: dict[str, float] = {}
         silver = {name: layers.silver(name) for name in SILVER_TABLES}
-        build_gold(silver, layers, key_mode=args.key_mode, timings=timings, verify=args.verify)
+        build_gold(silver, layers, key_mode=args.key_mode, timings=timings, verify=args.verify,
+                   fact_layout_mode=args.fact_layout)
         print(json.dumps({k: round(v, 3) for k, v in timings.items()}))
         return 0
     gold = {name: layers.gold(name) for name in GOLD_ORDER}

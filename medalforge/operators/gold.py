@@ -115,32 +115,39 @@ def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     )
 
 
-def fact_layout(fact: DataFrame, partitions: int | None = None) -> DataFrame:
+def fact_layout(fact: DataFrame, partitions: int | None = None, mode: str = "rebalance") -> DataFrame:
     """File layout of the written fact: evenly spread, each file sorted by order date.
 
-    The spread is a REBALANCE: a round-robin shuffle whose output AQE sizes
-    from the measured data (large partitions split, small ones merged), so
-    files track the data volume instead of a fixed count; ``partitions`` fixes
-    the count instead. Neither needs a sampling pass over the input (a range
-    partitioning would run the whole fact build once more to pick its bounds),
-    and both stay balanced whatever the key skew. Sorting within each file by
-    order date clusters row groups by date, so the NULL dates that nearly every
-    query excludes sit in row groups the pushed ``IsNotNull`` filter skips, and
-    date-range filters prune on min/max statistics. One shuffle per gold build,
-    reused by every query.
+    ``mode="rebalance"`` (default) spreads the rows with a REBALANCE: a
+    round-robin shuffle whose output AQE sizes from the measured data (large
+    partitions split, small ones merged), so files track the data volume;
+    ``partitions`` fixes the count instead. Neither needs a sampling pass over
+    the input (a range partitioning would run the whole fact build once more to
+    pick its bounds), and both stay balanced whatever the key skew.
+    ``mode="sort"`` keeps the input partitioning and only sorts within it: no
+    shuffle, for inputs that already arrive in many well-sized splits.
+    Sorting within each file by order date clusters row groups by date, so the
+    NULL dates that nearly every query excludes sit in row groups the pushed
+    ``IsNotNull`` filter skips, and date-range filters prune on min/max
+    statistics.
     """
-    spread = fact.hint("rebalance") if partitions is None else fact.repartition(partitions)
+    if mode not in ("rebalance", "sort"):
+        raise ValueError(f"unknown fact layout {mode!r}")
+    if mode == "rebalance":
+        fact = fact.hint("rebalance") if partitions is None else fact.repartition(partitions)
     keys = [F.col("order_date").asc_nulls_first(), F.col("sales_order_number")]
-    return spread.sortWithinPartitions(*keys)
+    return fact.sortWithinPartitions(*keys)
 
 
 def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "distributed",
-               timings: dict[str, float] | None = None, verify: bool = False) -> dict[str, DataFrame]:
+               timings: dict[str, float] | None = None, verify: bool = False,
+               fact_layout_mode: str = "rebalance") -> dict[str, DataFrame]:
     """Create or replace the gold tables in dependency order; return them read back.
 
     The two dimensions do not depend on each other and are built as two
     concurrent Spark jobs; the fact, which reads both, follows. Seconds per
     table (and ``total``) are logged and, if ``timings`` is given, stored in it.
+    ``fact_layout_mode`` is passed to ``fact_layout`` ("rebalance" or "sort").
     A failure raises ``GoldBuildError`` naming the table. With ``verify`` the
     published fact is checked against both dimensions (every non-NULL key
     must exist there) and ``IntegrityError`` is raised otherwise.
@@ -165,7 +172,8 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
             silver["crm_prd_info"], silver["erp_px_cat_g1v1"], key_mode))
         out = {"dim_customer_info": dim_c.result(), "dim_product_info": dim_p.result()}
     out["fact_sales"] = timed("fact_sales", lambda: fact_layout(fact_sales(
-        silver["crm_sales_details"], out["dim_product_info"], out["dim_customer_info"])))
+        silver["crm_sales_details"], out["dim_product_info"], out["dim_customer_info"]),
+        mode=fact_layout_mode))
     if verify:
         assert_integrity(integrity_report(out["fact_sales"], {
             "product_key": ("dim_product_info", out["dim_product_info"], "product_key"),

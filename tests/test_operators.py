@@ -311,3 +311,16 @@ def test_dimensions_equal_without_broadcasts(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
     for a, b in zip(plain, salted):
         assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
+
+
+def test_fact_layout_modes(spark):
+    from medalforge.operators.gold import fact_layout
+    gold = gold_for(spark, SF001)
+    fact = gold["fact_sales"]
+    for mode in ("rebalance", "sort"):
+        laid = fact_layout(fact, mode=mode)
+        assert laid.count() == fact.count()
+        plan = _plan(laid)
+        assert ("Exchange" in plan) == (mode == "rebalance")
+    with pytest.raises(ValueError):
+        fact_layout(fact, mode="zorder")
