@@ -225,3 +225,15 @@ def test_days_based_age(spark):
     assert one(reports.customer_360(f, c, "2002-01-01", age="days"))[0]["customer_age"] == 11
     with pytest.raises(ValueError):
         reports.customer_360(f, c, "2002-01-01", vip_on="revenue")
+
+
+def test_ratio_helpers_and_bands(spark):
+    from medalforge.functions import band, ratio_or, safe_ratio
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(10, 2), (10, 0), (None, 5), (7, None)], "n int, d int")
+    rows = df.select(safe_ratio("n", "d").alias("s"), ratio_or("n", "d", F.lit(-1.0)).alias("r"),
+                     band([(F.col("d") > 3, "big"), (F.col("d") > 0, "small")], "none").alias("b")
+                     ).collect()
+    assert [r.s for r in rows] == [5.0, None, None, None]
+    assert [r.r for r in rows] == [5.0, -1.0, None, None]
+    assert [r.b for r in rows] == ["small", "none", "big", "none"]  # NULL falls through
