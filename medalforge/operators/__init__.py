@@ -6,6 +6,7 @@ from .gold import (GOLD_ORDER, GoldBuildError, active_only, build_gold, dim_cust
                    fact_sales, resolve_gender)
 from .joins import left_join_dim, projection_bytes
 from .keys import surrogate_key
+from .rollup import fits_broadcast, rollup
 from .quality import (IntegrityError, assert_integrity, integrity_report, profile_columns,
                       profile_tables)
 
@@ -13,4 +14,5 @@ __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown"
            "latest_per_key", "rename", "GOLD_ORDER", "GoldBuildError", "active_only", "build_gold",
            "dim_customer_info", "dim_product_info", "fact_sales", "resolve_gender",
            "left_join_dim", "projection_bytes", "surrogate_key", "integrity_report",
-           "profile_columns", "profile_tables", "IntegrityError", "assert_integrity"]
+           "profile_columns", "profile_tables", "IntegrityError", "assert_integrity",
+           "fits_broadcast", "rollup"]

@@ -1,9 +1,9 @@
 """Exploration queries: dimensions, date ranges, headline measures, magnitudes, rankings.
 
-Queries that combine the fact with a dimension aggregate the fact by its
-surrogate key first and join the (at most dimension-sized) result, then
-aggregate again by the dimension attribute. The fact rows are never widened
-with dimension columns.
+Totals per dimension attribute go through ``operators.rollup``: join first
+when the dimension is provably broadcastable (map-side, one shuffle of partial
+totals per attribute), otherwise aggregate by key first, join, and merge. The
+per-customer revenue aggregates by key first: its groups are the keys.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_date, years_between_boundary
+from ..operators.rollup import rollup
 
 
 def distinct_countries(dim_c: DataFrame) -> DataFrame:
@@ -117,10 +118,8 @@ def _by_key(fact: DataFrame, key: str, **aggs) -> DataFrame:
 
 def revenue_by_category(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     alias = "Total_revenue_per_Category"
-    per_product = _by_key(fact, "product_key", _rev=F.sum("sales_amount"))
-    joined = per_product.join(dim_p.select("product_key", "category_name"), "product_key", "left")
-    return (joined.groupBy("category_name").agg(F.sum("_rev").alias(alias))
-            .orderBy(F.col(alias).desc()))
+    totals = rollup(fact, dim_p, "product_key", ["category_name"], {alias: ("sum", "sales_amount")})
+    return totals.orderBy(F.col(alias).desc())
 
 
 def revenue_by_customer(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
@@ -138,17 +137,13 @@ def revenue_by_customer(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
 def items_sold_by_country(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
     """Counts sales rows with a quantity (not the quantity summed), as the reference does."""
     alias = "Total_Products_Sold_per_Country"
-    per_customer = _by_key(fact, "customer_key", _n=F.count("quantity"))
-    joined = per_customer.join(dim_c.select("customer_key", "customer_country"), "customer_key", "left")
-    return (joined.groupBy("customer_country").agg(F.sum("_n").cast("long").alias(alias))
-            .orderBy(F.col(alias).desc()))
+    totals = rollup(fact, dim_c, "customer_key", ["customer_country"], {alias: ("count", "quantity")})
+    return totals.orderBy(F.col(alias).desc())
 
 
 def top_products(fact: DataFrame, dim_p: DataFrame, n: int = 5, best: bool = True) -> DataFrame:
     """Best (or worst) ``n`` product names by revenue; ties broken by name."""
     alias = "Total_revenue_per_Product"
-    per_product = _by_key(fact, "product_key", _rev=F.sum("sales_amount"))
-    joined = per_product.join(dim_p.select("product_key", "product_name"), "product_key", "left")
-    by_name = joined.groupBy("product_name").agg(F.sum("_rev").alias(alias))
+    by_name = rollup(fact, dim_p, "product_key", ["product_name"], {alias: ("sum", "sales_amount")})
     order = F.col(alias).desc() if best else F.col(alias).asc()
     return by_name.orderBy(order, F.col("product_name").asc_nulls_first()).limit(n)

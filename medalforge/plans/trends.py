@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import band, safe_ratio
 from ..functions.dates import month_abbrev, month_start, months_between_boundary
 from ..functions.text import percent_text
+from ..operators.rollup import rollup
 
 
 def _dated(fact: DataFrame) -> DataFrame:
@@ -94,12 +95,11 @@ def product_year_trend(fact: DataFrame, dim_p: DataFrame, corrected: bool = Fals
     The reference labels a fall from the previous year 'Increasing' (and a
     rise 'Decreasing'); that is kept by default, ``corrected=True`` swaps it.
     """
-    per = _dated(fact).groupBy("product_key", F.year("order_date").alias("order_year")) \
-                      .agg(F.sum("sales_amount").alias("_s"))
-    joined = per.join(dim_p.select("product_key", "product_name"), "product_key", "left")
-    # Aggregated map-side by (name, year) before any shuffle, so a name shared
-    # by many products is combined early; the window then sees one row per year.
-    ps = joined.groupBy("product_name", "order_year").agg(F.sum("_s").alias("current_year_sales"))
+    # Totals per (name, year) are combined map-side before any shuffle, so a
+    # name shared by many products stays combined; the window sees one row per year.
+    ps = rollup(_dated(fact), dim_p, "product_key", ["product_name"],
+                {"current_year_sales": ("sum", "sales_amount")},
+                fact_groups={"order_year": F.year("order_date")})
     ordered = Window.partitionBy("product_name").orderBy("order_year")
     whole = Window.partitionBy("product_name")
     cur = F.col("current_year_sales")
@@ -128,19 +128,13 @@ def category_contribution(fact: DataFrame, dim_p: DataFrame, numeric: bool = Fal
 
     Cost is the product cost summed once per sales row (not times quantity),
     as in the reference; a category whose costs are all NULL has NULL cost and
-    NULL profit. Sums run per product first, then per category. Shares are
+    NULL profit. Totals come from ``operators.rollup``. Shares are
     text with a '%' sign as in the reference; ``numeric=True`` adds each share
     as DECIMAL(18,2) too (``category_<measure>_share``).
     """
-    per = _dated(fact).groupBy("product_key").agg(
-        F.sum("sales_amount").alias("_s"), F.sum("quantity").alias("_q"),
-        F.count(F.lit(1)).alias("_rows"))
-    joined = per.join(dim_p.select("product_key", "category_name", "product_cost"),
-                      "product_key", "left")
-    cat = joined.groupBy("category_name").agg(
-        F.sum("_q").alias("total_quantity"),
-        F.sum("_s").alias("total_sales"),
-        F.sum(F.col("product_cost") * F.col("_rows")).alias("total_product_cost"))
+    cat = rollup(_dated(fact), dim_p, "product_key", ["category_name"],
+                 {"total_quantity": ("sum", "quantity"), "total_sales": ("sum", "sales_amount")},
+                 dim_measures={"total_product_cost": "product_cost"})
     cat = cat.withColumn("total_profit", F.col("total_sales") - F.col("total_product_cost"))
     cols = ["category_name"]
     for measure, label in (("total_quantity", "quantity"), ("total_sales", "sales"),

@@ -324,3 +324,35 @@ def test_fact_layout_modes(spark):
         assert ("Exchange" in plan) == (mode == "rebalance")
     with pytest.raises(ValueError):
         fact_layout(fact, mode="zorder")
+
+
+ROLLUP_QUERIES = ("revenue_by_category", "items_sold_by_country", "top5_products",
+                  "bottom5_products", "product_year_trend", "category_contribution")
+
+
+def test_rollup_plans_agree(spark):
+    """Join-first (broadcastable dimension) and aggregate-first give the same rows and types."""
+    import __spark_entry__ as entry
+    qs = entry.queries()
+    entry.queries()["fact_sales"](spark, SF001).count()  # build gold before changing settings
+    first = {n: qs[n](spark, SF001) for n in ROLLUP_QUERIES}
+    want = {n: (df.schema.simpleString(), sorted(map(tuple, df.collect()), key=str))
+            for n, df in first.items()}
+    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in ROLLUP_QUERIES:
+            df = qs[n](spark, SF001)
+            assert "BroadcastHashJoin" not in _plan(df)
+            assert (df.schema.simpleString(), sorted(map(tuple, df.collect()), key=str)) == want[n], n
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+
+
+def test_rollup_join_first_shuffles_only_the_attribute(spark):
+    from medalforge.plans import explore
+    gold = gold_for(spark, SF001)
+    plan = _plan(explore.revenue_by_category(gold["fact_sales"], gold["dim_product_info"]))
+    assert "BroadcastHashJoin" in plan
+    assert "hashpartitioning(product_key" not in plan  # no per-key shuffle
+    assert "hashpartitioning(category_name" in plan
