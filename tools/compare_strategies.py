@@ -10,11 +10,15 @@ Usage: python -m tools.compare_strategies [sf_dir] [runs]
 * the same two report forms with broadcasts disabled (the regime of
   dimensions too large to broadcast), and the fact build with its checked
   broadcast against the salted shuffle join (forced);
+* totals per category: join first against a broadcastable dimension (library
+  choice at this size) against aggregate first (forced by disabling broadcasts);
 * the reports' two distinct counts: Spark's multi-distinct rewrite (Expand)
   against per-order then per-customer grouping plus a separate distinct
   product count, joined back null-safely.
 
-Prints one JSON object with the median warm time of each variant.
+Variants run interleaved (one run of each per round) so that JIT warm-up and
+machine drift affect all alike. Prints one JSON object with the median warm
+time of each variant.
 """
 
 from __future__ import annotations
@@ -42,14 +46,10 @@ def main(argv: list[str]) -> int:
     g = gold_for(spark, sf_dir)
     fact, dc, dp = g["fact_sales"], g["dim_customer_info"], g["dim_product_info"]
 
-    def timed(make) -> float:
-        samples = []
-        for i in range(runs + 1):
-            t = time.perf_counter()
-            make().write.format("noop").mode("overwrite").save()
-            if i:  # first run warms up
-                samples.append(time.perf_counter() - t)
-        return round(statistics.median(samples), 3)
+    # Variants are registered first and then run interleaved, one run of each
+    # per round, so JIT warm-up and machine drift affect all of them alike.
+    def timed(make, settings=None):
+        return (make, settings or {})
 
     def customer_join_first():
         j = fact.where(F.col("order_date").isNotNull()).join(
@@ -122,15 +122,9 @@ def main(argv: list[str]) -> int:
     sales = silver_for(spark, sf_dir)["crm_sales_details"]
 
     def no_broadcast(make):
-        """Time ``make`` as if the dimensions were too large to broadcast."""
-        def run():
-            return make()
-        previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        try:
-            return timed(run)
-        finally:
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+        """The variant as if the dimensions were too large to broadcast."""
+        return timed(make, {"spark.sql.autoBroadcastJoinThreshold": "-1"})
+
     result = {
         "customer_360_aggregate_first": timed(lambda: reports.customer_360(fact, dc, AS_OF)),
         "customer_360_join_first_core": timed(customer_join_first),
@@ -139,6 +133,9 @@ def main(argv: list[str]) -> int:
         "customer_360_aggregate_first_no_broadcast": no_broadcast(
             lambda: reports.customer_360(fact, dc, AS_OF)),
         "customer_360_join_first_core_no_broadcast": no_broadcast(customer_join_first),
+        "revenue_by_category_join_first": timed(lambda: explore.revenue_by_category(fact, dp)),
+        "revenue_by_category_aggregate_first": no_broadcast(
+            lambda: explore.revenue_by_category(fact, dp)),
         "fact_build_broadcast": timed(lambda: fact_sales(sales, dp, dc)),
         "fact_build_salted_join": timed(lambda: fact_sales(sales, dp, dc, limit_bytes=0)),
         "product_360_aggregate_first": timed(lambda: reports.product_360(fact, dp, AS_OF)),
@@ -151,7 +148,23 @@ def main(argv: list[str]) -> int:
         "surrogate_key_distributed": timed(lambda: surrogate_key(
             orders, ["o_orderdate"], "k", tiebreak=["o_orderkey"])),
     }
-    print(json.dumps({"sf_dir": sf_dir, "runs": runs, "spark": spark.version, **result}))
+    samples = {name: [] for name in result}
+    for i in range(runs + 1):
+        for name, (make, settings) in result.items():
+            previous = {k: spark.conf.get(k) for k in settings}
+            for k, v in settings.items():
+                spark.conf.set(k, v)
+            try:
+                t = time.perf_counter()
+                make().write.format("noop").mode("overwrite").save()
+                elapsed = time.perf_counter() - t
+            finally:
+                for k, v in previous.items():
+                    spark.conf.set(k, v)
+            if i:  # the first round warms up
+                samples[name].append(elapsed)
+    medians = {name: round(statistics.median(v), 3) for name, v in samples.items()}
+    print(json.dumps({"sf_dir": sf_dir, "runs": runs, "spark": spark.version, **medians}))
     spark.stop()
     return 0
 

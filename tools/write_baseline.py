@@ -28,6 +28,10 @@ STRATEGY_ROWS = [
      "customer_360_aggregate_first_no_broadcast"),
     ("customer 360, no broadcasts", "join first (core aggregate only)",
      "customer_360_join_first_core_no_broadcast"),
+    ("revenue per category", "join first, broadcast dimension (library at this size)",
+     "revenue_by_category_join_first"),
+    ("revenue per category", "aggregate first (library when the dimension is too large)",
+     "revenue_by_category_aggregate_first"),
     ("fact build", "checked broadcast of both dimensions (library at sf0.1)", "fact_build_broadcast"),
     ("fact build", "salted shuffle join forced (hot and NULL keys salted)",
      "fact_build_salted_join"),
@@ -45,30 +49,26 @@ STRATEGY_ROWS = [
      "surrogate_key_distributed"),
 ]
 
-READING = """Reading them:
-
-* Run-to-run variation on this machine is large (about ±30 % between whole
-  bench runs); differences below that are not evidence.
-* At sf0.1 the dimensions are broadcast, so joining first costs little and the
-  two report forms are close. The difference appears when a dimension is too
-  large to broadcast: join-first then shuffles every fact row (with the
-  dimension columns) by key, aggregate-first shuffles only the partial
-  aggregates (at most one row per key per map task).
-* With broadcasts disabled the two report forms are still equal within noise
-  at 600,000 fact rows: the fact shuffle that join-first adds is small at this
-  size. The claim that aggregate-first wins rests on the shuffle volume at
-  scale (every fact row against one partial row per key per task), which this
-  machine cannot show.
-* The salted-join fact build costs more than the broadcast build here (a pass
-  over the key column and a shuffle of the fact); it is taken only when the
-  measured dimension projection exceeds the broadcast bound, and it is what
-  keeps a key holding a third of the rows out of a single task.
-* The two exact ways of counting two distinct columns per customer are within
-  noise; the library keeps Spark's own rewrite, which needs one pass and no
-  null-safe join.
-* The measure summary variants differ by little here. The library form reads
-  each column once and needs no row expansion, which is the variant that
-  scales with the fact.
+READING = """Reading them (variants run interleaved, one run of each per round, so JIT
+warm-up and machine drift affect all alike; absolute times are higher than in
+the bench table, where each query repeats back to back):
+
+* Whole bench runs vary by about ±30 % on this machine; differences below that
+  within one interleaved run are still comparable, across runs they are not.
+* The per-key reports are faster aggregate first than join first, with and
+  without broadcasts, even though the join-first variant computes only the
+  core aggregate.
+* Totals per category are faster join first while the dimension is
+  broadcastable, which is what `rollup` picks at this size; it switches to
+  aggregate first when the measured dimension exceeds the bound.
+* Spark's multi-distinct rewrite beats the two-level alternative for the
+  reports' two distinct counts; the library keeps it.
+* The measure summary variants are equal here; the library form reads each
+  column once and needs no row expansion, the variant that scales with the fact.
+* The salted-join fact build costs more than the broadcast build (a pass over
+  the key column and a shuffle of the fact); it is taken only when a measured
+  dimension projection exceeds the broadcast bound, and it is what keeps a key
+  holding a third of the rows out of a single task.
 * The single-partition window is faster on 150,000 rows because it skips the
   checkpoint and the offsets; it sorts everything in one task, which is what
   fails at scale. The distributed form is the default for gold builds.
