@@ -19,6 +19,7 @@ repeated queries over the same gold table pay for it once.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -39,7 +40,8 @@ def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
     limit = broadcast_limit(df.sparkSession) if limit_bytes is None else limit_bytes
     if limit < 0:
         return False
-    key = (df.semanticHash(), tuple(sorted(df.inputFiles())))
+    files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
+    key = (df.semanticHash(), files)  # a rewritten table has new files, so a new entry
     if key not in _SIZES:
         _SIZES[key] = projection_bytes(df)[1]
     return _SIZES[key] <= limit
