@@ -68,7 +68,8 @@ def rollup(fact: DataFrame, dim: DataFrame, key: str, by: list[str],
     """
     fact_groups = dict(fact_groups or {})
     dim_measures = dict(dim_measures or {})
-    d = dim.select(F.col(key).alias("_rk"), *by, *set(dim_measures.values()) - set(by))
+    extra = [c for c in dict.fromkeys(dim_measures.values()) if c not in by]
+    d = dim.select(F.col(key).alias("_rk"), *by, *extra)
     groups = [*by, *fact_groups]
     facts = fact.withColumns(fact_groups) if fact_groups else fact
     out_types = {}
