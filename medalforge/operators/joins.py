@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_limit
 
 # UnsafeRow layout: 8-byte null bitmap word + 8 bytes per field, variable-length
 # data rounded up to 8 bytes; plus hash-table overhead per entry.
@@ -46,9 +45,8 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     ``dim`` is the projection to join (key plus the columns to bring over).
     """
-    limit = broadcast_limit(fact.sparkSession) if limit_bytes is None else limit_bytes
-    _, size = projection_bytes(dim)
-    if size <= limit:
+    from .rollup import fits_broadcast  # measured once per plan and input files
+    if fits_broadcast(dim, limit_bytes):
         return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
     return _salted_join(fact, dim, fact_key, dim_key, hot_fraction)
 
