@@ -19,32 +19,17 @@ repeated queries over the same gold table pay for it once.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import broadcast_limit
-from .joins import projection_bytes
+from .joins import fits_broadcast
 
 # measure kinds: aggregate on fact rows, merge of partial results
 _FIRST = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}
 _MERGE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
-_SIZES: dict[tuple, int] = {}
-
-
-def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
-    """Whether ``df`` (a dimension projection) is under the broadcast bound, measured."""
-    limit = broadcast_limit(df.sparkSession) if limit_bytes is None else limit_bytes
-    if limit < 0:
-        return False
-    files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-    key = (df.semanticHash(), files)  # a rewritten table has new files, so a new entry
-    if key not in _SIZES:
-        _SIZES[key] = projection_bytes(df)[1]
-    return _SIZES[key] <= limit
 
 
 def _result_type(kind: str, dtype: T.DataType) -> T.DataType | None:
