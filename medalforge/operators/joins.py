@@ -1,8 +1,8 @@
 """Fact → dimension LEFT joins with a checked broadcast and salted hot keys.
 
 * If the dimension's join projection is provably small (rows and string bytes
-  measured by one aggregate over the dimension), it is broadcast: no shuffle of
-  the fact at all.
+  measured by one aggregate over the dimension, remembered per plan and input
+  files), it is broadcast: no shuffle of the fact at all.
 * Otherwise one shuffle join on (key, salt) is used. One pass over the fact's
   key column finds the *hot* keys, those holding at least ``hot_fraction`` of
   the rows; there are at most ``1 / hot_fraction`` of them, so they come back
