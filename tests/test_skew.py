@@ -94,3 +94,27 @@ def test_salted_join_property(spark, keys, hot_fraction):
                                                      hot_fraction=hot_fraction).collect())
     lookup = {"a": 1, "b": 2, "c": 3, "d": 4}
     assert got == sorted((i, k, lookup.get(k)) for i, k in enumerate(keys))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pairs=st.lists(st.tuples(st.dates(), st.dates()), min_size=1, max_size=50))
+def test_boundary_differences_property(spark, pairs):
+    from medalforge.functions import months_between_boundary, years_between_boundary
+    df = spark.createDataFrame(pairs, "a date, b date")
+    got = [(r.m, r.y) for r in df.select(months_between_boundary("a", "b").alias("m"),
+                                         years_between_boundary("a", "b").alias("y")).collect()]
+    assert got == [((b.year - a.year) * 12 + b.month - a.month, b.year - a.year) for a, b in pairs]
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.integers(0, 50)),
+                     min_size=1, max_size=120))
+def test_rollup_plans_property(spark, rows):
+    fact = spark.createDataFrame(rows, "k int, amount int")
+    dim = spark.createDataFrame([(k, f"g{k % 3}", k * 10) for k in range(5)], "k int, grp string, cost int")
+    results = []
+    for limit in (None, -1):  # broadcast join first; aggregate by key first
+        out = ops.rollup(fact, dim, "k", ["grp"], {"total": ("sum", "amount"), "n": ("count", "amount")},
+                         dim_measures={"cost": "cost"}, limit_bytes=limit)
+        results.append(sorted(map(tuple, out.collect()), key=str))
+    assert results[0] == results[1]
