@@ -356,3 +356,18 @@ def test_rollup_join_first_shuffles_only_the_attribute(spark):
     assert "BroadcastHashJoin" in plan
     assert "hashpartitioning(product_key" not in plan  # no per-key shuffle
     assert "hashpartitioning(category_name" in plan
+
+
+def test_every_analytic_shuffle_is_combined_map_side(spark):
+    """Below each query's lowest hash shuffle there is a partial aggregate, not raw rows."""
+    from medalforge.plans import catalog
+    gold = gold_for(spark, SF001)
+    for name in catalog.ANALYTICS:
+        lines = _plan(catalog.run(name, gold, "2002-01-01")).split("\n")
+        idx = [i for i, l in enumerate(lines) if "Exchange hashpartitioning" in l]
+        if not idx:
+            continue
+        lowest = idx[-1]  # printed last = closest to the scans
+        below = next((l for l in lines[lowest + 1:] if "Aggregate" in l or "Scan" in l), "")
+        combined = "partial_" in below or "functions=[]" in below  # DISTINCT: grouping only
+        assert "Aggregate" in below and combined, f"{name}: {below.strip()[:100]}"
