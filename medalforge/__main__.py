@@ -41,7 +41,9 @@ def main(argv: list[str] | None = None) -> int:
     build.add_argument("--fact-layout", choices=("rebalance", "sort"), default="rebalance",
                        help="rebalance (one shuffle, AQE-sized files) or sort within input splits")
     query = sub.add_parser("query", help="run a named query on the gold tables")
-    query.add_argument("name")
+    from .plans.catalog import ANALYTICS
+    query.add_argument("name", choices=sorted(ANALYTICS), metavar="name",
+                       help="a named query (see: python -m medalforge list)")
     query.add_argument("--root", required=True)
     query.add_argument("--as-of", default=None, help="date for ages and recency (default: today)")
     query.add_argument("--out", default=None, help="write the result as Parquet here")
