@@ -90,8 +90,13 @@ def measure_summary(fact: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     return out
 
 
+def _desc_then(alias: str, attr: str) -> list:
+    """Largest first; ties by the attribute, so the listing is deterministic."""
+    return [F.col(alias).desc(), F.col(attr).asc_nulls_first()]
+
+
 def _count_by(df: DataFrame, attr: str, key: str, alias: str) -> DataFrame:
-    return df.groupBy(attr).agg(F.count(key).alias(alias)).orderBy(F.col(alias).desc())
+    return df.groupBy(attr).agg(F.count(key).alias(alias)).orderBy(*_desc_then(alias, attr))
 
 
 def customers_by_country(dim_c: DataFrame) -> DataFrame:
@@ -109,7 +114,7 @@ def products_by_category(dim_p: DataFrame) -> DataFrame:
 def avg_cost_by_category(dim_p: DataFrame) -> DataFrame:
     alias = "Average_Product_Cost_per_Category"
     return (dim_p.groupBy("category_name").agg(F.avg("product_cost").alias(alias))
-            .orderBy(F.col(alias).desc()))
+            .orderBy(*_desc_then(alias, "category_name")))
 
 
 def _by_key(fact: DataFrame, key: str, **aggs) -> DataFrame:
@@ -119,7 +124,7 @@ def _by_key(fact: DataFrame, key: str, **aggs) -> DataFrame:
 def revenue_by_category(fact: DataFrame, dim_p: DataFrame) -> DataFrame:
     alias = "Total_revenue_per_Category"
     totals = rollup(fact, dim_p, "product_key", ["category_name"], {alias: ("sum", "sales_amount")})
-    return totals.orderBy(F.col(alias).desc())
+    return totals.orderBy(*_desc_then(alias, "category_name"))
 
 
 def revenue_by_customer(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
@@ -138,7 +143,7 @@ def items_sold_by_country(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
     """Counts sales rows with a quantity (not the quantity summed), as the reference does."""
     alias = "Total_Products_Sold_per_Country"
     totals = rollup(fact, dim_c, "customer_key", ["customer_country"], {alias: ("count", "quantity")})
-    return totals.orderBy(F.col(alias).desc())
+    return totals.orderBy(*_desc_then(alias, "customer_country"))
 
 
 def top_products(fact: DataFrame, dim_p: DataFrame, n: int = 5, best: bool = True) -> DataFrame:

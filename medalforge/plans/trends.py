@@ -144,7 +144,8 @@ def category_contribution(fact: DataFrame, dim_p: DataFrame, numeric: bool = Fal
                  percent_text(share).alias(f"category_{label}_percentage")]
         if numeric:
             cols.append(share.alias(f"category_{label}_share"))
-    return cat.select(*cols).orderBy(F.col("total_sales").desc())
+    return cat.select(*cols).orderBy(F.col("total_sales").desc(),
+                                     F.col("category_name").asc_nulls_first())
 
 
 # Cost band labels, fixed values (they are the output).

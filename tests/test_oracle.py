@@ -34,7 +34,9 @@ def test_entry_smoke(spark):
 # the row sequence must equal DuckDB's, not only the multiset of rows.
 ORDERED = ("product_hierarchy", "sales_by_year_month", "monthly_trend", "product_year_trend",
            "revenue_by_customer", "top5_products", "bottom5_products", "customer_360_top100",
-           "product_360_top100")
+           "product_360_top100", "customers_by_country", "customers_by_gender",
+           "products_by_category", "avg_cost_by_category", "revenue_by_category",
+           "items_sold_by_country", "category_contribution")
 
 
 @pytest.mark.parametrize("name", ORDERED)
