@@ -4,7 +4,7 @@ from .cleansing import (cleanse_customers, drop_critical, enforce_types, fill_un
                         latest_per_key, rename)
 from .gold import (GOLD_ORDER, GoldBuildError, active_only, build_gold, dim_customer_info, dim_product_info,
                    fact_sales, resolve_gender)
-from .joins import fits_broadcast, left_join_dim, projection_bytes
+from .joins import fits_broadcast, left_join_dim, measured_join, projection_bytes
 from .keys import surrogate_key
 from .rollup import rollup
 from .quality import (IntegrityError, assert_integrity, integrity_report, profile_columns,
@@ -15,4 +15,4 @@ __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown"
            "dim_customer_info", "dim_product_info", "fact_sales", "resolve_gender",
            "left_join_dim", "projection_bytes", "surrogate_key", "integrity_report",
            "profile_columns", "profile_tables", "IntegrityError", "assert_integrity",
-           "fits_broadcast", "rollup"]
+           "fits_broadcast", "measured_join", "rollup"]

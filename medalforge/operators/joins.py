@@ -57,6 +57,17 @@ def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
     return _SIZES[key] <= limit
 
 
+def measured_join(left: DataFrame, dim: DataFrame, on, how: str = "left",
+                  limit_bytes: int | None = None) -> DataFrame:
+    """Join ``left`` to a dimension-sized ``dim``: broadcast only if measured under the bound.
+
+    Otherwise the join is hinted as a sort-merge join, so the planner cannot
+    broadcast ``dim`` on an estimate from compressed file sizes either.
+    """
+    side = F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim.hint("merge")
+    return left.join(side, on, how)
+
+
 def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                   limit_bytes: int | None = None, hot_fraction: float = 1e-3) -> DataFrame:
     """``fact LEFT JOIN dim ON fact_key = dim_key``; ``dim`` should be unique on its key.
@@ -96,5 +107,6 @@ def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     dim_salted = dim.withColumn("_dsalt", F.explode(
         F.when(F.col(dim_key).isin(hot), every_salt).otherwise(F.array(F.lit(0).cast("bigint")))))
     cond = (salted[fact_key] == dim_salted[dim_key]) & (salted["_salt"] == dim_salted["_dsalt"])
-    return (salted.join(dim_salted, cond, "left")
+    # measured too large to broadcast: keep it a shuffle join on (key, salt)
+    return (salted.join(dim_salted.hint("merge"), cond, "left")
             .drop(dim_salted[dim_key]).drop("_salt", "_dsalt"))

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import measured_join
+
 
 def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
     """One row per reference ``fact_key → (dimension name, dimension, dim_key)``.
@@ -19,7 +21,7 @@ def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, s
     for fact_key, (dim_name, dim, dim_key) in refs.items():
         per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
         known = dim.select(F.col(dim_key).alias("_k")).distinct().withColumn("_m", F.lit(True))
-        joined = per_key.join(known, "_k", "left")
+        joined = measured_join(per_key, known, "_k")
         k, n = F.col("_k"), F.col("_n")
         parts.append(joined.agg(
             F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("fact_rows"),

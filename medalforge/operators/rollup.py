@@ -73,7 +73,7 @@ def rollup(fact: DataFrame, dim: DataFrame, key: str, by: list[str],
         if dim_measures:
             per_key.append(F.count(F.lit(1)).alias("_rows"))
         partial = facts.groupBy(key, *fact_groups).agg(*per_key)
-        joined = partial.join(d, partial[key] == d["_rk"], "left")
+        joined = partial.join(d.hint("merge"), partial[key] == d["_rk"], "left")
         aggs = [_MERGE[kind](f"_p_{name}").alias(name) for name, (kind, _) in measures.items()]
         aggs += [F.sum(F.col(col) * F.col("_rows")).alias(name) for name, col in dim_measures.items()]
         out = joined.groupBy(*groups).agg(*aggs)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_of_date, years_between_boundary
+from ..operators.joins import measured_join
 from ..operators.rollup import rollup
 
 
@@ -131,7 +132,7 @@ def revenue_by_customer(fact: DataFrame, dim_c: DataFrame) -> DataFrame:
     alias = "Total_revenue_per_Customer"
     per_customer = _by_key(fact, "customer_key", _rev=F.sum("sales_amount"))
     d = dim_c.select(F.col("customer_key").alias("_dk"), "first_name", "last_name")
-    joined = per_customer.join(d, per_customer.customer_key == d._dk, "left")
+    joined = measured_join(per_customer, d, per_customer.customer_key == d._dk)
     # Unmatched and NULL fact keys both end in the NULL dimension key group.
     # the key as tiebreak keeps the global sort splittable when many totals are equal
     return (joined.groupBy(F.col("_dk").alias("customer_key"), "first_name", "last_name")

@@ -94,10 +94,10 @@ def surrogate_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def resolve_gender_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_for(spark, sf_dir)
-    c, d = silver["crm_cust_info"].alias("c"), silver["erp_cust_az12"].alias("d")
-    return (c.join(d, F.col("c.cust_key") == F.col("d.cid"), "left")
-             .select("c.cust_id", "c.cust_gender", "d.gen",
-                     ops.resolve_gender(F.col("c.cust_gender"), F.col("d.gen")).alias("customer_gender")))
+    joined = ops.left_join_dim(silver["crm_cust_info"], silver["erp_cust_az12"].select("cid", "gen"),
+                               "cust_key", "cid")
+    return joined.select("cust_id", "cust_gender", "gen",
+                         ops.resolve_gender("cust_gender", "gen").alias("customer_gender"))
 
 
 def _analytic(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:

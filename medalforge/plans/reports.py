@@ -15,6 +15,7 @@ from ..functions.bands import band, safe_ratio
 from ..functions.dates import (age_days_based, as_of_date, months_between_boundary,
                                years_between_boundary)
 from ..functions.text import full_name
+from ..operators.joins import measured_join
 
 # Report labels, fixed values (they are the output). 'Dead' is the reference's
 # label for the oldest band; pass other labels to change it.
@@ -52,7 +53,7 @@ def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "o
         F.max("order_date").alias("latest_order_date")))
     d = dim_c.select(F.col("customer_key").alias("_dk"), "customer_number", "first_name",
                      "last_name", "customer_birthdate", "customer_gender")
-    det = agg.join(d, agg.customer_key == d._dk, "left")
+    det = measured_join(agg, d, agg.customer_key == d._dk)
     today = as_of_date(as_of)
     det = det.withColumns({
         "customer_age": (years_between_boundary("customer_birthdate", today) if age == "boundary"
@@ -104,7 +105,7 @@ def product_360(fact: DataFrame, dim_p: DataFrame, as_of=None, high: float = 500
     d = dim_p.select(F.col("product_key").alias("_dk"), "product_name",
                      F.col("category_name").alias("product_category"),
                      F.col("subcategory_name").alias("product_subcategory"), "product_cost")
-    det = agg.join(d, agg.product_key == d._dk, "left")
+    det = measured_join(agg, d, agg.product_key == d._dk)
     today = as_of_date(as_of)
     sales = F.col("total_sales")
     return det.select(

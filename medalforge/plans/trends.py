@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.bands import band, safe_ratio
 from ..functions.dates import month_abbrev, month_start, months_between_boundary
 from ..functions.text import percent_text
+from ..operators.joins import measured_join
 from ..operators.rollup import rollup
 
 
@@ -171,7 +172,7 @@ def customer_value_segments(fact: DataFrame, dim_c: DataFrame, months: int = 12,
         F.max("order_date").alias("_l"))
     d = dim_c.select(F.col("customer_key").alias("_dk"))
     # Re-key on the dimension: unmatched and NULL fact keys share the NULL group.
-    life = (per.join(d, per.customer_key == d._dk, "left").groupBy("_dk")
+    life = (measured_join(per, d, per.customer_key == d._dk).groupBy("_dk")
                .agg(F.sum("_s").alias("total_sales"), F.min("_f").alias("_f"),
                     F.max("_l").alias("_l")))
     months_active = months_between_boundary("_f", "_l")

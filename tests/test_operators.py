@@ -371,3 +371,13 @@ def test_every_analytic_shuffle_is_combined_map_side(spark):
         below = next((l for l in lines[lowest + 1:] if "Aggregate" in l or "Scan" in l), "")
         combined = "partial_" in below or "functions=[]" in below  # DISTINCT: grouping only
         assert "Aggregate" in below and combined, f"{name}: {below.strip()[:100]}"
+
+
+def test_measured_join_overrides_the_planner_estimate(spark):
+    left = spark.range(100).withColumnRenamed("id", "k")
+    dim = spark.createDataFrame([(i, f"v{i}") for i in range(10)], "k long, v string")
+    small = _plan(ops.measured_join(left, dim, "k"))
+    assert "BroadcastHashJoin" in small
+    forced = _plan(ops.measured_join(left, dim, "k", limit_bytes=0))
+    assert "SortMergeJoin" in forced and "BroadcastHashJoin" not in forced
+    assert ops.measured_join(left, dim, "k", limit_bytes=0).count() == 100
