@@ -1,4 +1,9 @@
-"""Bronze landing: raw files kept exactly as they arrived, every field a string."""
+"""Bronze landing: raw files kept exactly as they arrived, every field a string.
+
+CSV is read line by line, so files split across tasks. Sources whose quoted
+fields contain line breaks would need Spark's ``multiLine`` option, which reads
+each file in one task; land such sources as JSON lines instead.
+"""
 
 from __future__ import annotations
 
