@@ -9,8 +9,9 @@
   as a bounded list. Fact rows of hot keys and rows with a NULL key (which can
   never match, and would otherwise all land in one task) get a salt from a
   hash of the whole row; all other rows get salt 0. Dimension rows of hot keys
-  are repeated once per salt. No key then holds more than ``hot_fraction`` of
-  the rows of any task, and the fact is read twice in all (key column, join).
+  are repeated once per salt. A hot key's rows are then spread evenly over all
+  partitions, every other key holds under ``hot_fraction`` of the rows, and the
+  fact is read twice in all (key column, join).
 """
 
 from __future__ import annotations
