@@ -88,8 +88,8 @@ def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     hash of the whole row, which is the same on every retry; all other rows get
     salt 0. Dimension rows of hot keys are repeated once per salt (at most
     ``salts / hot_fraction`` extra rows), the others keep salt 0. Joining on
-    (key, salt) then leaves no key with more than ``hot_fraction`` of the fact
-    rows in one task.
+    (key, salt) spreads each hot key over ``salts`` tasks; every other key holds
+    less than ``hot_fraction`` of the fact rows.
     """
     n = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(fact_key)
