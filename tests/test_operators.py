@@ -381,3 +381,14 @@ def test_measured_join_overrides_the_planner_estimate(spark):
     forced = _plan(ops.measured_join(left, dim, "k", limit_bytes=0))
     assert "SortMergeJoin" in forced and "BroadcastHashJoin" not in forced
     assert ops.measured_join(left, dim, "k", limit_bytes=0).count() == 100
+
+
+def test_build_gold_is_create_or_replace(spark):
+    from medalforge.operators.gold import build_gold
+    from medalforge.warehouse import silver_for
+    layers = Layers(spark, scratch_path(spark, "test-idempotent"))
+    silver = silver_for(spark, SF001)
+    first = {n: sorted(map(tuple, df.collect()), key=str) for n, df in build_gold(silver, layers).items()}
+    again = build_gold(silver, layers)  # same folders: replaced, not appended
+    for name, rows in first.items():
+        assert sorted(map(tuple, again[name].collect()), key=str) == rows, name
