@@ -69,20 +69,32 @@ def profile_tables(tables: Mapping[str, DataFrame]) -> DataFrame:
 def profile_columns(df: DataFrame, exact: bool = True, rsd: float = 0.01) -> DataFrame:
     """One row per column: column_name, ordinal_position, data_type, null_count, distinct_count.
 
-    One aggregate pass over the table. ``exact=False`` uses HyperLogLog++
-    (``approx_count_distinct``), which avoids the per-column row expansion
-    that exact multi-column distinct counting needs on very large tables.
+    Exact counts run one aggregate per column (its NULL count and its distinct
+    count, a single-distinct aggregate), so every column is read once and no
+    row is expanded; several distinct counts in one aggregate would make Spark
+    copy each row once per column. ``exact=False`` counts all columns in one
+    pass with HyperLogLog++ (``approx_count_distinct``).
     """
-    aggs = []
+    names = ("column_name", "ordinal_position", "data_type", "null_count", "distinct_count")
+
+    def row(i: int, c: str, nulls: str, distinct: str) -> list:
+        return [F.lit(c), F.lit(i + 1), F.lit(df.schema[c].dataType.simpleString()),
+                F.col(nulls), F.col(distinct).cast("long")]
+
+    if not exact:
+        aggs = []
+        for i, c in enumerate(df.columns):
+            col = F.col(f"`{c}`")
+            aggs += [F.count(F.when(col.isNull(), 1)).alias(f"n{i}"),
+                     F.approx_count_distinct(col, rsd).alias(f"d{i}")]
+        entries = [e for i, c in enumerate(df.columns) for e in row(i, c, f"n{i}", f"d{i}")]
+        return df.agg(*aggs).select(F.stack(F.lit(len(df.columns)), *entries).alias(*names))
+    parts = []
     for i, c in enumerate(df.columns):
         col = F.col(f"`{c}`")
-        aggs.append(F.count(F.when(col.isNull(), 1)).alias(f"n{i}"))
-        aggs.append((F.count_distinct(col) if exact else F.approx_count_distinct(col, rsd))
-                    .cast("long").alias(f"d{i}"))
-    wide = df.agg(*aggs)
-    entries = []
-    for i, c in enumerate(df.columns):
-        entries += [F.lit(c), F.lit(i + 1), F.lit(df.schema[c].dataType.simpleString()),
-                    F.col(f"n{i}"), F.col(f"d{i}")]
-    return wide.select(F.stack(F.lit(len(df.columns)), *entries).alias(
-        "column_name", "ordinal_position", "data_type", "null_count", "distinct_count"))
+        one = df.agg(F.count(F.when(col.isNull(), 1)).alias("n"), F.count_distinct(col).alias("d"))
+        parts.append(one.select(*[e.alias(n) for e, n in zip(row(i, c, "n", "d"), names)]))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

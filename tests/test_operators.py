@@ -202,6 +202,8 @@ def test_profile_columns_exact_and_approx(spark):
     assert exact["y"].data_type == "string" and exact["y"].ordinal_position == 2
     approx = {r.column_name: r for r in ops.profile_columns(df, exact=False).collect()}
     assert approx["x"].distinct_count == 2
+    plan = ops.profile_columns(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan  # one single-distinct aggregate per column
 
 
 def test_single_partition_exchanges_only_carry_aggregates(spark):
