@@ -59,13 +59,16 @@ def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
 
 
 def measured_join(left: DataFrame, dim: DataFrame, on, how: str = "left",
-                  limit_bytes: int | None = None) -> DataFrame:
+                  limit_bytes: int | None = None, bound: DataFrame | None = None) -> DataFrame:
     """Join ``left`` to a dimension-sized ``dim``: broadcast only if measured under the bound.
 
     Otherwise the join is hinted as a sort-merge join, so the planner cannot
     broadcast ``dim`` on an estimate from compressed file sizes either.
+    ``bound`` is measured instead of ``dim`` when it is a cheaper upper bound
+    (the key column itself for its distinct values, say).
     """
-    side = F.broadcast(dim) if fits_broadcast(dim, limit_bytes) else dim.hint("merge")
+    fits = fits_broadcast(dim if bound is None else bound, limit_bytes)
+    side = F.broadcast(dim) if fits else dim.hint("merge")
     return left.join(side, on, how)
 
 

@@ -20,8 +20,10 @@ def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, s
     parts = []
     for fact_key, (dim_name, dim, dim_key) in refs.items():
         per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        known = dim.select(F.col(dim_key).alias("_k")).distinct().withColumn("_m", F.lit(True))
-        joined = measured_join(per_key, known, "_k")
+        keys = dim.select(F.col(dim_key).alias("_k"))
+        known = keys.distinct().withColumn("_m", F.lit(True))
+        # all keys bound the distinct ones, and measuring them needs no shuffle
+        joined = measured_join(per_key, known, "_k", bound=keys.withColumn("_m", F.lit(True)))
         k, n = F.col("_k"), F.col("_n")
         parts.append(joined.agg(
             F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("fact_rows"),
