@@ -394,3 +394,13 @@ def test_build_gold_is_create_or_replace(spark):
     again = build_gold(silver, layers)  # same folders: replaced, not appended
     for name, rows in first.items():
         assert sorted(map(tuple, again[name].collect()), key=str) == rows, name
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_left_join_dim_same_key_name(spark, limit):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None), (4, "zz")], "row long, k string")
+    dim = spark.createDataFrame([("a", 10), ("b", 20)], "k string, v int")
+    out = ops.left_join_dim(fact, dim, "k", "k", limit_bytes=limit)
+    assert out.columns == ["row", "k", "v"]
+    assert sorted(map(tuple, out.collect()), key=str) == \
+        [(1, "a", 10), (2, "b", 20), (3, None, None), (4, "zz", None)]
