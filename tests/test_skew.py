@@ -118,3 +118,28 @@ def test_rollup_plans_property(spark, rows):
                          dim_measures={"cost": "cost"}, limit_bytes=limit)
         results.append(sorted(map(tuple, out.collect()), key=str))
     assert results[0] == results[1]
+
+
+def test_dense_monthly_trend_against_duckdb(spark, con):
+    """Months without sales (every March removed) appear as zero rows, as in a calendar join."""
+    from medalforge.oracle import oracle_sql
+    gold = gold_for(spark, SF01)
+    fact = gold["fact_sales"].where(F.month("order_date") != 3)
+    df = trends.monthly_trend(fact, dense=True)
+    sql = oracle_sql()["monthly_trend"]
+    sql = sql.replace("FROM fact_sales WHERE order_date IS NOT NULL GROUP BY 1)",
+                      "FROM fact_sales WHERE order_date IS NOT NULL AND month(order_date) <> 3 GROUP BY 1),\n"
+                      "calendar AS (\n"
+                      "  SELECT CAST(m AS DATE) AS order_month FROM generate_series(\n"
+                      "    (SELECT CAST(min(order_month) AS TIMESTAMP) FROM monthly),\n"
+                      "    (SELECT CAST(max(order_month) AS TIMESTAMP) FROM monthly), INTERVAL 1 MONTH) t(m)),\n"
+                      "dense AS (\n"
+                      "  SELECT c.order_month, COALESCE(m.total_sales, 0) AS total_sales,\n"
+                      "         COALESCE(m.total_quantity, 0) AS total_quantity,\n"
+                      "         COALESCE(m.total_units_solds, 0) AS total_units_solds\n"
+                      "  FROM calendar c LEFT JOIN monthly m ON c.order_month = m.order_month)")
+    sql = sql.replace("  FROM monthly)", "  FROM dense)")
+    assert "FROM dense)" in sql and "calendar AS" in sql
+    assert df.where(F.month("order_month") == 3).count() > 0  # the gaps are filled
+    ok, msg = compare(df, con, sql)
+    assert ok, msg
