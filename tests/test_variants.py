@@ -52,3 +52,33 @@ def test_days_based_age(spark, con):
                 "AS INTEGER) AS customer_age")
     ok, msg = compare(df, con, sql)
     assert ok, msg
+
+
+def test_value_segment_parameters(spark, con):
+    g = gold_for(spark, SF01)
+    df = trends.customer_value_segments(g["fact_sales"], g["dim_customer_info"], months=30,
+                                        amount=20000)
+    sql = oracle_sql()["customer_value_segments"]
+    sql = _edit(sql, ">= 12 AND total_sales > 5000", ">= 30 AND total_sales > 20000")
+    sql = _edit(sql, ">= 12 AND total_sales <= 5000", ">= 30 AND total_sales <= 20000")
+    ok, msg = compare(df, con, sql)
+    assert ok, msg
+
+
+def test_cost_band_parameters(spark, con):
+    g = gold_for(spark, SF01)
+    df = trends.product_cost_bands(g["dim_product_info"], low=300, high=600)
+    sql = _edit(oracle_sql()["product_cost_bands"], "product_cost < 200", "product_cost < 300")
+    sql = _edit(sql, "BETWEEN 200 AND 1000", "BETWEEN 300 AND 600")
+    ok, msg = compare(df, con, sql)
+    assert ok, msg
+
+
+def test_rolling_window_parameter(spark, con):
+    g = gold_for(spark, SF01)
+    df = trends.monthly_trend(g["fact_sales"], window=6)
+    sql = oracle_sql()["monthly_trend"].replace("ROWS BETWEEN 2 PRECEDING", "ROWS BETWEEN 5 PRECEDING")
+    sql = _edit(sql, "AS rolling_3_month_avg_sales", "AS rolling_6_month_avg_sales")
+    assert "rolling_6_month_avg_sales" in df.columns
+    ok, msg = compare(df, con, sql)
+    assert ok, msg
