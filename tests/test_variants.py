@@ -82,3 +82,23 @@ def test_rolling_window_parameter(spark, con):
     assert "rolling_6_month_avg_sales" in df.columns
     ok, msg = compare(df, con, sql)
     assert ok, msg
+
+
+def test_product_segment_thresholds(spark, con):
+    g = gold_for(spark, SF01)
+    df = reports.product_360(g["fact_sales"], g["dim_product_info"], AS_OF, high=30000,
+                             mid_low=5000, mid_high=29999)
+    sql = _edit(oracle_sql()["product_360"], "WHEN total_sales >= 50000", "WHEN total_sales >= 30000")
+    sql = _edit(sql, "BETWEEN 10000 AND 49999", "BETWEEN 5000 AND 29999")
+    ok, msg = compare(df, con, sql)
+    assert ok, msg
+
+
+def test_age_band_labels(spark, con):
+    g = gold_for(spark, SF01)
+    labels = ("Not Adult", "Middle Age", "Old", "Senior")
+    df = reports.customer_360(g["fact_sales"], g["dim_customer_info"], AS_OF, age_labels=labels)
+    sql = _edit(oracle_sql()["customer_360"], "ELSE 'Dead' END AS customer_situation",
+                "ELSE 'Senior' END AS customer_situation")
+    ok, msg = compare(df, con, sql)
+    assert ok, msg
