@@ -29,3 +29,15 @@ def test_stream_lands_new_files_once(spark):
     land(second, f"{inbox}/batch=2", "json")
     land_stream(spark, f"{inbox}/batch=2", "json", schema, other).awaitTermination()
     assert spark.read.parquet(other).exceptAll(second).count() == 0
+
+
+def test_stream_in_several_micro_batches(spark):
+    raw = bronze_customer(source(spark, SF001, "customer")).repartition(3)
+    inbox, target = scratch_path(spark, "inbox-multi"), scratch_path(spark, "bronze-multi")
+    land(raw, inbox, "json")  # three files
+    query = land_stream(spark, inbox, "json", STRING(BRONZE_CUSTOMER_COLUMNS), target,
+                        max_files_per_trigger=1)
+    query.awaitTermination()
+    assert len(query.recentProgress) >= 3  # one file per micro-batch
+    assert spark.read.parquet(target).exceptAll(raw).count() == 0
+    assert spark.read.parquet(target).count() == raw.count()
