@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from .langid import op9_language_id
+from .quality import op3_quality_rules
 
 
 def queries() -> dict:
     return {
+        "op3_quality_rules": op3_quality_rules,
         "op9_language_id": op9_language_id,
     }
 
