@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
 from .quality import op3_quality_rules
 
@@ -9,6 +10,7 @@ from .quality import op3_quality_rules
 def queries() -> dict:
     return {
         "op3_quality_rules": op3_quality_rules,
+        "op5_ngram_jaccard": op5_ngram_jaccard,
         "op9_language_id": op9_language_id,
     }
 
