@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
+from .mixing import op10_pareto_mix
 from .quality import op3_quality_rules
 
 
@@ -12,6 +13,7 @@ def queries() -> dict:
         "op3_quality_rules": op3_quality_rules,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op9_language_id": op9_language_id,
+        "op10_pareto_mix": op10_pareto_mix,
     }
 
 
