@@ -39,7 +39,7 @@ class Pieces:
         self.pieces, self.scores = list(pieces), np.asarray(scores, float)
         self.byte_ids, self.end_id, self.log_scores = np.asarray(byte_ids), end_id, log_scores
         skipped = set(byte_ids)
-        self.usable = np.array([i not in skipped and i != end_id and bool(p) and s > -1e8
+        self.usable = np.array([i not in skipped and i != end_id and bool(p) and (s > -1e8 or len(p) == 1)
                                 and not (p[0] == "<" and p[-1] == ">" and len(p) > 1)
                                 and MARK not in p[1:]
                                 for i, (p, s) in enumerate(zip(self.pieces, self.scores))])
@@ -109,9 +109,9 @@ class Pieces:
         Byte pieces and the end piece share the mass of one late-ranked piece each.
         """
         w = np.exp(self.scores) if self.log_scores else 1.0 / (10.0 + np.maximum(-self.scores, 0.0))
-        used = self.usable.copy()
-        least = w[used].min() if used.any() else 1.0
-        p = np.where(used, w, 0.0)
+        ranked = self.usable & (self.scores > -1e8)
+        least = w[ranked].min() if ranked.any() else 1.0
+        p = np.where(self.usable, np.maximum(w, least), 0.0)
         p[self.byte_ids] = least
         p[self.end_id] = least
         with np.errstate(divide="ignore"):

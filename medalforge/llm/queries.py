@@ -6,10 +6,12 @@ from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
 from .mixing import op10_pareto_mix
 from .quality import op3_quality_rules
+from .sampling import op2_gumbel_encoding
 
 
 def queries() -> dict:
     return {
+        "op2_gumbel_encoding": op2_gumbel_encoding,
         "op3_quality_rules": op3_quality_rules,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op9_language_id": op9_language_id,
