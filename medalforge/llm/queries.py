@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op4_hilbert_neighbours
 from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
 from .mixing import op10_pareto_mix
@@ -13,6 +14,7 @@ def queries() -> dict:
     return {
         "op2_gumbel_encoding": op2_gumbel_encoding,
         "op3_quality_rules": op3_quality_rules,
+        "op4_hilbert_neighbours": op4_hilbert_neighbours,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op9_language_id": op9_language_id,
         "op10_pareto_mix": op10_pareto_mix,
