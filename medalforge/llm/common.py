@@ -43,11 +43,11 @@ def remainder(column: str, modulus: int) -> Column:
 
 
 def strings(values) -> pa.Array:
-    """One plain string array, nulls as empty strings."""
+    """One plain string array of its own memory (some kernels misread slices), nulls as empty strings."""
     array = values.combine_chunks() if isinstance(values, pa.ChunkedArray) else values
-    if not pa.types.is_large_string(array.type):
-        array = array.cast(pa.large_string())
-    return pc.fill_null(array, "")
+    if array.offset:
+        array = array.take(pa.array(np.arange(len(array))))
+    return pc.fill_null(array.cast(pa.large_string()), "")
 
 
 def steps(batches: Iterator[pa.RecordBatch], text: str = "text",
