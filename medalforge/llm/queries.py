@@ -5,6 +5,7 @@ from __future__ import annotations
 from .ann import op4_hilbert_neighbours
 from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
+from .lmscore import op1_lattice_score
 from .mixing import op10_pareto_mix
 from .quality import op3_quality_rules
 from .sampling import op2_gumbel_encoding
@@ -12,6 +13,7 @@ from .sampling import op2_gumbel_encoding
 
 def queries() -> dict:
     return {
+        "op1_lattice_score": op1_lattice_score,
         "op2_gumbel_encoding": op2_gumbel_encoding,
         "op3_quality_rules": op3_quality_rules,
         "op4_hilbert_neighbours": op4_hilbert_neighbours,
