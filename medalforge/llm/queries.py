@@ -9,6 +9,7 @@ from .lmscore import op1_lattice_score
 from .mixing import op10_pareto_mix
 from .quality import op3_quality_rules
 from .sampling import op2_gumbel_encoding
+from .toxicity import op6_toxicity
 
 
 def queries() -> dict:
@@ -18,6 +19,7 @@ def queries() -> dict:
         "op3_quality_rules": op3_quality_rules,
         "op4_hilbert_neighbours": op4_hilbert_neighbours,
         "op5_ngram_jaccard": op5_ngram_jaccard,
+        "op6_toxicity": op6_toxicity,
         "op9_language_id": op9_language_id,
         "op10_pareto_mix": op10_pareto_mix,
     }
