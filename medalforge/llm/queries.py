@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .ann import op4_hilbert_neighbours
+from .chat import op8_chat_formatting
 from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
 from .lmscore import op1_lattice_score
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op4_hilbert_neighbours": op4_hilbert_neighbours,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_toxicity": op6_toxicity,
+        "op8_chat_formatting": op8_chat_formatting,
         "op9_language_id": op9_language_id,
         "op10_pareto_mix": op10_pareto_mix,
     }
