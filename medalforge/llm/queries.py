@@ -6,6 +6,7 @@ from .ann import op4_hilbert_neighbours
 from .chat import op8_chat_formatting
 from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
+from .license import op7_license_scan
 from .lmscore import op1_lattice_score
 from .mixing import op10_pareto_mix
 from .quality import op3_quality_rules
@@ -21,6 +22,7 @@ def queries() -> dict:
         "op4_hilbert_neighbours": op4_hilbert_neighbours,
         "op5_ngram_jaccard": op5_ngram_jaccard,
         "op6_toxicity": op6_toxicity,
+        "op7_license_scan": op7_license_scan,
         "op8_chat_formatting": op8_chat_formatting,
         "op9_language_id": op9_language_id,
         "op10_pareto_mix": op10_pareto_mix,
