@@ -22,20 +22,25 @@ from medalforge.llm import jaccard, langid, mixing, quality, sampling
 from medalforge.llm.common import stored, table
 
 
+def _packed(docs: DataFrame, *columns: str) -> DataFrame:
+    """The columns that a stage reads, and the whole row aside, so names that a stage adds cannot clash."""
+    return docs.select(*columns, F.struct("*").alias("_all"))
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    predicted = langid.predict(docs, langid.train(docs))
-    return predicted.where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    predicted = langid.predict(_packed(docs, "text"), langid.train(docs))
+    return predicted.where(F.col("lang_pred") != langid.UNKNOWN).select("_all.*")
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.filter_quality(docs).where("kept").select(*docs.columns)
+    return quality.filter_quality(_packed(docs, "doc_id", "text")).where("kept").select("_all.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = mixing.numbered(docs)
+    rows = mixing.numbered(_packed(docs, "text"))
     linked = jaccard.link_documents(rows.select(F.col("_row").alias("doc_id"), "text"))
     copies = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_row"))
-    return rows.join(copies, "_row", "left_anti").select(*docs.columns)
+    return rows.join(copies, "_row", "left_anti").select("_all.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

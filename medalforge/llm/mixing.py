@@ -181,10 +181,10 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
 
 def take(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mixed documents themselves, each as often as it is taken, with the columns of the input."""
-    rows = numbered(documents)
+    rows = numbered(documents.select("doc_id", "source", "text", F.struct("*").alias("_all")))
     copies = mix(rows.select("_row", "doc_id", "source", "text"), weights, cap).where("copies > 0").select("_row", "copies")
     return (rows.join(copies, "_row")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*documents.columns))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_all.*"))
 
 
 def op10_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ The sample is picked by a hash over the whole table, ``sample_rows`` expected.
 Words are runs of characters other than space and \\x09-\\x0D; lines are split
 at \\n. Defined results: null text counts as empty (no words, rejected by
 ``too_few_words``); a rule that yields null does not reject. Input columns
-stay, ``rejected_by`` and ``kept`` replace columns of those names.
+stay; the measures, ``rejected_by`` and ``kept`` replace columns of those names.
 """
 
 from __future__ import annotations
@@ -99,6 +99,8 @@ HELPERS = ("n_lines",)
 
 
 def with_measures(df: DataFrame, text: str = "text") -> DataFrame:
+    """Append the measures; they replace columns of their names."""
+    df = df.drop(*MEASURES, *HELPERS, "_m")
     return df.withColumn("_m", measures(F.col(text))).select("*", *[F.col("_m")[m].alias(m) for m in MEASURES + HELPERS]).drop("_m")
 
 
