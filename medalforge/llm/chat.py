@@ -134,7 +134,7 @@ class Reader:
     _mark = re.compile(r"\\.|### |:\n|</turn>\n", re.S)
 
     def __init__(self):
-        self.rest, self.role, self.inside = "", None, False
+        self.rest, self.role = "", None
 
     def feed(self, text: str) -> Iterator[tuple[str, str]]:
         """(role, text) of each turn that ends in what has been fed."""
@@ -157,8 +157,6 @@ class Reader:
                 yield self.role, _unescaped(self.rest[start:m.start()])
                 self.role, start, heading = None, at, "role"
         self.rest = self.rest[start:]
-        if self.role is None and start == 0 and self.rest and not self.rest.startswith(OPEN):
-            raise ValueError("not formatted text")
 
 
 def read_back(text: str) -> list[tuple[str, str]]:
