@@ -21,12 +21,14 @@ Candidates are verified in two rounds, and no round lists all pairs of a group:
 
 1. every set against the first of each of its blocks; links give components;
 2. in blocks that still hold several components, sets of different components
-   only, those of the largest component against the others, and only pairs whose
-   bit sketches (one parity bit per token) differ in at most as many bits as the
-   symmetric difference may have. All other pairs are connected already.
+   only, those of the largest component against the others. All other pairs are
+   connected already.
 
-Verification compares whole shingle sets, read again from the texts of the
-candidates. Components come from repeated star contraction on the links.
+Either round drops pairs whose bit sketches (one parity bit per token) differ in
+more bits than the symmetric difference may have, and verifies the rest on whole
+shingle sets, read again from the texts: the sets of a candidate's partners come to
+its own, and a candidate with many partners is dealt out to many groups.
+Components come from repeated star contraction on the links.
 
 Defined results: null text or one without words has an empty set, links with
 nothing and is its own component; rows with a null ``doc_id`` get a null
@@ -47,6 +49,9 @@ from .common import encoded, steps, stored, strings, table, words_of
 
 SHINGLE = 5
 LOCAL_GROUP = 16      # sets of one task on one block before they are pre-aggregated
+PARTNERS = 256        # partners of one set that are verified in one group
+STEP = 3 << 20        # text bytes that a task works on at once
+FILTER_BITS = 1 << 26 # bits of the filter that spares texts without candidates a shuffle
 ATTEMPTS = 4
 _U = np.uint64
 _C1, _C2, _C3 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
@@ -74,7 +79,7 @@ def bound(band: np.ndarray) -> np.ndarray:
 
 def blocks(band: np.ndarray) -> np.ndarray:
     d = bound(band)
-    return np.where(d > 0, np.ceil(1.35 * (d + 1)).astype(np.int64) + 6, 0)
+    return np.where(d > 0, np.ceil(1.25 * (d + 1)).astype(np.int64) + 6, 0)
 
 
 def shingle_sets(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,24 +175,49 @@ def sketch_keys(value: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple
     return np.concatenate(out_who), np.concatenate(out_key)
 
 
-_PACKED = "p int, kind int, a binary, b binary, c binary"
+def _parity_bits(value: np.ndarray, band: int) -> np.ndarray:
+    """One parity bit per token, 64 to a long; about four bits per allowed difference."""
+    longs = int(4 * (bound(np.array([band]))[0] + 1) // 64 + 1)
+    at = (mixed(value ^ _C2) % _U(64 * longs)).astype(np.int64)
+    bits = (np.bincount(at, minlength=64 * longs) & 1).astype(np.uint8)
+    return np.packbits(bits).view(np.int64)
+
+
+_PACKED = "p int, kind int, a binary, b binary, c binary, d binary, bits array<binary>"
+_NAMES = ["p", "kind", "a", "b", "c", "d", "bits"]
 
 
-def _row(p, kind, a, b, c=None):
-    return p, kind, a.tobytes(), b.tobytes(), b"" if c is None else c.tobytes()
+def _row(p, kind, a, b, c=None, d=None, bits=None):
+    return (p, kind, a.tobytes(), b.tobytes(), b"" if c is None else c.tobytes(), b"" if d is None else d.tobytes(), bits)
+
+
+def _short(key: np.ndarray) -> np.ndarray:
+    """Keys in seven bytes: the highest byte is left out."""
+    return np.ascontiguousarray(key.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :7]
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 7, 8), np.uint8)
+    out[:, :7] = np.frombuffer(raw, np.uint8).reshape(-1, 7)
+    return out.view("<u8").reshape(-1).astype(_U)
 
 
 def _packed(batches, parts: int):
     """Texts to packed rows: kind 0 block keys and classes; kind 1 pre-aggregated ones with the class
     they are tied to; kind 2 documents, their classes and sizes."""
     turn = 0
-    for batch in steps(batches):
+    for batch in steps(batches, limit=STEP):
         value, owner, size = shingle_sets(strings(batch.column("text")))
         node = digests(value, size)
         ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
         turn += 1
-        out = [_row((turn * 7919 + int(abs(node[0])) % parts) % parts, 2,
-                    np.asarray(ids, np.int64), node, size.astype(np.int64))]
+        ends = np.cumsum(size)
+        own = np.searchsorted(_BANDS, size, side="right") - 1
+        bits = [None if not n else b"".join(_parity_bits(value[e - n:e], j + k).tobytes() for k in (0, 1))
+                for n, e, j in zip(size.tolist(), ends.tolist(), own.tolist())]
+        lane = lambda: (turn * 7919 + int(abs(node[0])) % parts) % parts
+        out = [_row(lane(), 2, np.asarray(ids, np.int64), node, size.astype(np.int64),
+                    batch.column("row").to_numpy(), bits)]
         # one set per class
         _, first = np.unique(node, return_index=True)
         mine = np.zeros(len(size), bool)
@@ -195,6 +225,7 @@ def _packed(batches, parts: int):
         mine &= size > 0
         rows = mine[owner]
         who, key = sketch_keys(value[rows], owner[rows], np.where(mine, size, 0))
+        key &= _U((1 << 56) - 1)
         nodes = node[who]
         order = np.lexsort((nodes, key))
         key, nodes = key[order], nodes[order]
@@ -209,8 +240,8 @@ def _packed(batches, parts: int):
             marked, members = key[tied], nodes[tied]
             for s in range(0, len(marked), 1 << 16):
                 turn += 1
-                out.append(_row((turn * 7919 + int(abs(node[0])) % parts) % parts, 1, marked[s:s + (1 << 16)] | _U(1),
-                                members[s:s + (1 << 16)], pivot[s:s + (1 << 16)]))
+                cut = slice(s, s + (1 << 16))
+                out.append(_row(lane(), 1, marked[cut] | _U(1), members[cut], pivot[cut]))
         key = np.where(big, key | _U(1), key)[~tied]
         nodes = nodes[~tied]
         part = (mixed(key >> _U(7)) % _U(parts)).astype(np.int64)
@@ -218,42 +249,48 @@ def _packed(batches, parts: int):
         cuts = np.searchsorted(part[order], np.arange(parts + 1))
         for p in range(parts):
             take = order[cuts[p]:cuts[p + 1]]
-            if len(take):
-                out.append(_row(p, 0, key[take], nodes[take]))
-        p, kind, a, b, c = zip(*out)
+            if len(take):  # a table of the classes, and their places in it
+                classes, index = np.unique(nodes[take], return_inverse=True)
+                index = index.astype(np.uint16 if len(classes) <= 1 << 16 else np.uint32)
+                out.append(_row(p, 0, _short(key[take]), index, classes))
+        p, kind, *blobs, bits = zip(*out)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(p, pa.int32()), pa.array(kind, pa.int32()), pa.array(a, pa.binary()), pa.array(b, pa.binary()),
-             pa.array(c, pa.binary())], ["p", "kind", "a", "b", "c"])
+            [pa.array(p, pa.int32()), pa.array(kind, pa.int32()), *[pa.array(x, pa.binary()) for x in blobs],
+             pa.array(bits, pa.list_(pa.binary()))], _NAMES)
 
 
-_FOUND = "kind int, a long, b long, c long"
+_FOUND = "kind int, a long, b long, c long, d long, bits binary"
 
 
-def _rows(kind, a, b, c=None, limit=1 << 16):
+def _rows(kind, a, b, c=None, d=None, bits=None, limit=1 << 16):
     for s in range(0, len(a), limit):
-        n = len(a[s:s + limit])
+        cut = slice(s, s + limit)
+        n = len(a[cut])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(n, kind, np.int32)), pa.array(a[s:s + limit].view(np.int64)),
-             pa.array(b[s:s + limit].view(np.int64)),
-             pa.array(np.zeros(n, np.int64) if c is None else c[s:s + limit].view(np.int64))], ["kind", "a", "b", "c"])
+            [pa.array(np.full(n, kind, np.int32)), pa.array(a[cut].view(np.int64)), pa.array(b[cut].view(np.int64)),
+             *[pa.nulls(n, pa.int64()) if x is None else pa.array(x[cut].view(np.int64)) for x in (c, d)],
+             pa.nulls(n, pa.binary()) if bits is None else bits.slice(s, limit)], ["kind", "a", "b", "c", "d", "bits"])
 
 
 def _matched(batches):
     """Packed rows of one bucket to rows: kind 0 (block, class) of shared blocks, kind 1 (class, class)
-    candidates, kind 2 (doc_id, class, size)."""
+    candidates, kind 2 (doc_id, class, size, row, bit sketches)."""
     keys, nodes, first, second = [], [], [], []
     for batch in batches:
-        for kind, a, b, c in zip(*(batch.column(k).to_pylist() for k in ("kind", "a", "b", "c"))):
-            a, b, c = np.frombuffer(a, _U), np.frombuffer(b, np.int64), np.frombuffer(c, np.int64)
+        for kind, a, b, c, d, bits in zip(*(batch.column(k) for k in ("kind", "a", "b", "c", "d", "bits"))):
+            kind, a, b, c = kind.as_py(), a.as_py(), b.as_py(), np.frombuffer(c.as_py(), np.int64)
             if kind == 0:
-                keys.append(a)
-                nodes.append(b)
+                key = _long(a)
+                keys.append(key)
+                nodes.append(c[np.frombuffer(b, np.uint16 if len(b) == 2 * len(key) else np.uint32)])
             elif kind == 1:
+                a, b = np.frombuffer(a, _U), np.frombuffer(b, np.int64)
                 yield from _rows(0, a | _U(1), b)
                 first.append(c)
                 second.append(b)
             else:
-                yield from _rows(2, a, b, c)
+                yield from _rows(2, np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), c,
+                                 np.frombuffer(d.as_py(), np.int64), bits.values)
     if keys:
         key, node = np.concatenate(keys), np.concatenate(nodes)
         order = np.lexsort((node, key >> _U(1)))
@@ -284,19 +321,92 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= 80 * (len(a) + len(b) - common)
 
 
-def _verified(batches):
-    for batch in batches:
-        x, y = batch.column("x").to_numpy(), batch.column("y").to_numpy()
-        keep = np.array([linked(np.frombuffer(a.as_buffer(), _U), np.frombuffer(b.as_buffer(), _U))
-                         for a, b in zip(batch.column("sx"), batch.column("sy"))], bool)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]), pa.array(y[keep])], ["x", "y"])
+def _bits_of(n: int, blob: bytes, band: int) -> np.ndarray:
+    """The bit sketch of a set of ``n`` tokens under a band: its own or the next."""
+    own = int(np.searchsorted(_BANDS, n, side="right")) - 1
+    longs = int(4 * (bound(np.array([own]))[0] + 1) // 64 + 1)
+    bits = np.frombuffer(blob, _U)
+    return bits[:longs] if band == own else bits[longs:]
+
 
+def _near(batches):
+    """Pairs whose sizes and bit sketches let them link."""
+    names = ("x", "y", "nx", "ny", "bx", "by")
+    for batch in batches:
+        keep = []
+        for _, _, n, m, a, b in zip(*(batch.column(c).to_pylist() for c in names)):
+            band = int(np.searchsorted(_BANDS, max(n, m), side="right")) - 1
+            keep.append(5 * min(n, m) >= 4 * max(n, m)
+                        and 9 * int(np.bitwise_count(_bits_of(n, a, band) ^ _bits_of(m, b, band)).sum()) <= n + m)
+        keep = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("x").filter(keep), batch.column("y").filter(keep)], ["x", "y"])
+
+
+def near_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (x, y) that pass the bit sketches of ``classes`` (node, n, bits)."""
+    side = lambda s: classes.select(F.col("node").alias(s), F.col("n").alias("n" + s), F.col("bits").alias("b" + s))
+    both = pairs.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "bx", "by")
+    return both.mapInArrow(_near, "x long, y long")
+
+
+def _tested(batches):
+    """Groups in order (x, part): the set of x, then those of its partners; the pairs that link."""
+    group, own = None, None
+    for batch in (b.slice(s, 256) for b in batches for s in range(0, b.num_rows, 256)):
+        out = []
+        for x, part, partner, blob in zip(*(batch.column(c).to_pylist() for c in ("x", "part", "partner", "shingles"))):
+            value = np.frombuffer(blob, _U)
+            if partner is None:
+                group, own = (x, part), value
+            elif group == (x, part) and linked(own, value):
+                out.append((x, partner))
+        x, y = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["x", "y"])
+
+
+def verify(pairs: DataFrame, classes: DataFrame, known: DataFrame, name: str) -> DataFrame:
+    """The pairs (x, y) whose whole sets link. ``classes``: (node, row), a row of ``known`` that has the set."""
+    degree = pairs.groupBy("x").agg((F.floor(F.count(F.lit(1)) / PARTNERS) + 1).alias("parts"))
+    asked = (pairs.join(degree, "x")
+             .select(F.col("y").alias("node"), "x", F.pmod(F.xxhash64("y"), F.col("parts")).alias("part"), F.col("y").alias("partner")))
+    own = degree.select(F.col("x").alias("node"), "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
+                        F.lit(None).cast("long").alias("partner"))
+    wanted = stored(asked.union(own).groupBy("node").agg(F.collect_list(F.struct("x", "part", "partner")).alias("groups"))
+                    .join(classes.select("node", "row"), "node"), name + "-wanted")
+    # A bitmap of fixed size spares the texts of other rows the shuffle; the join decides.
+    place = F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS))
+    maps = (wanted.select(place.alias("h")).groupBy(F.floor(F.col("h") / 32768).cast("int").alias("at"))
+            .agg(F.bitmap_construct_agg(F.pmod("h", F.lit(32768))).alias("bits")).toArrow())
+    bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
+    for at, blob in zip(maps["at"].to_pylist(), maps["bits"].to_pylist()):
+        bits[at] = np.frombuffer(blob, np.uint8)
+    bits = bits.reshape(-1)
+
+    def few(batches):
+        for batch in batches:
+            h = batch.column("h").to_numpy()
+            held = pa.array(((bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1).astype(bool))
+            yield pa.RecordBatch.from_arrays([batch.column("row").filter(held), batch.column("text").filter(held)], ["row", "text"])
 
-def verify(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """The pairs (x, y) whose sets link."""
-    with_y = pairs.join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("sy")), "y")
-    both = with_y.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("sx")), "x")
-    return stored(both.select("x", "y", "sx", "sy").mapInArrow(_verified, "x long, y long"), name)
+    def sets_of(batches):
+        for batch in steps(batches, limit=STEP):
+            value, _, size = shingle_sets(strings(batch.column("text")))
+            node, ends = digests(value, size), np.cumsum(size)
+            out = []
+            for i, (right, groups) in enumerate(zip(batch.column("node").to_pylist(), batch.column("groups").to_pylist())):
+                if node[i] != right:
+                    raise RuntimeError("rows changed between two scans of the documents; write them to a table first")
+                blob = value[ends[i] - size[i]:ends[i]].tobytes()
+                out += [(g["x"], g["part"], g["partner"], blob) for g in groups]
+            for s in range(0, len(out), 512):
+                x, part, partner, blob = zip(*out[s:s + 512])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(part, pa.int64()), pa.array(partner, pa.int64()),
+                                                  pa.array(blob, pa.binary())], ["x", "part", "partner", "shingles"])
+
+    texts = known.select("row", "text", place.alias("h")).mapInArrow(few, "row long, text string").join(wanted, "row")
+    groups = (texts.select("node", "groups", "text").mapInArrow(sets_of, "x long, part long, partner long, shingles binary")
+              .repartition("x", "part").sortWithinPartitions("x", "part", F.col("partner").asc_nulls_first()))
+    return stored(groups.mapInArrow(_tested, "x long, y long"), name)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -323,27 +433,18 @@ def components(links: DataFrame) -> DataFrame:
             .union(edges.select(F.col("v").alias("node"), F.col("v").alias("comp"))).distinct())
 
 
-def _parity_bits(value: np.ndarray, band: int) -> np.ndarray:
-    """One parity bit per token, 64 to a long; about four bits per allowed difference."""
-    longs = int(4 * (bound(np.array([band]))[0] + 1) // 64 + 1)
-    at = (mixed(value ^ _C2) % _U(64 * longs)).astype(np.int64)
-    bits = (np.bincount(at, minlength=64 * longs) & 1).astype(np.uint8)
-    return np.packbits(bits).view(np.int64)
-
-
 def _sketches(batches):
     for batch in batches:
         out = []
-        for node, blob in zip(batch.column("node").to_pylist(), batch.column("shingles")):
-            value = np.frombuffer(blob.as_buffer(), _U)
-            own = int(np.searchsorted(_BANDS, len(value), side="right")) - 1
-            out += [(node, j, len(value), _parity_bits(value, j)) for j in (own, own + 1)]
+        for node, n, blob in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "bits"))):
+            own = int(np.searchsorted(_BANDS, n, side="right")) - 1
+            out += [(node, j, n, _bits_of(n, blob, j).view(np.int64)) for j in (own, own + 1)]
         node, j, n, bits = zip(*out) if out else ((), (), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(j, pa.int32()), pa.array(n, pa.int64()),
                                           pa.array(bits, pa.list_(pa.int64()))], ["node", "band", "n", "bits"])
 
 
-def _crossing(shared: DataFrame, comps: DataFrame, sets: DataFrame, tested: DataFrame) -> DataFrame:
+def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
     """Untested pairs of different components that share a block and whose bit sketches are near enough."""
     member = (shared.join(comps, "node", "left")
               .select("block", "node", F.coalesce("comp", "node").alias("comp")))
@@ -353,8 +454,9 @@ def _crossing(shared: DataFrame, comps: DataFrame, sets: DataFrame, tested: Data
     largest = (member.groupBy("block", "comp").agg(F.count(F.lit(1)).alias("k"))
                .groupBy("block").agg(F.max_by("comp", F.struct("k", "comp")).alias("main")))
     band = F.shiftrightunsigned("block", 1).bitwiseAND(63).cast("int")
-    bits = sets.mapInArrow(_sketches, "node long, band int, n long, bits array<long>")
-    member = (member.join(largest, "block").withColumn("band", band).join(bits, ["node", "band"]))
+    bits = (classes.where("bits IS NOT NULL").select("node", "n", "bits")
+            .mapInArrow(_sketches, "node long, band int, n long, bits array<long>"))
+    member = member.join(largest, "block").withColumn("band", band).join(bits, ["node", "band"])
     left = member.where("comp != main").select("block", *[F.col(c).alias("l_" + c) for c in ("node", "comp", "n", "bits")])
     right = member.select("block", "main", *[F.col(c).alias("r_" + c) for c in ("node", "comp", "n", "bits")])
     apart = F.aggregate(F.zip_with("l_bits", "r_bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
@@ -371,31 +473,25 @@ def link_documents(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = documents.where("doc_id IS NOT NULL").select("doc_id", "text")
+    known = (documents.where("doc_id IS NOT NULL").select("doc_id", "text")
+             .withColumn("row", F.monotonically_increasing_id()))
     packed = known.mapInArrow(lambda batches: _packed(batches, parts), _PACKED)
     found = stored(packed.repartitionById(parts, F.col("p")).mapInArrow(_matched, _FOUND), "blocks")
     docs = found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("c").alias("n"))
-    tested = stored(found.where("kind = 1").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct(), "pairs")
+    firsts = (found.where("kind = 2 AND c > 0").groupBy(F.col("b").alias("node"))
+              .agg(F.min("a").alias("doc_id"), F.min("d").alias("row")))
+    sketches = found.where("kind = 2 AND c > 0").select(F.col("d").alias("row"), F.col("c").alias("n"), "bits")
+    classes = stored(firsts.join(sketches, "row"), "classes")
+    candidates = found.where("kind = 1").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct()
+    tested = stored(near_pairs(candidates, classes), "pairs")
     shared = found.where("kind = 0").select(F.col("a").alias("block"), F.col("b").alias("node")).distinct()
-    classes = docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = (tested.select(F.col("x").alias("node")).union(tested.select(F.col("y").alias("node"))).distinct()
-              .join(classes, "node"))
-
-    def sets_of(batches):
-        for batch in steps(batches):
-            value, _, size = shingle_sets(strings(batch.column("text")))
-            node, ends = digests(value, size), np.cumsum(size)
-            right = np.flatnonzero(node == batch.column("node").to_numpy())
-            blobs = [value[ends[i] - size[i]:ends[i]].tobytes() for i in right.tolist()]
-            yield pa.RecordBatch.from_arrays([pa.array(node[right]), pa.array(blobs, pa.binary())], ["node", "shingles"])
-
-    sets = stored(known.join(wanted, "doc_id").select("node", "text")
-                  .mapInArrow(sets_of, "node long, shingles binary").dropDuplicates(["node"]), "sets")
-    links = verify(tested, sets, "links")
+    links = verify(tested, classes, known, "links")
     comps = components(links)
-    more = verify(_crossing(shared, comps, sets, tested), sets, "more-links")
+    crossing = stored(_crossing(shared, comps, classes, tested), "crossing")
+    more = verify(crossing, classes, known, "more-links")
     comps = stored(components(links.union(more)), "components")
-    named = (classes.join(comps, "node", "left").select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
+    named = (classes.select("node", "doc_id").join(comps, "node", "left")
+             .select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
     lowest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     label = named.join(lowest, "comp").select("node", "component_id")
     out = docs.join(label, "node", "left").select(
@@ -404,7 +500,7 @@ def link_documents(documents: DataFrame) -> DataFrame:
     orphans = documents.where("doc_id IS NULL").select("doc_id", "text")
 
     def sizes(batches):
-        for batch in steps(batches):
+        for batch in steps(batches, limit=STEP):
             size = shingle_sets(strings(batch.column("text")))[2]
             yield pa.RecordBatch.from_arrays([pa.nulls(len(size), pa.int64()), pa.array(size.astype(np.int64)),
                                               pa.nulls(len(size), pa.int64())], ["doc_id", "n_shingles", "component_id"])
