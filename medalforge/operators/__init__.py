@@ -1,13 +1,13 @@
 """Cleansing, keys, joins, gold builders and quality checks."""
 
-from .cleansing import (cleanse_customers, drop_critical, enforce_types, fill_unknown,
+from .cleansing import (SILVER_SPECS, Cleansing, cleanse, cleanse_customers, drop_critical, enforce_types, fill_unknown,
                         latest_per_key, rename)
 from .gold import (GOLD_ORDER, GoldBuildError, active_only, build_gold, dim_customer_info, dim_product_info,
-                   fact_sales, resolve_gender)
-from .joins import fits_broadcast, left_join_dim, measured_join, projection_bytes
+                   fact_sales, resolve_gender, sales_key_report)
+from .joins import fits_broadcast, left_join_dim, left_join_dims, measured_join, projection_bytes
 from .keys import surrogate_key
 from .rollup import rollup
-from .quality import (IntegrityError, assert_integrity, integrity_report, profile_columns,
+from .quality import (IntegrityError, assert_integrity, integrity_report, natural_key_report, profile_columns,
                       profile_tables)
 
 __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown",
@@ -15,4 +15,5 @@ __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown"
            "dim_customer_info", "dim_product_info", "fact_sales", "resolve_gender",
            "left_join_dim", "projection_bytes", "surrogate_key", "integrity_report",
            "profile_columns", "profile_tables", "IntegrityError", "assert_integrity",
-           "fits_broadcast", "measured_join", "rollup"]
+           "fits_broadcast", "measured_join", "rollup", "SILVER_SPECS", "Cleansing", "cleanse",
+           "left_join_dims", "natural_key_report", "sales_key_report"]

@@ -2,7 +2,8 @@
 
 The reference defines these as views, so every query re-runs the row-number
 windows and dimension joins. Here they are materialised once per build
-(``build_gold``): dimensions first, then the fact that reads them.
+(``build_gold``): dimensions first, then the fact that reads them, all below a
+folder of the build's own; readers switch to it when all are complete and checked.
 """
 
 from __future__ import annotations
@@ -15,9 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.catalog import Layers
-from .joins import left_join_dim
+from .joins import left_join_dim, left_join_dims
 from .keys import surrogate_key
-from .quality import assert_integrity, integrity_report
+from .quality import assert_integrity, integrity_report, natural_key_report
 
 GOLD_ORDER = ("dim_customer_info", "dim_product_info", "fact_sales")
 
@@ -51,9 +52,9 @@ def dim_customer_info(cust: DataFrame, demo: DataFrame, loc: DataFrame,
     The enrichments are left joins through ``left_join_dim``: broadcast when
     their measured size allows, otherwise a shuffle join with hot keys salted.
     """
-    joined = left_join_dim(cust, demo.select("cid", "bdate", "gen"), "cust_key", "cid")
-    joined = left_join_dim(joined, loc.select(F.col("cid").alias("_lcid"), "cntry"),
-                           "cust_key", "_lcid")
+    joined = left_join_dims(cust, [
+        (demo.select("cid", "bdate", "gen"), "cust_key", "cid"),
+        (loc.select(F.col("cid").alias("_lcid"), "cntry"), "cust_key", "_lcid")])
     pre = joined.select(
         F.col("cust_id").alias("customer_id"),
         F.col("cust_key").alias("customer_number"),
@@ -98,10 +99,9 @@ def dim_product_info(prd: DataFrame, cat: DataFrame, key_mode: str = "distribute
 def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
                limit_bytes: int | None = None) -> DataFrame:
     """Sales on surrogate keys; unmatched natural keys give NULL surrogate keys."""
-    f = left_join_dim(sales, dim_p.select("product_number", "product_key"),
-                      "sls_prd_key", "product_number", limit_bytes)
-    f = left_join_dim(f, dim_c.select("customer_id", "customer_key"),
-                      "sls_cust_id", "customer_id", limit_bytes)
+    f = left_join_dims(sales, [
+        (dim_p.select("product_number", "product_key"), "sls_prd_key", "product_number"),
+        (dim_c.select("customer_id", "customer_key"), "sls_cust_id", "customer_id")], limit_bytes)
     return f.select(
         F.col("sls_ord_num").alias("sales_order_number"),
         "product_key",
@@ -115,6 +115,13 @@ def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     )
 
 
+def sales_key_report(sales: DataFrame, gold: dict[str, DataFrame]) -> DataFrame:
+    """Natural keys of the sales against those of the dimensions (``quality.natural_key_report``)."""
+    return natural_key_report(sales, {
+        "sls_prd_key": ("dim_product_info", gold["dim_product_info"], "product_number"),
+        "sls_cust_id": ("dim_customer_info", gold["dim_customer_info"], "customer_id")})
+
+
 def fact_layout(fact: DataFrame, partitions: int | None = None, mode: str = "rebalance") -> DataFrame:
     """File layout of the written fact: evenly spread, each file sorted by order date.
 
@@ -141,24 +148,27 @@ def fact_layout(fact: DataFrame, partitions: int | None = None, mode: str = "reb
 
 def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "distributed",
                timings: dict[str, float] | None = None, verify: bool = False,
-               fact_layout_mode: str = "rebalance") -> dict[str, DataFrame]:
-    """Create or replace the gold tables in dependency order; return them read back.
+               fact_layout_mode: str = "rebalance", max_unmatched: float = 0.5) -> dict[str, DataFrame]:
+    """Build the gold tables in dependency order and publish them together; return them read back.
 
     The two dimensions do not depend on each other and are built as two
     concurrent Spark jobs; the fact, which reads both, follows. Seconds per
     table (and ``total``) are logged and, if ``timings`` is given, stored in it.
     ``fact_layout_mode`` is passed to ``fact_layout`` ("rebalance" or "sort").
-    A failure raises ``GoldBuildError`` naming the table. With ``verify`` the
-    published fact is checked against both dimensions (every non-NULL key
-    must exist there) and ``IntegrityError`` is raised otherwise.
+    A failure raises ``GoldBuildError`` naming the table and leaves the published
+    build as it was. With ``verify`` the build is checked before it is published:
+    every non-NULL surrogate key must exist in its dimension, no natural key may
+    occur twice in a dimension, and at most a share of ``max_unmatched`` of the
+    sales with a natural key may find no dimension row; ``IntegrityError`` otherwise.
     """
+    build = layers.new_build()
     timings = {} if timings is None else timings
     started = time.perf_counter()
 
-    def timed(name: str, build) -> DataFrame:
+    def timed(name: str, make) -> DataFrame:
         t0 = time.perf_counter()
         try:
-            out = layers.write(build(), "gold", name)
+            out = layers.write_build(make(), build, name)
         except Exception as exc:  # name the table, keep the original cause
             raise GoldBuildError(name, exc) from exc
         timings[name] = time.perf_counter() - t0
@@ -178,6 +188,8 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
         assert_integrity(integrity_report(out["fact_sales"], {
             "product_key": ("dim_product_info", out["dim_product_info"], "product_key"),
             "customer_key": ("dim_customer_info", out["dim_customer_info"], "customer_key")}))
+        assert_integrity(sales_key_report(silver["crm_sales_details"], out), max_unmatched=max_unmatched)
+    layers.publish(build)
     timings["total"] = time.perf_counter() - started
     log.info("gold layer built in %.0f ms", 1000 * timings["total"])
     return out

@@ -1,22 +1,29 @@
 """Fact → dimension LEFT joins with a checked broadcast and salted hot keys.
 
 * If the dimension's join projection is provably small (rows and string bytes
-  measured by one aggregate over the dimension, remembered per plan and input
-  files), it is broadcast: no shuffle of the fact at all.
-* Otherwise one shuffle join on (key, salt) is used. One pass over the fact's
-  key column finds the *hot* keys, those holding at least ``hot_fraction`` of
-  the rows; there are at most ``1 / hot_fraction`` of them, so they come back
-  as a bounded list. Fact rows of hot keys and rows with a NULL key (which can
-  never match, and would otherwise all land in one task) get a salt from a
-  hash of the whole row; all other rows get salt 0. Dimension rows of hot keys
-  are repeated once per salt. A hot key's rows are then spread evenly over all
-  partitions, every other key holds under ``hot_fraction`` of the rows, and the
-  fact is read twice in all (key column, join).
+  measured by one aggregate over the dimension), it is broadcast: no shuffle of
+  the fact at all. A projection with arrays, maps or structs has no simple byte
+  bound and is never broadcast.
+* Otherwise one shuffle join on (key, salt) is used. The *hot* keys, those
+  holding at least ``hot_fraction`` of the rows, come from one pass over the key
+  columns of the base table, for all joins of a chain at once and before any of
+  them; there are at most ``1 / hot_fraction`` per column, so they come back as
+  bounded lists. Fact rows of hot keys and rows with a NULL key (which can never
+  match, and would otherwise all land in one task) get a salt; all other rows get
+  salt 0. Dimension rows of hot keys are repeated once per salt.
+* The salt is a hash of a row number given when the base table is scanned, so
+  identical rows get different salts, a retried task gives the same ones, and
+  rows may hold columns of any type.
+
+A hot key's rows are spread over all partitions by that hash (evenly up to
+chance), every other key holds under ``hot_fraction`` of the rows, and the base
+table is read twice: its key columns, and the joins.
 """
 
 from __future__ import annotations
 
-import hashlib
+import re
+from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -28,10 +35,18 @@ from ..session import broadcast_limit
 # UnsafeRow layout: 8-byte null bitmap word + 8 bytes per field, variable-length
 # data rounded up to 8 bytes; plus hash-table overhead per entry.
 _ROW_OVERHEAD = 8 + 16
+_ROW = "_fact_row"
+
+
+def _measurable(df: DataFrame) -> bool:
+    return not any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+                   for f in df.schema.fields)
 
 
 def projection_bytes(df: DataFrame) -> tuple[int, int]:
-    """(rows, estimated in-memory bytes) of ``df``, from one aggregate pass."""
+    """(rows, estimated in-memory bytes) of ``df`` (columns of simple types), from one aggregate pass."""
+    if not _measurable(df):
+        raise TypeError("a projection with arrays, maps or structs has no simple byte bound")
     var_cols = [f.name for f in df.schema.fields
                 if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     exprs = [F.count(F.lit(1)).alias("rows")]
@@ -39,20 +54,27 @@ def projection_bytes(df: DataFrame) -> tuple[int, int]:
     row = df.agg(*exprs).first()
     rows = int(row["rows"])
     var_bytes = sum(int(row[f"b{i}"] or 0) for i in range(len(var_cols)))
-    fixed = rows * (_ROW_OVERHEAD + 8 * len(df.columns))
+    fixed = rows * (_ROW_OVERHEAD + 16 * len(df.columns))  # wide decimals take two words
     return rows, fixed + var_bytes
 
 
 _SIZES: dict[tuple, int] = {}
+#: Files below a folder of one build (``sources.catalog``) are written once and never change.
+_IMMUTABLE = re.compile(r"/build=[0-9]+-[0-9a-f]{8}/")
 
 
 def fits_broadcast(df: DataFrame, limit_bytes: int | None = None) -> bool:
-    """Whether ``df`` (a dimension projection) is under the broadcast bound, measured."""
+    """Whether ``df`` (a dimension projection) is under the broadcast bound, measured.
+
+    The size is remembered only for tables of a finished build, whose files never change.
+    """
     limit = broadcast_limit(df.sparkSession) if limit_bytes is None else limit_bytes
-    if limit < 0:
+    if limit < 0 or not _measurable(df):
         return False
-    files = hashlib.sha1("\n".join(sorted(df.inputFiles())).encode()).hexdigest()
-    key = (df.semanticHash(), files)  # a rewritten table has new files, so a new entry
+    files = df.inputFiles()
+    if not files or not all(_IMMUTABLE.search(f) for f in files):
+        return projection_bytes(df)[1] <= limit
+    key = (df.semanticHash(), files[0].rsplit("/", 1)[0], len(files))
     if key not in _SIZES:
         _SIZES[key] = projection_bytes(df)[1]
     return _SIZES[key] <= limit
@@ -78,38 +100,53 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
     ``dim`` is the projection to join (key plus the columns to bring over).
     """
-    if fits_broadcast(dim, limit_bytes):
-        return fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
-    return _salted_join(fact, dim, fact_key, dim_key, hot_fraction)
-
+    return left_join_dims(fact, [(dim, fact_key, dim_key)], limit_bytes, hot_fraction)
+
+
+def left_join_dims(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
+                   limit_bytes: int | None = None, hot_fraction: float = 1e-3) -> DataFrame:
+    """``fact`` LEFT JOINed to each (dim, fact_key, dim_key) in turn; every fact_key is a column of ``fact``."""
+    fits = [fits_broadcast(dim, limit_bytes) for dim, _, _ in dims]
+    out = fact
+    if not all(fits):
+        wide = [key for (_, key, _), small in zip(dims, fits) if not small]
+        hot = hot_keys(fact, wide, hot_fraction)
+        out = fact.withColumn(_ROW, F.monotonically_increasing_id())
+    for (dim, fact_key, dim_key), small in zip(dims, fits):
+        if small:
+            out = out.join(F.broadcast(dim), out[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
+        else:
+            out = _salted_join(out, dim, fact_key, dim_key, hot[fact_key])
+    return out.drop(_ROW)
+
+
+def hot_keys(fact: DataFrame, keys: Sequence[str], fraction: float) -> dict[str, list[str]]:
+    """Per key column, the values (as strings) that hold at least ``fraction`` of the rows: one pass for all."""
+    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("c"), F.col(k).cast("string").alias("v")) for k in keys]))
+    counts = (fact.select(cells.alias("x")).where("x.v IS NOT NULL").groupBy("x.c", "x.v")
+              .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        totals = {r["c"]: r["n"] for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect()}
+        enough = F.lit(False)
+        for c, n in totals.items():
+            enough = enough | ((F.col("c") == c) & (F.col("n") >= max(1, int(n * fraction))))
+        found: dict[str, list[str]] = {k: [] for k in keys}
+        for r in counts.where(enough).select("c", "v").collect():
+            found[r["c"]].append(r["v"])
+    finally:
+        counts.unpersist()
+    return found
 
-def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                 hot_fraction: float, salts: int | None = None) -> DataFrame:
-    """One shuffle join in which hot keys and NULL keys are spread over ``salts`` tasks.
 
-    Fact rows of a hot key (or with a NULL key) get a salt in [0, salts) from a
-    hash of the whole row, which is the same on every retry; all other rows get
-    salt 0. Dimension rows of hot keys are repeated once per salt (at most
-    ``salts / hot_fraction`` extra rows), the others keep salt 0. Joining on
-    (key, salt) spreads each hot key over ``salts`` tasks; every other key holds
-    less than ``hot_fraction`` of the fact rows.
-    """
-    n = salts or int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: list[str]) -> DataFrame:
+    """One shuffle join on (key, salt) of a fact with row numbers; ``hot``: key values to spread."""
+    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(fact_key)
-    counts = (fact.where(key.isNotNull()).groupBy(key.alias("_hk"))
-              .agg(F.count(F.lit(1)).alias("_hn")).persist(StorageLevel.MEMORY_AND_DISK))
-    try:  # one pass over the key column; total and hot keys come from the counts
-        total = counts.agg(F.sum("_hn")).first()[0] or 0
-        threshold = max(1, int(total * hot_fraction))
-        hot = [r[0] for r in counts.where(F.col("_hn") >= threshold).select("_hk").collect()]
-    finally:
-        counts.unpersist()
-    spread = key.isNull() | key.isin(hot)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
-    salted = fact.withColumn("_salt", F.when(spread, F.pmod(row_hash, F.lit(n))).otherwise(F.lit(0)))
+    spread = key.isNull() | key.cast("string").isin(hot)
+    salted = fact.withColumn("_salt", F.when(spread, F.pmod(F.xxhash64(_ROW), F.lit(n))).otherwise(F.lit(0)))
     every_salt = F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")
     dim_salted = dim.withColumn("_dsalt", F.explode(
-        F.when(F.col(dim_key).isin(hot), every_salt).otherwise(F.array(F.lit(0).cast("bigint")))))
+        F.when(F.col(dim_key).cast("string").isin(hot), every_salt).otherwise(F.array(F.lit(0).cast("bigint")))))
     cond = (salted[fact_key] == dim_salted[dim_key]) & (salted["_salt"] == dim_salted["_dsalt"])
     # measured too large to broadcast: keep it a shuffle join on (key, salt)
     return (salted.join(dim_salted.hint("merge"), cond, "left")

@@ -22,6 +22,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 _PID, _RID, _N, _OFF = "_sk_pid", "_sk_rid", "_sk_n", "_sk_off"
 
 
@@ -42,6 +44,7 @@ def surrogate_key(df: DataFrame, order: Sequence, name: str, mode: str = "distri
     if mode != "distributed":
         raise ValueError(f"unknown surrogate key mode {mode!r}")
     spark = df.sparkSession
+    shared_dir(spark)  # the checkpoint below needs the folder, whatever ran before
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = (df.repartitionByRange(n, *order_cols)
                 .sortWithinPartitions(*order_cols)

@@ -38,19 +38,38 @@ def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, s
     return out
 
 
+def natural_key_report(sales: DataFrame, refs: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """``integrity_report`` on natural keys, plus the dimension's repeated ones.
+
+    A transaction without a dimension row (``unmatched_rows``) loses its place in
+    every report per product or customer, and a natural key that a dimension
+    holds twice (``repeated_keys``) multiplies revenue.
+    """
+    out = integrity_report(sales, refs)
+    repeated = None
+    for name, dim, key in refs.values():
+        one = (dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+               .agg(F.count_if(F.col("_n") > 1).alias("repeated_keys")).select(F.lit(name).alias("dimension"), "repeated_keys"))
+        repeated = one if repeated is None else repeated.unionByName(one)
+    return out.join(repeated, "dimension").select(*out.columns, "repeated_keys")
+
+
 class IntegrityError(AssertionError):
     """Fact rows reference keys that the dimension does not have."""
 
 
-def assert_integrity(report: DataFrame, allow_null_keys: bool = True) -> list[dict]:
-    """Raise ``IntegrityError`` if any reference in an ``integrity_report`` is broken.
+def assert_integrity(report: DataFrame, allow_null_keys: bool = True,
+                     max_unmatched: float = 0.0) -> list[dict]:
+    """Raise ``IntegrityError`` if any reference in a report is broken.
 
     The report has one row per dimension, so collecting it is bounded. NULL
     keys (facts whose natural key had no active dimension row) are allowed by
     default: the gold fact keeps them, as the reference's left joins do.
+    ``max_unmatched``: share of the rows with a key that may be unmatched.
     """
     rows = [r.asDict() for r in report.collect()]
-    broken = [r for r in rows if r["unmatched_rows"] or (not allow_null_keys and r["null_key_rows"])]
+    broken = [r for r in rows if r["unmatched_rows"] > max_unmatched * (r["fact_rows"] - r["null_key_rows"])
+              or r.get("repeated_keys") or (not allow_null_keys and r["null_key_rows"])]
     if broken:
         raise IntegrityError(f"broken references: {broken}")
     return rows

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bands import rounded_ratio
 from ..functions.dates import as_of_date, years_between_boundary
 from ..operators.joins import measured_join
 from ..operators.rollup import rollup
@@ -79,7 +80,8 @@ def measure_summary(fact: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     """
     names = list(MEASURE_NAMES)
     totals = fact.agg(F.sum("sales_amount").alias("m0"), F.sum("quantity").alias("m1"),
-                      F.avg("unit_price").alias("m2"))
+                      F.sum("unit_price").alias("p"), F.count("unit_price").alias("n"))
+    totals = totals.withColumn("m2", rounded_ratio("p", "n"))
     parts = [_stack(totals, names[:3], ["m0", "m1", "m2"], dtype)]
     counted = [(fact, "sales_order_number"), (fact, "product_key"), (fact, "customer_key"),
                (dim_p, "product_key"), (dim_c, "customer_key")]

@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as ops
-from ..oracle import AS_OF
+from ..session import scratch_path
+from ..sources import Layers
 from ..sources import bronze as bronze_io
 from ..sources.fixtures import BRONZE_CUSTOMER_COLUMNS, bronze_customer
 from ..warehouse import gold_for, layers_for, silver_for, source
 from . import catalog
+from .views import publish_tables
+
+AS_OF = "2002-01-01"  # the date that ages and recency are counted to
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,6 +41,10 @@ def _gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return gold_for(spark, sf_dir)[name]
 
 
+def _silver(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_for(spark, sf_dir)[name]
+
+
 def _fact(s, d):
     return _gold(s, d, "fact_sales")
 
@@ -60,15 +68,33 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_io.ingest(spark, path, "csv", bronze_io.STRING(BRONZE_CUSTOMER_COLUMNS))
 
 
+def bronze_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows landed and read as JSON lines."""
+    path = layers_for(spark, sf_dir).path("bronze", "crm_cust_info_json")
+    bronze_io.land(_bronze_rows(spark, sf_dir), path, "json")
+    return bronze_io.ingest(spark, path, "json", bronze_io.STRING(BRONZE_CUSTOMER_COLUMNS))
+
+
+def bronze_ingest_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event stream as log lines, landed and read as text."""
+    path = layers_for(spark, sf_dir).path("bronze", "events_log")
+    line = F.concat_ws(" ", F.lit("event"), F.col("event_id").cast("string"), F.lit("user"), F.col("user_id").cast("string"))
+    bronze_io.land(source(spark, sf_dir, "events").select(line.alias("value")), path, "text")
+    return bronze_io.ingest(spark, path, "text")
+
+
 def silver_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze → typed → critical NULLs dropped → placeholders → latest row per id → silver."""
     clean = ops.cleanse_customers(_bronze_rows(spark, sf_dir))
-    return layers_for(spark, sf_dir).write(clean, "silver", "crm_cust_info")
+    return layers_for(spark, sf_dir).write(clean, "silver", "customer_raw_copy")
 
 
 def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manifest of the published gold tables, in build (dependency) order."""
-    gold = gold_for(spark, sf_dir)
+    """Build gold from silver, check and publish it; the manifest of what was published, in build order."""
+    layers = Layers(spark, scratch_path(spark, "publish"))
+    ops.build_gold(silver_for(spark, sf_dir), layers, verify=True)
+    build = layers.current_build()
+    gold = {name: layers.gold(name, build) for name in ops.GOLD_ORDER}
     parts = [ops.profile_tables({name: gold[name]})
              .select("table_name", F.lit(i + 1).alias("build_order"), "row_count")
              for i, name in enumerate(ops.GOLD_ORDER)]
@@ -78,6 +104,21 @@ def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def gold_sql_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report by its published name, as a SQL user asks for it."""
+    publish_tables(spark, gold_for(spark, sf_dir), scratch_path(spark, "published"), as_of=AS_OF)
+    return spark.sql("SELECT * FROM gold.view_customer_analytics ORDER BY total_sales_amount DESC, customer_key LIMIT 100")
+
+
+def integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """References of the fact by surrogate key, and of the sales by natural key."""
+    gold = gold_for(spark, sf_dir)
+    by_key = ops.natural_key_report(gold["fact_sales"], {
+        "product_key": ("dim_product_info", gold["dim_product_info"], "product_key"),
+        "customer_key": ("dim_customer_info", gold["dim_customer_info"], "customer_key")})
+    return by_key.unionByName(ops.sales_key_report(silver_for(spark, sf_dir)["crm_sales_details"], gold))
+
+
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     silver = silver_for(spark, sf_dir)
     gold = gold_for(spark, sf_dir)
@@ -108,6 +149,10 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     # bronze / silver
     q["bronze_ingest"] = bronze_ingest
+    q["bronze_ingest_json"] = bronze_ingest_json
+    q["bronze_ingest_log"] = bronze_ingest_log
+    for name in ops.cleansing.SILVER_SPECS:
+        q[f"silver_{name}"] = partial(_silver, name)
     q["enforce_types"] = lambda s, d: ops.enforce_types(_bronze_rows(s, d), ops.cleansing.CUSTOMER_TYPES)
     q["drop_critical_nulls"] = lambda s, d: ops.drop_critical(
         ops.enforce_types(_bronze_rows(s, d), ops.cleansing.CUSTOMER_TYPES), ["cst_id"])
@@ -121,13 +166,14 @@ def queries() -> dict[str, Query]:
     q["dim_customer_info"] = _dim_c
     q["dim_product_info"] = _dim_p
     q["fact_sales"] = _fact
+    q["fact_sales_salted"] = lambda s, d: ops.fact_sales(silver_for(s, d)["crm_sales_details"], _dim_p(s, d), _dim_c(s, d),
+                                                         limit_bytes=0)
     q["gold_publish"] = gold_publish
+    q["gold_sql_top100"] = gold_sql_top100
     q["surrogate_key"] = surrogate_key_query
     q["resolve_gender"] = resolve_gender_query
     q["active_only"] = lambda s, d: ops.active_only(silver_for(s, d)["crm_prd_info"])
-    q["integrity_report"] = lambda s, d: ops.integrity_report(_fact(s, d), {
-        "product_key": ("dim_product_info", _dim_p(s, d), "product_key"),
-        "customer_key": ("dim_customer_info", _dim_c(s, d), "customer_key")})
+    q["integrity_report"] = integrity
     q["table_profile"] = table_profile
     q["column_profile"] = lambda s, d: ops.profile_columns(_dim_c(s, d))
     # the analytic queries, over the gold tables built from the test tables

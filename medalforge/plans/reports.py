@@ -8,10 +8,10 @@ has at most one row per dimension member. Stage 3 is row-local arithmetic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.bands import band, safe_ratio
+from ..functions.bands import band, ratio_or
 from ..functions.dates import (age_days_based, as_of_date, months_between_boundary,
                                years_between_boundary)
 from ..functions.text import full_name
@@ -23,14 +23,6 @@ AGE_BANDS = ("Not Adult", "Middle Age", "Old", "Dead")
 CUSTOMER_SEGMENTS = ("VIP", "Regular", "New")
 PRODUCT_SEGMENTS = ("High-Performer", "Mid-Range", "Low-Performer")
 
-MONEY = "decimal(28,2)"
-
-
-def _money_ratio(num: str, den: str, when_zero: Column) -> Column:
-    """``CASE WHEN den = 0 THEN when_zero ELSE num / den END``, rounded to cents."""
-    return F.when(F.col(den) == 0, when_zero.cast(MONEY)).otherwise(
-        F.round(safe_ratio(num, den), 2).cast(MONEY))
-
 
 def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "orders",
                  threshold: float = 5000, months: int = 12, age_labels=AGE_BANDS,
@@ -75,8 +67,8 @@ def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "o
         "total_sales",
         "total_sales_amount",
         "total_quantity",
-        _money_ratio("total_sales_amount", "total_sales", F.lit(0)).alias("avg_num_of_order"),
-        _money_ratio("total_sales_amount", "lifespan", amount).alias("avg_monthly_spending"),
+        ratio_or("total_sales_amount", "total_sales", F.lit(0)).alias("avg_num_of_order"),
+        ratio_or("total_sales_amount", "lifespan", amount).alias("avg_monthly_spending"),
         "latest_order_date",
         months_between_boundary("latest_order_date", today).alias("recency"),
         "lifespan",
@@ -114,8 +106,8 @@ def product_360(fact: DataFrame, dim_p: DataFrame, as_of=None, high: float = 500
         "total_orders", "total_sales", "total_quantity_sold", "total_customers_unique",
         "lifespan", "latest_sale_date",
         months_between_boundary("latest_sale_date", today).alias("recency"),
-        _money_ratio("total_sales", "total_orders", F.lit(0)).alias("average_order_revenue"),
-        _money_ratio("total_sales", "lifespan", sales).alias("average_monthly_revenue"),
+        ratio_or("total_sales", "total_orders", F.lit(0)).alias("average_order_revenue"),
+        ratio_or("total_sales", "lifespan", sales).alias("average_monthly_revenue"),
         band([(sales >= high, labels[0]), (sales.between(mid_low, mid_high), labels[1])],
              labels[2]).alias("product_performance_segment"),
     )

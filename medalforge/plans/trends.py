@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.bands import band, safe_ratio
+from ..functions.bands import band, rounded_ratio
 from ..functions.dates import month_abbrev, month_start, months_between_boundary
 from ..functions.text import percent_text
 from ..operators.joins import measured_join
@@ -21,15 +21,11 @@ def _dated(fact: DataFrame) -> DataFrame:
     return fact.where(F.col("order_date").isNotNull())
 
 
-def _round2(c: Column) -> Column:
-    return F.round(c, 2).cast("decimal(18,2)")
-
-
 def growth_pct(current, previous) -> Column:
     """(current - previous) / previous × 100, rounded to 2 places; NULL if previous is 0 or NULL."""
     cur = F.col(current) if isinstance(current, str) else current
     prev = F.col(previous) if isinstance(previous, str) else previous
-    return _round2(safe_ratio((cur - prev) * 100, prev))
+    return rounded_ratio((cur - prev) * 100, prev, dtype="decimal(18,2)")
 
 
 def sales_by_year_month(fact: DataFrame) -> DataFrame:
@@ -47,8 +43,8 @@ def monthly_sales(fact: DataFrame, dense: bool = False) -> DataFrame:
 
     ``dense=True`` adds the months between the first and the last one that
     had no sales, with zero totals, so that row offsets equal calendar months.
-    The month calendar is generated from the monthly rows themselves (a few
-    hundred rows at most), never from the fact.
+    The months in between come from the gap to the next monthly row, so the fact
+    is read and aggregated once.
     """
     monthly = _dated(fact).groupBy(month_start("order_date").alias("order_month")).agg(
         F.sum("sales_amount").alias("total_sales"),
@@ -56,15 +52,13 @@ def monthly_sales(fact: DataFrame, dense: bool = False) -> DataFrame:
         F.count_distinct("sales_order_number").alias("total_units_solds"))
     if not dense:
         return monthly
-    calendar = monthly.agg(F.min("order_month").alias("lo"), F.max("order_month").alias("hi")) \
-        .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("order_month"))
-    filled = calendar.join(monthly, "order_month", "left")
-    zero_money = F.lit(0).cast(monthly.schema["total_sales"].dataType)
-    return filled.select(
-        "order_month",
-        F.coalesce("total_sales", zero_money).alias("total_sales"),
-        F.coalesce("total_quantity", F.lit(0).cast("long")).alias("total_quantity"),
-        F.coalesce("total_units_solds", F.lit(0).cast("long")).alias("total_units_solds"))
+    following = F.lead("order_month").over(Window.orderBy("order_month"))  # one row per month
+    until = F.coalesce(F.add_months(following, -1), F.col("order_month"))
+    spread = monthly.withColumn("_m", F.explode(F.sequence("order_month", until, F.expr("INTERVAL 1 MONTH"))))
+    own = F.col("_m") == F.col("order_month")
+    measures = ("total_sales", "total_quantity", "total_units_solds")
+    return spread.select(F.col("_m").alias("order_month"), *[
+        F.when(own, F.col(c)).otherwise(F.lit(0)).cast(monthly.schema[c].dataType).alias(c) for c in measures])
 
 
 def monthly_trend(fact: DataFrame, window: int = 3, dense: bool = False) -> DataFrame:
@@ -83,8 +77,8 @@ def monthly_trend(fact: DataFrame, window: int = 3, dense: bool = False) -> Data
          .alias("cumulative_total_sales"),
         F.avg(sales).over(w.rowsBetween(-(window - 1), Window.currentRow))
          .alias(f"rolling_{window}_month_avg_sales"),
-        _round2(safe_ratio(sales, "total_quantity")).alias("monthly_avg_price"),
-        _round2(safe_ratio(sales, "total_units_solds")).alias("average_order_value"),
+        rounded_ratio(sales, "total_quantity", dtype="decimal(18,2)").alias("monthly_avg_price"),
+        rounded_ratio(sales, "total_units_solds", dtype="decimal(18,2)").alias("average_order_value"),
         growth_pct(sales, F.lag(sales, 1).over(w)).alias("mom_growth_pct"),
         growth_pct(sales, F.lag(sales, 12).over(w)).alias("yoy_growth_pct"),
     ).orderBy("order_month")
@@ -120,8 +114,7 @@ def product_year_trend(fact: DataFrame, dim_p: DataFrame, corrected: bool = Fals
 def share_of_total(value: str, dtype: str = "decimal(28,2)") -> tuple[Column, Column]:
     """(overall total, share in percent rounded to 2 places) over all rows of a small frame."""
     overall = F.sum(value).over(Window.partitionBy())
-    share = F.round(F.col(value).cast(dtype) * 100 / F.when(overall != 0, overall), 2)
-    return overall, share.cast("decimal(18,2)")
+    return overall, rounded_ratio(F.col(value).cast(dtype) * 100, overall.cast(dtype), dtype="decimal(18,2)")
 
 
 def category_contribution(fact: DataFrame, dim_p: DataFrame, numeric: bool = False) -> DataFrame:

@@ -8,23 +8,50 @@ it plans the DataFrame calls (filters and column pruning reach the scans).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from . import reports
 
 GOLD_VIEWS = ("dim_customer_info", "dim_product_info", "fact_sales")
+CUSTOMER_OPTIONS = ("vip_on", "threshold", "months", "age", "age_labels", "segment_labels")
+PRODUCT_OPTIONS = ("high", "mid_low", "mid_high", "labels")
 REPORT_VIEWS = ("view_customer_analytics", "view_product_analytics")
 
 
 def register_views(spark: SparkSession, gold: dict[str, DataFrame], as_of=None,
                    **report_options) -> list[str]:
     """Create or replace the temp views; returns their names."""
-    for name in GOLD_VIEWS:
-        gold[name].createOrReplaceTempView(name)
-    fact = gold["fact_sales"]
-    customer = {k: v for k, v in report_options.items()
-                if k in ("vip_on", "threshold", "months", "age", "age_labels", "segment_labels")}
-    reports.customer_360(fact, gold["dim_customer_info"], as_of, **customer) \
-        .createOrReplaceTempView(REPORT_VIEWS[0])
-    reports.product_360(fact, gold["dim_product_info"], as_of).createOrReplaceTempView(REPORT_VIEWS[1])
+    for name, df in _tables(gold, as_of, report_options).items():
+        df.createOrReplaceTempView(name)
     return [*GOLD_VIEWS, *REPORT_VIEWS]
+
+
+def _tables(gold: dict[str, DataFrame], as_of, options: dict) -> dict[str, DataFrame]:
+    customer = {k: v for k, v in options.items() if k in CUSTOMER_OPTIONS}
+    product = {k: v for k, v in options.items() if k in PRODUCT_OPTIONS}
+    unknown = set(options) - set(customer) - set(product)
+    if unknown:
+        raise TypeError(f"unknown report options {sorted(unknown)}; known: {sorted(CUSTOMER_OPTIONS + PRODUCT_OPTIONS)}")
+    fact = gold["fact_sales"]
+    return {**{name: gold[name] for name in GOLD_VIEWS},
+            REPORT_VIEWS[0]: reports.customer_360(fact, gold["dim_customer_info"], as_of, **customer),
+            REPORT_VIEWS[1]: reports.product_360(fact, gold["dim_product_info"], as_of, **product)}
+
+
+def publish_tables(spark: SparkSession, gold: dict[str, DataFrame], location: str, database: str = "gold",
+                   as_of=None, **report_options) -> list[str]:
+    """Save the gold tables and both reports as tables of ``database``, so ``gold.fact_sales`` or
+    ``gold.view_customer_analytics`` outlives the session in the session's catalog.
+
+    Files go below ``location``, a folder the cluster shares. The reports are saved as tables, since a
+    view would need their definition as SQL text; publish again to refresh them.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, df in _tables(gold, as_of, report_options).items():
+        path = f"{location.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.mode("overwrite").option("path", path).saveAsTable(f"{database}.{name}")
+        names.append(f"{database}.{name}")
+    return names

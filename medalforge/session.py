@@ -2,7 +2,9 @@
 
 Intermediate tables (materialised gold, checkpoints that cut lineage) live in
 the folder the cluster names in ``spark.checkpoint.dir``. A private temporary
-folder is used only when that setting is absent, as in local tests.
+folder is used only when that setting is absent on a local master, as in tests;
+on any other master its absence is an error, since executors would each write to
+a disk of their own.
 """
 
 from __future__ import annotations
@@ -43,7 +45,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset.
+    """Return the session's checkpoint folder; a local session without one gets a temporary one.
 
     Classic sessions read (and, if needed, set) the SparkContext checkpoint
     folder; Spark Connect sessions, which have no SparkContext, read
@@ -63,11 +65,18 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not _one_machine(sc.master):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by the cluster (master {sc.master})")
         configured = tempfile.mkdtemp(prefix="medalforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def _one_machine(master: str) -> bool:
+    """Whether driver and tasks are one process (``local``, ``local[8]``), so a local disk is shared."""
+    return master == "local" or master.startswith("local[")
+
+
 def session_id(spark: SparkSession) -> str:
     """Identifies the running application (used to key per-session caches)."""
     try:

@@ -1,8 +1,11 @@
 """Bronze landing: raw files kept exactly as they arrived, every field a string.
 
-CSV is read line by line, so files split across tasks. Sources whose quoted
-fields contain line breaks would need Spark's ``multiLine`` option, which reads
-each file in one task; land such sources as JSON lines instead.
+CSV, JSON lines and plain text (logs: one line, one row). CSV and text are read
+line by line, so files split across tasks; a field with a line break would come
+back as two rows, so ``land`` refuses one in these formats (land such sources as
+JSON). A CSV header must name the declared columns in their order. Lines that do
+not parse, or have too many or too few fields, are kept whole in
+``_corrupt_record``.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Reader / writer options that keep text unchanged: no whitespace trimming;
@@ -21,9 +25,11 @@ _CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "escape": '"',
 }
-# On read, only an unquoted empty field is NULL; a quoted "" stays "".
-_CSV_READ = {**_CSV_OPTIONS, "nullValue": "\u0000"}
+# On read, only an unquoted empty field is NULL; a quoted "" stays "". The
+# header is compared with the schema instead of being skipped.
+_CSV_READ = {**_CSV_OPTIONS, "nullValue": "\u0000", "enforceSchema": "false"}
 CORRUPT = "_corrupt_record"
+FORMATS = ("csv", "json", "text")
 
 
 def STRING(columns: Sequence[str]) -> T.StructType:
@@ -31,32 +37,49 @@ def STRING(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
+def _whole_lines(df: DataFrame, fmt: str) -> DataFrame:
+    """The same rows; writing one with a line break in a string fails."""
+    def checked(c: str):
+        broken = F.col(f"`{c}`").rlike("[\\r\\n]")
+        message = F.lit(f"column {c} holds a line break, which {fmt} files cannot carry; land it as json")
+        return F.when(broken, F.raise_error(message)).otherwise(F.col(f"`{c}`")).alias(c)
+
+    return df.select(*[checked(f.name) if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+                       for f in df.schema.fields])
+
+
 def land(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write raw rows as text files (CSV or JSON lines)."""
-    writer = df.write.mode("overwrite")
+    """Write raw rows as text files (CSV, JSON lines, or the lines of one string column)."""
     if fmt == "csv":
-        writer.options(**_CSV_OPTIONS).csv(path)
+        _whole_lines(df, fmt).write.mode("overwrite").options(**_CSV_OPTIONS).csv(path)
     elif fmt == "json":
-        writer.json(path)
+        df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    elif fmt == "text":
+        _whole_lines(df, fmt).write.mode("overwrite").text(path)
     else:
         raise ValueError(f"unsupported bronze format {fmt!r}")
 
 
-def ingest(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
-           keep_corrupt: bool = False) -> DataFrame:
-    """Read raw files with a declared schema (no inference pass over the data).
-
-    With ``keep_corrupt`` a ``_corrupt_record`` column holds lines that did not
-    parse, instead of silently turning them into NULL fields.
-    """
-    read_schema = schema
+def configured(reader, fmt: str, schema: T.StructType | None, keep_corrupt: bool):
+    """A batch or stream reader with the options of a bronze format."""
+    if fmt not in FORMATS:
+        raise ValueError(f"unsupported bronze format {fmt!r}")
+    if fmt == "text":
+        return reader.format("text")
     if keep_corrupt and CORRUPT not in schema.fieldNames():
-        read_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    reader = spark.read.schema(read_schema)
+        schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    reader = reader.schema(schema)
     if keep_corrupt:
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-    if fmt == "csv":
-        return reader.options(**_CSV_READ).csv(path)
-    if fmt == "json":
-        return reader.json(path)
-    raise ValueError(f"unsupported bronze format {fmt!r}")
+    return reader.options(**_CSV_READ).format("csv") if fmt == "csv" else reader.format("json")
+
+
+def ingest(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None = None,
+           keep_corrupt: bool = True) -> DataFrame:
+    """Read raw files with a declared schema (no inference pass over the data).
+
+    A ``_corrupt_record`` column holds whole lines that did not parse; without
+    ``keep_corrupt`` such lines lose what does not fit the schema. Text files need no
+    schema: one row per line, column ``value``.
+    """
+    return configured(spark.read, fmt, schema, keep_corrupt).load(path)

@@ -1,14 +1,22 @@
 """Bronze / silver / gold storage as folders of Parquet tables.
 
-``Layers`` maps (layer, table) to a path under one root. Writes are
-create-or-replace (``overwrite``), so re-running a build is idempotent.
+``Layers`` maps (layer, table) to a path under one root. Bronze and silver
+tables are replaced one by one. Gold tables belong together: each build writes
+all of them below a folder of its own, and only a finished build is published,
+by appending one row to the ``builds`` table, whose latest row names the build
+that readers get. A build that fails leaves the earlier one as it was, and a
+reader that started on an earlier build can finish on it.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -50,5 +58,42 @@ class Layers:
     def silver(self, name: str) -> DataFrame:
         return self.read("silver", name)
 
-    def gold(self, name: str) -> DataFrame:
-        return self.read("gold", name)
+    # -- gold builds -----------------------------------------------------------
+
+    def new_build(self) -> str:
+        """An id for a build to be: its start in milliseconds, and chance."""
+        return f"{time.time_ns() // 1_000_000}-{uuid.uuid4().hex[:8]}"
+
+    def write_build(self, df: DataFrame, build: str, name: str) -> DataFrame:
+        path = self.path("gold", f"build={build}/{name}")
+        write_table(df, path)
+        return read_table(self.spark, path)
+
+    def publish(self, build: str) -> None:
+        """Make ``build`` the one that readers get: one row, in one file, appended in one commit."""
+        last = self._last()
+        row = [(1 if last is None else last[0] + 1, build)]
+        (self.spark.createDataFrame(row, "number long, build string").coalesce(1)
+         .write.mode("append").parquet(self.path("gold", "builds")))
+
+    def current_build(self) -> str | None:
+        """The published build, or None before the first."""
+        last = self._last()
+        return None if last is None else last[1]
+
+    def _last(self) -> tuple[int, str] | None:
+        try:
+            builds = self.spark.read.schema("number long, build string").parquet(self.path("gold", "builds"))
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return None
+            raise
+        row = builds.orderBy(F.col("number").desc(), F.col("build").desc()).first()
+        return None if row is None else (row["number"], row["build"])
+
+    def gold(self, name: str, build: str | None = None) -> DataFrame:
+        """A gold table of the published build (or of ``build``)."""
+        build = build or self.current_build()
+        if build is None:
+            raise FileNotFoundError(f"no gold build has been published under {self.root}")
+        return read_table(self.spark, self.path("gold", f"build={build}/{name}"))

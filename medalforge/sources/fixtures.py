@@ -142,3 +142,15 @@ def bronze_customer(customer: DataFrame) -> DataFrame:
     older = customer.where(k % 5 == 0).select(*row(
         F.date_format(_days_after("1993-01-01", k % 365), "yyyy-MM-dd"), F.lit("Single")))
     return current.unionByName(older)
+
+
+def bronze_table(name: str, silver: DataFrame, critical: str) -> DataFrame:
+    """The raw copy of a silver table: every field a string, values that will be typed padded with blanks,
+    and about every tenth row once more without its ``critical`` value, to be dropped."""
+    def raw(f) -> Column:
+        text = F.col(f.name).cast("string")
+        return (text if f.dataType.typeName() == "string" else F.concat(F.lit(" "), text, F.lit("  "))).alias(f.name)
+
+    rows = silver.select(*[raw(f) for f in silver.schema.fields])
+    broken = rows.where(F.pmod(F.crc32(F.col(critical).cast("binary")), F.lit(10)) == 0).withColumn(critical, F.lit("  "))
+    return rows.unionByName(broken)

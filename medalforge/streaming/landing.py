@@ -4,7 +4,9 @@ Each run picks up only the files not seen before (the file source tracks them
 in the checkpoint), writes them unchanged and untyped, and stops
 (``availableNow``), so the same job can run on a schedule or continuously.
 The checkpoint lives in the shared folder, so a restarted job after a lost
-driver or executor resumes where it stopped and never lands a file twice.
+driver or executor resumes where it stopped and never lands a file twice. Files
+land whatever their modification time: the file source's age limit, which skips
+old files that arrive late, is set to ``MAX_FILE_AGE``.
 """
 
 from __future__ import annotations
@@ -16,23 +18,23 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..session import shared_dir
-from ..sources.bronze import _CSV_READ
+from ..sources.bronze import configured
 
+MAX_FILE_AGE = "36500d"
 
-def land_stream(spark: SparkSession, source_dir: str, fmt: str, schema: T.StructType,
+
+def land_stream(spark: SparkSession, source_dir: str, fmt: str, schema: T.StructType | None,
                 target_dir: str, checkpoint_dir: str | None = None,
                 max_files_per_trigger: int | None = None,
-                available_now: bool = True) -> StreamingQuery:
-    """Start the landing query and return it (``awaitTermination()`` to wait)."""
-    reader = spark.readStream.schema(schema)
+                available_now: bool = True, keep_corrupt: bool = True) -> StreamingQuery:
+    """Start the landing query and return it (``awaitTermination()`` to wait).
+
+    As in ``sources.bronze.ingest``, lines that do not parse are kept in ``_corrupt_record``.
+    """
+    reader = spark.readStream.option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if fmt == "csv":
-        stream = reader.options(**_CSV_READ).csv(source_dir)
-    elif fmt == "json":
-        stream = reader.json(source_dir)
-    else:
-        raise ValueError(f"unsupported bronze format {fmt!r}")
+    stream = configured(reader, fmt, schema, keep_corrupt).load(source_dir)
     stable = hashlib.sha1(target_dir.encode()).hexdigest()[:16]  # same target → same checkpoint
     checkpoint = checkpoint_dir or f"{shared_dir(spark)}/medalforge/streams/{stable}"
     writer = (stream.writeStream.format("parquet").outputMode("append")

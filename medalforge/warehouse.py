@@ -1,8 +1,9 @@
 """Materialised layers for a set of source tables, built once per session.
 
-The first query against a source folder derives silver from it, builds gold
-(dimensions, then the fact) and writes the gold tables under the session's
-shared folder; later queries read those tables. Writing them, rather than
+The first query against a source folder writes the raw copies of its six tables
+to bronze, cleanses them into silver, builds gold from the stored silver
+(dimensions, then the fact) and publishes it, all under the session's shared
+folder; later queries read those tables. Writing them, rather than
 keeping the views' lineage, means a lost executor costs a re-read of Parquet,
 not a re-run of the windows and joins.
 """
@@ -13,10 +14,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators.cleansing import SILVER_SPECS, cleanse
 from .operators.gold import build_gold
 from .session import scratch_path, session_id
 from .sources.catalog import Layers
-from .sources.fixtures import SILVER_SOURCES, load_tables, silver_tables
+from .sources.fixtures import SILVER_SOURCES, bronze_table, load_tables, silver_tables
 
 _BUILT: dict[tuple, dict[str, DataFrame]] = {}
 _LAYERS: dict[tuple, Layers] = {}
@@ -45,13 +47,23 @@ def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def silver_for(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six silver frames (lazy plans over the source tables), built once per session."""
+    """The six stored silver tables, cleansed from stored bronze once per session."""
     key = _key(spark, sf_dir, "")
     if key not in _SILVER:
-        _SILVER[key] = silver_tables({n: source(spark, sf_dir, n) for n in SILVER_SOURCES})
+        layers = layers_for(spark, sf_dir)
+        frames = silver_tables({n: source(spark, sf_dir, n) for n in SILVER_SOURCES})
+        for name, spec in SILVER_SPECS.items():
+            layers.write(bronze_table(name, frames[name], spec.critical[0]), "bronze", name)
+        _SILVER[key] = silver_step(layers)
     return _SILVER[key]
 
 
+def silver_step(layers: Layers) -> dict[str, DataFrame]:
+    """Cleanse every bronze table of ``SILVER_SPECS`` into silver; return them read back."""
+    return {name: layers.write(cleanse(layers.read("bronze", name), spec), "silver", name)
+            for name, spec in SILVER_SPECS.items()}
+
+
 def gold_for(spark: SparkSession, sf_dir: str, key_mode: str = "distributed") -> dict[str, DataFrame]:
     key = _key(spark, sf_dir, key_mode)
     if key not in _BUILT:
