@@ -36,6 +36,7 @@ from ..session import broadcast_limit
 # data rounded up to 8 bytes; plus hash-table overhead per entry.
 _ROW_OVERHEAD = 8 + 16
 _ROW = "_fact_row"
+SALTS_PER_TASK = 8  # salts fall on tasks by hash; several per task even that out
 
 
 def _measurable(df: DataFrame) -> bool:
@@ -140,7 +141,7 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], fraction: float) -> dict[str,
 
 def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: list[str]) -> DataFrame:
     """One shuffle join on (key, salt) of a fact with row numbers; ``hot``: key values to spread."""
-    n = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = SALTS_PER_TASK * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     key = F.col(fact_key)
     spread = key.isNull() | key.cast("string").isin(hot)
     salted = fact.withColumn("_salt", F.when(spread, F.pmod(F.xxhash64(_ROW), F.lit(n))).otherwise(F.lit(0)))
