@@ -53,8 +53,9 @@ def monthly_sales(fact: DataFrame, dense: bool = False) -> DataFrame:
     if not dense:
         return monthly
     following = F.lead("order_month").over(Window.orderBy("order_month"))  # one row per month
-    until = F.coalesce(F.add_months(following, -1), F.col("order_month"))
-    spread = monthly.withColumn("_m", F.explode(F.sequence("order_month", until, F.expr("INTERVAL 1 MONTH"))))
+    until = F.coalesce(F.add_months("_next", -1), F.col("order_month"))
+    spread = (monthly.withColumn("_next", following)
+              .withColumn("_m", F.explode(F.sequence("order_month", until, F.expr("INTERVAL 1 MONTH")))))
     own = F.col("_m") == F.col("order_month")
     measures = ("total_sales", "total_quantity", "total_units_solds")
     return spread.select(F.col("_m").alias("order_month"), *[
