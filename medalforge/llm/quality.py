@@ -194,3 +194,36 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = filter_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     return out.select("doc_id", *MEASURES, failed.alias("base_failed"), (~failed & F.col("kept")).alias("kept"))
+
+
+# DuckDB statement for the query: windows as rows of text, stutters by comparing neighbours.
+ORACLE_SQL = r"""
+WITH t AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+             [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM t),
+f AS (SELECT rid, doc_id, t, ws, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+             len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, len(ls) AS n_lines,
+             len(ls) - len(list_distinct(ls)) AS n_dup_lines FROM w),
+win AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g
+        FROM (SELECT rid, ws, unnest(range(1, n_words - 6)) AS i FROM f WHERE n_words > 8)),
+twice AS (SELECT rid, g FROM win GROUP BY rid, g HAVING count(*) > 1),
+hit AS (SELECT DISTINCT rid, i + k AS at FROM win JOIN twice USING (rid, g), range(8) AS o(k)),
+r AS (SELECT rid, count(*) AS n FROM hit GROUP BY rid),
+m AS (SELECT f.*, coalesce(r.n, 0) AS n_repeat_words,
+             len([i for i in range(1, n_words) if ws[i] = ws[i + 1]]) AS stutters,
+             len([x for x in ws if regexp_matches(x, '\p{L}')]) AS letter_words,
+             len(regexp_extract_all(t, '\p{Lu}')) AS upper_letters, len(regexp_extract_all(t, '\p{L}')) AS letters,
+             len(regexp_extract_all(t, '(?m)^[ \t]*[-*•‣]\s')) AS bullets,
+             len(regexp_extract_all(t, '(?m)(\.\.\.|…)[ \t]*$')) AS ellipses
+      FROM f LEFT JOIN r USING (rid))
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+       CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+       CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words
+            OR (n_dup_lines >= 4 AND 100 * n_dup_lines > 40 * n_lines)
+            OR 100 * n_symbols > 30 * n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR 100 * letter_words < 60 * n_words OR 100 * stutters > 30 * n_words
+            OR 100 * upper_letters > 60 * letters OR 100 * bullets > 90 * n_lines
+            OR 100 * ellipses > 30 * n_lines) AS kept
+FROM m"""

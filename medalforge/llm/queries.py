@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import quality
 from .ann import op4_hilbert_neighbours
 from .chat import op8_chat_formatting
 from .jaccard import op5_ngram_jaccard
@@ -30,4 +31,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others learn, draw at random, search or compare sets: their tests use brute force instead."""
+    return {"op3_quality_rules": quality.ORACLE_SQL}
