@@ -25,11 +25,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, "llm", name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows``: rows per Arrow batch while this table is written, where rows are wide.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", name)
+    before = spark.conf.get(_BATCH)
+    if batch_rows:
+        spark.conf.set(_BATCH, str(batch_rows))
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(_BATCH, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -52,6 +52,7 @@ LOCAL_GROUP = 16      # sets of one task on one block before they are pre-aggreg
 PARTNERS = 256        # partners of one set that are verified in one group
 STEP = 3 << 20        # text bytes that a task works on at once
 FILTER_BITS = 1 << 26 # bits of the filter that spares texts without candidates a shuffle
+BATCH_ROWS = 1000     # texts or sets that a task holds at once
 ATTEMPTS = 4
 _U = np.uint64
 _C1, _C2, _C3 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
@@ -406,7 +407,7 @@ def verify(pairs: DataFrame, classes: DataFrame, known: DataFrame, name: str) ->
     texts = known.select("row", "text", place.alias("h")).mapInArrow(few, "row long, text string").join(wanted, "row")
     groups = (texts.select("node", "groups", "text").mapInArrow(sets_of, "x long, part long, partner long, shingles binary")
               .repartition("x", "part").sortWithinPartitions("x", "part", F.col("partner").asc_nulls_first()))
-    return stored(groups.mapInArrow(_tested, "x long, y long"), name)
+    return stored(groups.mapInArrow(_tested, "x long, y long"), name, BATCH_ROWS)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -476,7 +477,7 @@ def link_documents(documents: DataFrame) -> DataFrame:
     known = (documents.where("doc_id IS NOT NULL").select("doc_id", "text")
              .withColumn("row", F.monotonically_increasing_id()))
     packed = known.mapInArrow(lambda batches: _packed(batches, parts), _PACKED)
-    found = stored(packed.repartitionById(parts, F.col("p")).mapInArrow(_matched, _FOUND), "blocks")
+    found = stored(packed.repartitionById(parts, F.col("p")).mapInArrow(_matched, _FOUND), "blocks", BATCH_ROWS)
     docs = found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("c").alias("n"))
     firsts = (found.where("kind = 2 AND c > 0").groupBy(F.col("b").alias("node"))
               .agg(F.min("a").alias("doc_id"), F.min("d").alias("row")))
