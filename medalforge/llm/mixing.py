@@ -34,6 +34,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import measured_join
 from ..operators.keys import surrogate_key
 from .common import stored, table
 
@@ -55,9 +56,13 @@ def uniform(*key: Column) -> Column:
 
 
 def by_source(docs: DataFrame, sources: DataFrame) -> DataFrame:
-    """Join per-source columns to rows; null is a source like any other."""
+    """Join per-source columns to rows; null is a source like any other.
+
+    The sources are broadcast if measured under the session's bound, so the rows of a large source
+    stay where they are; beyond it the join is one that Spark can split at a large source.
+    """
     extra = [c for c in sources.columns if c != "source"]
-    return (docs.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
+    return (measured_join(docs.alias("d"), sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")), "inner")
             .select("d.*", *[f"s.{c}" for c in extra]))
 
 
@@ -94,7 +99,8 @@ def targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: float = CA
         if not row["open"] or (total - row["held"]) / row["open"] <= level * (1 + 1e-12):
             break
         level = (total - row["held"]) / row["open"]
-    return ranked.select("source", "source_size", F.least(limit, F.lit(level) * F.col("weight")).alias("target"))
+    return stored(ranked.select("source", "source_size", F.least(limit, F.lit(level) * F.col("weight")).alias("target")),
+                  "targets")
 
 
 def levels(docs: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
@@ -106,7 +112,7 @@ def levels(docs: DataFrame, sources: DataFrame, cap: float) -> DataFrame:
                 .agg(F.sum(F.when(full, 0.0).otherwise(F.col("size") * F.col("weight"))).alias("open"),
                      F.sum(F.when(full, float(cap) * F.col("size")).otherwise(0.0)).alias("held")))
         risen = F.when(F.col("open") > 0, F.greatest("level", (F.col("target") - F.col("held")) / F.col("open")))
-        step = stored(by_source(state, sums).withColumn("new", F.coalesce(risen, F.col("level"))), "levels")
+        step = stored(by_source(state, stored(sums, "sums")).withColumn("new", F.coalesce(risen, F.col("level"))), "levels")
         state = step.withColumn("level", F.col("new")).select(*sources.columns, "level")
         if not step.where(F.col("new") > F.col("level") * (1 + 1e-9)).limit(1).count():
             return state
@@ -134,7 +140,7 @@ def pareto_draw(docs: DataFrame, sources: DataFrame) -> DataFrame:
     q = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
     ranked = stored(docs.select("_row", "source", "size", q.alias("q"))
                     .withColumn("bin", F.floor(F.col("q") / (1 + F.col("q")) * BINS)), "ranked")
-    bins = ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n"))
+    bins = stored(ranked.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")), "bins")
     along = Window.partitionBy("source").orderBy("bin")
     running = (by_source(bins, sources.select("source", "room"))
                .withColumn("upto", F.sum("words").over(along)).withColumn("docs", F.sum("n").over(along)))
@@ -143,10 +149,12 @@ def pareto_draw(docs: DataFrame, sources: DataFrame) -> DataFrame:
         F.max("room").alias("room"), F.coalesce(F.max(F.when(whole, F.col("upto"))), F.lit(0)).alias("below"),
         F.coalesce(F.max(F.when(whole, F.col("bin"))), F.lit(-1)).alias("last"),
         F.min(F.when(~whole, F.col("docs"))).alias("reached"))
+    cut = stored(cut, "cuts")
     end = (by_source(running.select("source", "bin", "docs"), cut).where(F.col("docs") >= F.col("reached") + FILL)
            .groupBy("source").agg(F.min("bin").alias("end")))
     cut = (cut.alias("c").join(end.alias("e"), F.col("c.source").eqNullSafe(F.col("e.source")), "left")
            .select("c.*", F.coalesce("e.end", F.lit(BINS)).alias("end")))
+    cut = stored(cut, "cut")
     placed = by_source(ranked, cut)
     near = (placed.where("bin > last AND bin <= end").withColumn("room", F.col("room") - F.col("below"))
             .groupBy("source").applyInPandas(_through, "_row long"))
@@ -172,7 +180,8 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
     wanted = stored(wanted.withColumn("wanted", F.when(near, F.round("wanted")).otherwise(F.col("wanted")))
                     .withColumn("certain", F.when(F.col("size") > 0, F.floor("wanted")).otherwise(0))
                     .withColumn("p", F.col("wanted") - F.floor("wanted")), "wanted")
-    room = wanted.groupBy("source").agg((F.max("target") - F.sum(F.col("certain") * F.col("size"))).alias("room"))
+    room = stored(wanted.groupBy("source")
+                  .agg((F.max("target") - F.sum(F.col("certain") * F.col("size"))).alias("room")), "room")
     drawn = stored(pareto_draw(wanted.where("p > 0 AND size > 0"), room), "drawn")
     return (wanted.join(drawn.withColumn("extra", F.lit(1)), "_row", "left")
             .select(*_ROW, "source_size", "target",
