@@ -76,6 +76,7 @@ def steps(batches: Iterator[pa.RecordBatch], text: str = "text",
             stop = max(start + 1, int(np.searchsorted(size, base + limit, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
+            pa.default_memory_pool().release_unused()
 
 
 def words_of(text: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:

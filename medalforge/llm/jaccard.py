@@ -50,9 +50,10 @@ from .common import encoded, steps, stored, strings, table, words_of
 SHINGLE = 5
 LOCAL_GROUP = 16      # sets of one task on one block before they are pre-aggregated
 PARTNERS = 256        # partners of one set that are verified in one group
-STEP = 3 << 20        # text bytes that a task works on at once
+STEP = 1 << 20        # text bytes that a task works on at once
 FILTER_BITS = 1 << 26 # bits of the filter that spares texts without candidates a shuffle
-BATCH_ROWS = 1000     # texts or sets that a task holds at once
+BATCH_ROWS = 400      # texts or sets that a task holds at once
+BITS = 16             # bits of a sketch per difference that linked sets may have
 ATTEMPTS = 4
 _U = np.uint64
 _C1, _C2, _C3 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
@@ -176,9 +177,15 @@ def sketch_keys(value: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple
     return np.concatenate(out_who), np.concatenate(out_key)
 
 
+def _longs(band: int) -> int:
+    """Length of a band's bit sketches: BITS bits per allowed difference, so that few differences fall
+    on one bit and cancel, and the distance of two sketches is close to that of the sets."""
+    return int(BITS * (bound(np.array([band]))[0] + 1) // 64 + 1)
+
+
 def _parity_bits(value: np.ndarray, band: int) -> np.ndarray:
-    """One parity bit per token, 64 to a long; about four bits per allowed difference."""
-    longs = int(4 * (bound(np.array([band]))[0] + 1) // 64 + 1)
+    """One parity bit per token, 64 to a long."""
+    longs = _longs(band)
     at = (mixed(value ^ _C2) % _U(64 * longs)).astype(np.int64)
     bits = (np.bincount(at, minlength=64 * longs) & 1).astype(np.uint8)
     return np.packbits(bits).view(np.int64)
@@ -325,7 +332,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 def _bits_of(n: int, blob: bytes, band: int) -> np.ndarray:
     """The bit sketch of a set of ``n`` tokens under a band: its own or the next."""
     own = int(np.searchsorted(_BANDS, n, side="right")) - 1
-    longs = int(4 * (bound(np.array([own]))[0] + 1) // 64 + 1)
+    longs = _longs(own)
     bits = np.frombuffer(blob, _U)
     return bits[:longs] if band == own else bits[longs:]
 
