@@ -83,3 +83,9 @@ def test_no_python_in_the_plan_and_edges(spark):
 def test_single_rules(spark, text, rejected):
     row = quality.filter_quality(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row.kept is not rejected
+
+
+def test_query_matches_duckdb(spark):
+    from tools.check_oracle import compare, duck_connection
+    ok, msg = compare(quality.op3_quality_rules(spark, SF001), duck_connection(SF001), quality.ORACLE_SQL)
+    assert ok, msg
