@@ -45,7 +45,7 @@ from .lattice import MARK, VOCABULARY, Lattice, Pieces, load_pieces, utf8
 
 SAMPLES = 2
 SEED = 7
-STEP = 4 << 20
+STEP = 3 << 19  # text bytes whose lattices a task holds at once
 _U = np.uint64
 
 
