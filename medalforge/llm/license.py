@@ -9,12 +9,15 @@ enough for every task, since templates are a parameter and at most
 ``MAX_TEMPLATE_WORDS`` words in all. All hashes of all texts are looked up in numpy;
 texts without a hit end there.
 
-Hits of a template on nearby diagonals form a candidate, which is aligned with
-the text in a band around them (local alignment of words: match 1, mismatch and
-gap -1). A candidate counts if the matched words cover at least
-``min_coverage`` of the template; of overlapping finds the one with the most
-matched words, then the highest coverage, stays. Spans are offsets in characters
-(code points) of the whole text.
+Hits of a template on nearby diagonals form a run, which is aligned with
+the text in a band around it (local alignment of words: match 1, mismatch and
+gap -1); a whole copy on a diagonal of the run needs no alignment. A find counts
+if the matched words cover at least ``min_coverage`` of the template; of
+overlapping finds the one with the most matched words, then the highest
+coverage, stays. Each run is aligned again in the words that a find, or an
+alignment too weak to count, leaves on its two sides, until none of its hits lies
+there; so repeated notices are all found, however near. Spans are offsets in
+characters (code points) of the whole text.
 
 Defined results: null and empty texts have no finds and so no rows; repeated rows
 are scanned one by one; a null key is an ordinary value; a template of fewer
@@ -24,6 +27,7 @@ than GRAM words is one hash of all its words and is found only whole.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 import zlib
 from collections import defaultdict
@@ -130,10 +134,12 @@ class Index:
         return self.values[at] == values
 
 
-def align(template: list[str], words: list[str], start: int, band: int) -> tuple[int, int, int]:
-    """Best local alignment with words[start + i + k] facing template[i], |k| <= band: matched words, first
-    and one past last word (0, 0, 0 if nothing matches)."""
+def align(template: list[str], words: list[str], start: int, band: int,
+          low: int = 0, high: int | None = None) -> tuple[int, int, int]:
+    """Best local alignment of words[low:high] with words[start + i + k] facing template[i], |k| <= band: matched
+    words, first and one past last word (0, 0, 0 if nothing matches)."""
     width = 2 * band + 1
+    high = len(words) if high is None else high
     # per offset k: score, matched, begin
     last = [(0, 0, -1)] * width
     best = (0, 0, 0, 0)
@@ -142,7 +148,7 @@ def align(template: list[str], words: list[str], start: int, band: int) -> tuple
         for k in range(width):
             j = start + i + k - band
             score, matched, begin = 0, 0, -1
-            if 0 <= j < len(words):
+            if low <= j < high:
                 s, m, b = last[k]
                 if words[j] == wanted:
                     score, matched, begin = s + 1, m + 1, b if b >= 0 else j
@@ -159,6 +165,50 @@ def align(template: list[str], words: list[str], start: int, band: int) -> tuple
     return best[1], best[2], best[3]
 
 
+class Run:
+    """Hits of one template (diagonal, place in the text) whose diagonals are near each other."""
+
+    def __init__(self, t: int, hits: list[tuple[int, int]], gram: int):
+        self.t, self.start, self.gram = t, hits[0][0], gram
+        self.diagonals = sorted({d for d, _ in hits})
+        self.places = sorted(at for _, at in hits)
+
+    def hit_within(self, low: int, high: int) -> bool:
+        first = bisect.bisect_left(self.places, low)
+        return first < len(self.places) and self.places[first] + self.gram <= high
+
+    def whole_copy(self, template: list[str], words: list[str], low: int, high: int) -> tuple[int, int, int] | None:
+        """The first copy of the whole template on a diagonal of the run: no alignment scores higher."""
+        n = len(template)
+        return next(((n, d, d + n) for d in self.diagonals if low <= d and d + n <= high and words[d:d + n] == template), None)
+
+
+def runs(t: int, hits: list[tuple[int, int]], size: int, band: int) -> list[Run]:
+    """The hits of a template of ``size`` words, cut where a diagonal is more than ``band`` beyond the run's first."""
+    cut: list[list[tuple[int, int]]] = []
+    for d, at in sorted(hits):
+        if not cut or d - cut[-1][0][0] > band:
+            cut.append([])
+        cut[-1].append((d, at))
+    return [Run(t, run, min(GRAM, size)) for run in cut]
+
+
+def gaps(taken: list[tuple[int, int]], low: int, high: int) -> list[tuple[int, int]]:
+    """What the ordered, separate spans in ``taken`` leave of [low, high)."""
+    out = []
+    at = bisect.bisect(taken, (low, low))
+    if at and taken[at - 1][1] > low:
+        low = taken[at - 1][1]
+    while low < high:
+        end = taken[at][0] if at < len(taken) else high
+        if end > low:
+            out.append((low, min(end, high)))
+        if at == len(taken):
+            break
+        low, at = max(low, taken[at][1]), at + 1
+    return out
+
+
 def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE, band: int = BAND) -> list[tuple]:
     """(template, coverage, matched, start, end) of a text, in order of place."""
     spans = [(m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -169,30 +219,36 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE, band:
         values = gram_hashes(hashes, gram)
         for at in np.flatnonzero(index.holds(values)).tolist():
             for t, i in index.places[int(values[at])]:
-                hits[t].append(at - i)
-    found = []
-    for t, diagonals in hits.items():
-        template, start, last = index.words[t], None, None
-        groups = []
-        for d in sorted(set(diagonals)):
-            if last is None or d - start > band:
-                start = d
-                groups.append(d)
-            last = d
-        for d in groups:
-            matched, a, b = align(template, words, d, 2 * band)
+                hits[t].append((at - i, at))
+    heap: list[tuple] = []
+    taken: list[tuple[int, int]] = []
+
+    def seek(run: Run, low: int, high: int) -> None:
+        """Offer the best find of a run in words[low:high], or those beside it while it is too weak."""
+        template, todo = index.words[run.t], [(low, high)]
+        while todo:
+            low, high = todo.pop()
+            if high - low < min_coverage * len(template) or not run.hit_within(low, high):
+                continue
+            matched, a, b = run.whole_copy(template, words, low, high) or align(template, words, run.start, 2 * band, low, high)
             if matched and matched >= min_coverage * len(template):
-                found.append((t, matched / len(template), matched, spans[a][0], spans[b - 1][1]))
-    found.sort(key=lambda f: (-f[2], -f[1], f[3], f[0]))
+                heapq.heappush(heap, (-matched, -matched / len(template), a, run.t, run.start, b, low, high, run))
+            elif matched:
+                todo += [(low, a), (b, high)]
+
+    for t, places in hits.items():
+        for run in runs(t, places, len(index.words[t]), band):
+            seek(run, max(0, run.start - 2 * band), min(len(words), run.start + len(index.words[t]) + 2 * band))
     kept: list[tuple] = []
-    taken: list[tuple[int, int]] = []
-    for f in found:
-        at = bisect.bisect(taken, (f[3], f[4]))
-        if (at and taken[at - 1][1] > f[3]) or (at < len(taken) and taken[at][0] < f[4]):
-            continue
-        taken.insert(at, (f[3], f[4]))
-        kept.append(f)
-    return sorted(((index.names[t], c, m, a, b) for t, c, m, a, b in kept), key=lambda f: f[3])
+    while heap:
+        matched, coverage, a, t, _, b, low, high, run = heapq.heappop(heap)
+        at = bisect.bisect(taken, (a, b))
+        if not (at and taken[at - 1][1] > a) and not (at < len(taken) and taken[at][0] < b):
+            taken.insert(at, (a, b))
+            kept.append((index.names[t], -coverage, -matched, spans[a][0], spans[b - 1][1]))
+        for free in gaps(taken, low, high):
+            seek(run, *free)
+    return sorted(kept, key=lambda f: f[3])
 
 
 def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "text", key: str = "doc_id",

@@ -133,6 +133,24 @@ def test_edited_texts_and_clean_ones():
     assert license.scan_text(INDEX, "") == []
 
 
+def test_adjacent_copies_of_one_template_are_all_found():
+    found = license.scan_text(INDEX, "2020 Foo Inc All rights reserved 2021 Bar Ltd All rights reserved")
+    assert [(f[0], f[2], f[3], f[4]) for f in found] == [("All-rights-reserved", 3, 13, 32), ("All-rights-reserved", 3, 46, 65)]
+    for name in ("All-rights-reserved", "MIT", "GPL-3.0", "MIT-text"):
+        text = " ".join([license.TEMPLATES[name]] * 300)
+        found = license.scan_text(INDEX, text)
+        assert [f[0] for f in found] == [name] * 300 and all(f[1] == 1.0 for f in found)
+        assert all(a[4] < b[3] for a, b in zip(found, found[1:]))
+
+
+def test_adjacent_edited_copies_and_mixed_templates_are_all_found():
+    work = "This work is kindly licensed under the GNU General Public License, version 3."
+    found = license.scan_text(INDEX, " ".join([work, "All rights reserved.", work, work, "All rights reserved. All rights reserved."]))
+    assert [f[0] for f in found] == ["GPL-3.0", "All-rights-reserved", "GPL-3.0", "GPL-3.0"] + ["All-rights-reserved"] * 2
+    cut = license.TEMPLATES["GPL-3.0"].replace("This work ", "")  # 10 of 12 words
+    assert [f[2] for f in license.scan_text(INDEX, " ".join([cut] * 40))] == [10] * 40
+
+
 def test_alignment_equals_full_dynamic_programming():
     import random
     rng = random.Random(1)
