@@ -7,7 +7,8 @@ kept, written as Parquet and read again. All but the last return the columns of
 1. language ID: texts of no language (null or without a letter) go;
 2. quality rules: texts that a rule of the cascade rejects go;
 3. n-gram Jaccard join: one document of each group of near copies stays, the
-   first in reading order (rows are told apart by their place, so repeated ids do no harm);
+   first in reading order (rows are told apart by a number that is written once with them,
+   so neither repeated ids nor another split of the files do harm);
 4. mixing sources to target weights: documents are repeated or left out;
 5. SentencePiece encoding: sampled segmentations of every text (copies of a
    document are sampled alike).
@@ -37,8 +38,8 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = mixing.numbered(_packed(docs, "text"))
-    linked = jaccard.link_documents(rows.select(F.col("_row").alias("doc_id"), "text"))
+    rows = stored(mixing.numbered(_packed(docs)), "numbered")
+    linked = jaccard.link_documents(rows.select(F.col("_row").alias("doc_id"), "_all.text"), row="doc_id")
     copies = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_row"))
     return rows.join(copies, "_row", "left_anti").select("_all.*")
 

@@ -477,12 +477,17 @@ def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: D
     return pairs.join(tested, ["x", "y"], "left_anti")
 
 
-def link_documents(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of (doc_id, text)."""
+def link_documents(documents: DataFrame, row: str | None = None) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of (doc_id, text).
+
+    Rows are read more than once and told apart by a number, which is written with them first, since
+    another scan can be split otherwise. ``row``: a unique column of a stored table, used instead.
+    """
     spark = documents.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = (documents.where("doc_id IS NOT NULL").select("doc_id", "text")
-             .withColumn("row", F.monotonically_increasing_id()))
+    known = (documents.where("doc_id IS NOT NULL")
+             .select("doc_id", "text", (F.col(row) if row else F.monotonically_increasing_id()).alias("row")))
+    known = known if row else stored(known, "numbered")
     packed = known.mapInArrow(lambda batches: _packed(batches, parts), _PACKED)
     found = stored(packed.repartitionById(parts, F.col("p")).mapInArrow(_matched, _FOUND), "blocks", BATCH_ROWS)
     docs = found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("c").alias("n"))

@@ -67,7 +67,8 @@ def by_source(docs: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def numbered(documents: DataFrame) -> DataFrame:
-    """Append ``_row``, the same for the same scan of the same files."""
+    """Append ``_row``. Another scan of the same files can be split, and so numbered, otherwise: rows that
+    are read again by number have to be ``stored`` first."""
     return documents.withColumn("_row", F.monotonically_increasing_id())
 
 
@@ -190,8 +191,9 @@ def mix(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP,
 
 def take(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """The mixed documents themselves, each as often as it is taken, with the columns of the input."""
-    rows = numbered(documents.select("doc_id", "source", "text", F.struct("*").alias("_all")))
-    copies = mix(rows.select("_row", "doc_id", "source", "text"), weights, cap).where("copies > 0").select("_row", "copies")
+    rows = stored(numbered(documents.select(F.struct("*").alias("_all"))), "numbered")
+    copies = (mix(rows.select("_row", "_all.doc_id", "_all.source", "_all.text"), weights, cap)
+              .where("copies > 0").select("_row", "copies"))
     return (rows.join(copies, "_row")
             .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("_all.*"))
 

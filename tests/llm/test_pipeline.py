@@ -1,5 +1,7 @@
+import pytest
+
 import corpus_pipeline
-from medalforge.llm import sampling
+from medalforge.llm import jaccard, mixing, sampling
 from tests.conftest import SF001
 
 from .helpers import with_clashes
@@ -25,3 +27,29 @@ def test_stages_in_order_and_their_decisions(spark):
     assert encoded.where("rank = 1").count() == sizes[4]
     texts = {(r.doc_id, r.text) for r in sampling.decode(encoded).select("doc_id", "text").distinct().collect()}
     assert texts == {(r.doc_id, r.text) for r in out.select("doc_id", "text").distinct().collect()}
+
+
+SPLIT = "spark.sql.files.maxPartitionBytes"
+
+
+@pytest.mark.parametrize("module,name,run", [
+    (jaccard, "near_pairs", lambda docs: jaccard.link_documents(docs.select("doc_id", "text"))),
+    (jaccard, "link_documents", lambda docs: corpus_pipeline.drop_near_copies(docs.sparkSession, docs, SF001)),
+    (mixing, "measured", mixing.take),
+])
+def test_files_split_otherwise_between_two_scans(spark, monkeypatch, module, name, run):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    want = sorted(map(tuple, run(docs).collect()))
+    real, before = getattr(module, name), spark.conf.get(SPLIT)
+
+    def then_resplit(*args, **options):
+        out = corpus_pipeline.stored(real(*args, **options), "before-resplit")
+        spark.conf.set(SPLIT, "16k")
+        return out
+
+    monkeypatch.setattr(module, name, then_resplit)
+    try:
+        got = sorted(map(tuple, run(docs).collect()))
+    finally:
+        spark.conf.set(SPLIT, before)
+    assert len(want) > 0 and got == want
