@@ -31,6 +31,7 @@ import heapq
 import re
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +43,7 @@ from .common import encoded, steps, strings, table
 
 GRAM, WINDOW, BAND = 3, 2, 8
 MIN_COVERAGE = 0.8
+LONG = 40  # words of a template from which a bound is taken before an alignment
 MAX_TEMPLATE_WORDS = 500_000
 _WORD = re.compile(r"[^\W_]+")
 
@@ -78,7 +80,46 @@ TEMPLATES = {
         "copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
         "materials provided with the distribution."),
     "All-rights-reserved": "All rights reserved.",
+    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
+    "BSD-2-Clause-notice": "Licensed under the BSD 2-Clause License.",
+    "ISC": "Licensed under the ISC License.",
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was "
+        "not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License "
+        "2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    "BSL-1.0-header": "Distributed under the Boost Software License, Version 1.0.",
+    "GPL-2.0-or-later-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
+    "LGPL-2.1-or-later-header": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version."),
+    "LGPL-3.0-or-later-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."),
+    "AGPL-3.0-or-later-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version."),
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "CC-BY-NC-4.0-notice": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "CC-BY-ND-4.0-notice": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "CC-BY-NC-SA-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    "CC-BY-NC-ND-4.0-notice": (
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    **{f"CC-{kind}-4.0{end}": f"Licensed under CC {kind} 4.0." for kind, end in (
+        ("BY", "-short"), ("BY-SA", "-short"), ("BY-ND", ""), ("BY-NC-SA", ""), ("BY-NC-ND", ""))},
 }
+# Whole license texts, one file each.
+TEMPLATES |= {f"{f.stem}-body": f.read_text("utf-8") for f in sorted((Path(__file__).parent / "licenses").glob("*.txt"))}
 
 
 def word_list(text: str) -> list[str]:
@@ -118,11 +159,13 @@ class Index:
         self.words = [word_list(templates[n]) for n in self.names]
         if sum(map(len, self.words)) > MAX_TEMPLATE_WORDS:
             raise ValueError(f"templates of more than {MAX_TEMPLATE_WORDS} words in all")
+        self.hashes = [np.array([word_hash(w) for w in words], np.uint64) for words in self.words]
+        self.known = frozenset().union(*self.words)
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         self.grams = sorted({min(gram, len(w)) for w in self.words if w})
         for t, words in enumerate(self.words):
             if words:
-                values = gram_hashes(np.array([word_hash(w) for w in words], np.uint64), min(gram, len(words)))
+                values = gram_hashes(self.hashes[t], min(gram, len(words)))
                 for at in winnow(values, window):
                     self.places[int(values[at])].append((t, at))
         self.values = np.array(sorted(self.places), np.uint64)
@@ -165,6 +208,16 @@ def align(template: list[str], words: list[str], start: int, band: int,
     return best[1], best[2], best[3]
 
 
+def reachable(template: np.ndarray, hashes: np.ndarray, start: int, band: int, low: int, high: int) -> int:
+    """How many template words have an equal word within the band: no alignment there matches more."""
+    seen = np.zeros(len(template), bool)
+    for shift in range(start - band, start + band + 1):
+        a, b = max(0, low - shift), min(len(template), high - shift)
+        if a < b:
+            seen[a:b] |= template[a:b] == hashes[shift + a:shift + b]
+    return int(seen.sum())
+
+
 class Run:
     """Hits of one template (diagonal, place in the text) whose diagonals are near each other."""
 
@@ -230,7 +283,11 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE, band:
             low, high = todo.pop()
             if high - low < min_coverage * len(template) or not run.hit_within(low, high):
                 continue
-            matched, a, b = run.whole_copy(template, words, low, high) or align(template, words, run.start, 2 * band, low, high)
+            whole = run.whole_copy(template, words, low, high)
+            if not whole and len(template) > LONG and (
+                    reachable(index.hashes[run.t], hashes, run.start, 2 * band, low, high) < min_coverage * len(template)):
+                continue
+            matched, a, b = whole or align(template, words, run.start, 2 * band, low, high)
             if matched and matched >= min_coverage * len(template):
                 heapq.heappush(heap, (-matched, -matched / len(template), a, run.t, run.start, b, low, high, run))
             elif matched:
@@ -267,8 +324,7 @@ def scan(df: DataFrame, templates: dict[str, str] | None = None, text: str = "te
             filled = pc.binary_length(distinct).to_numpy(zero_copy_only=False) > 0
             keep = filled[codes] if len(codes) else np.zeros(0, bool)
             codes, rows = codes[keep], rows[keep]
-            known = {w for words in index.words for w in words}
-            hashes = np.array([word_hash(w) if w in known else i for i, w in enumerate(distinct.to_pylist())], np.uint64)
+            hashes = np.array([word_hash(w) if w in index.known else i for i, w in enumerate(distinct.to_pylist())], np.uint64)
             values = hashes[codes] if len(codes) else np.zeros(0, np.uint64)
             hit = set()
             for gram in index.grams:

@@ -151,6 +151,18 @@ def test_adjacent_edited_copies_and_mixed_templates_are_all_found():
     assert [f[2] for f in license.scan_text(INDEX, " ".join([cut] * 40))] == [10] * 40
 
 
+@pytest.mark.parametrize("text,name", [
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0-short"),
+    (license.TEMPLATES.get("BSD-3-Clause-body", "").replace("copyright holder", "Regents"), "BSD-3-Clause-body"),
+    (license.TEMPLATES.get("AGPL-3.0-body", "").replace("conspicuously", "clearly"), "AGPL-3.0-body"),
+    (license.TEMPLATES.get("LGPL-2.1-body", "").replace("Library", "Package"), "LGPL-2.1-body"),
+])
+def test_the_nearest_template_of_a_family_is_found(text, name):
+    assert [f[0] for f in license.scan_text(INDEX, f"Before it. {text} After it.")] == [name]
+
+
 def test_alignment_equals_full_dynamic_programming():
     import random
     rng = random.Random(1)
