@@ -22,15 +22,18 @@ others, no ordering helps much and it is a large one.
 Equal vectors: only the ``k`` + 1 smallest ids of each distinct vector can be
 among anyone's nearest, so no more of them are indexed (besides queries).
 
-Defined results: rows with a null id, and vectors that are null, zero, of
-another length than most of the sample, or hold null or non-finite components
-take no part; of repeated ids the smallest vector counts; a query has all
-candidates when they are fewer than ``k``; ties go to the smaller id.
+Vectors of each length have curves and a window of their own: a query's
+neighbours are among the vectors of its length.
+
+Defined results: rows with a null id, and vectors that are null, zero, or hold
+null or non-finite components take no part; repeated rows count once, and an id
+with different vectors is an error; a query has all candidates when they are
+fewer than ``k``; ties go to the smaller id.
 """
 
 from __future__ import annotations
 
-from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -190,20 +193,31 @@ def search(table_: DataFrame, is_query, k: int = 5, recall: float = RECALL, curv
     source = table_.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     every = source.mapInArrow(_usable, "vec_id long, v binary, size int")
     every = stored(every.groupBy("vec_id").agg(F.min_by("v", F.struct("size", "v")).alias("v"),
-                                               F.min("size").alias("size")), "vectors")
+                                               F.min("size").alias("size"),
+                                               (F.min(F.struct("size", "v")) != F.max(F.struct("size", "v"))).alias("differ")), "vectors")
+    unclear = [r[0] for r in every.where("differ").select("vec_id").limit(3).collect()]
+    if unclear:
+        raise ValueError(f"ids with different vectors, such as {unclear}")
+    sizes = [r[0] for r in every.select("size").distinct().orderBy("size").collect()]
+    if not sizes:
+        return table_.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    found = [_search_size(every.where(F.col("size") == size) if len(sizes) > 1 else every, is_query, k, recall, curves)
+             for size in sizes]
+    return reduce(DataFrame.union, found)
+
+
+def _search_size(every: DataFrame, is_query, k: int, recall: float, curves: int) -> DataFrame:
+    """``search`` over (vec_id, v, size) of vectors of one length."""
     total = every.count()
     sample = every.where(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < int(min(1.0, FIT_ROWS / max(1, total)) * (1 << 30)))
     sample = sample.limit(2 * FIT_ROWS).toPandas()
     if sample.empty:
         sample = every.limit(1).toPandas()
-    if sample.empty:
-        return table_.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    size = Counter(sample["size"]).most_common(1)[0][0]
-    model = Curves(units(matrix(sample.loc[sample["size"] == size, "v"].tolist())), curves)
+    model = Curves(units(matrix(sample["v"].tolist())), curves)
     equal = Window.partitionBy(F.xxhash64("v"), "v").orderBy("vec_id")
-    vectors = stored(every.where(F.col("size") == size).withColumn("n", F.row_number().over(equal))
+    vectors = stored(every.withColumn("n", F.row_number().over(equal))
                      .where(F.col("n") <= k + 1).select("vec_id", "v", is_query.alias("q"))
-                     .union(every.where((F.col("size") == size) & is_query).select("vec_id", "v", F.lit(True)))
+                     .union(every.where(is_query).select("vec_id", "v", F.lit(True)))
                      .dropDuplicates(["vec_id"]), "indexed")
 
     def keyed(batches):

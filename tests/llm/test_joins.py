@@ -151,6 +151,21 @@ def test_small_tables_are_exact(spark):
     assert ann.search(df.where("false"), F.col("vec_id") == 0).count() == 0
 
 
+def test_each_vector_length_is_searched_and_unclear_ids_are_refused(spark):
+    from pyspark.sql import functions as F
+    rng = np.random.default_rng(5)
+    rows = {n: [(i, [float(np.float32(x)) for x in rng.normal(size=n)]) for i in ids]
+            for n, ids in ((8, range(0, 300)), (6, range(300, 360)), (12, range(1000, 1001)))}
+    df = spark.createDataFrame(sum(rows.values(), []), "vec_id long, embedding array<float>")
+    got = {(r.query_id, r.vec_id) for r in ann.search(df, F.pmod("vec_id", F.lit(50)) == 0, recall=1.0).collect()}
+    for n in rows:
+        want = {(q, i) for q, _, i in brute_nearest(rows[n], 5)}
+        mine = {(q, i) for q, i in got if q in dict(rows[n])}
+        assert len(mine) == len(want) and len(mine & want) >= 0.9 * len(want)
+    with pytest.raises(ValueError, match="different vectors"):
+        ann.search(df.union(spark.createDataFrame([(7, rows[8][8][1])], df.schema)), F.col("vec_id") == 0)
+
+
 def test_recall_on_the_table(spark):
     got = ann.op4_hilbert_neighbours(spark, SF001)
     table = spark.read.parquet(f"{SF001}/embeddings.parquet")
