@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import quality
 from .ann import op4_hilbert_neighbours
 from .chat import op8_chat_formatting
+from .decontaminate import op12_suffix_decontamination
 from .jaccard import op5_ngram_jaccard
 from .langid import op9_language_id
 from .license import op7_license_scan
@@ -27,6 +28,7 @@ def queries() -> dict:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_language_id": op9_language_id,
         "op10_pareto_mix": op10_pareto_mix,
+        "op12_suffix_decontamination": op12_suffix_decontamination,
     }
 
 
