@@ -12,6 +12,7 @@ from .license import op7_license_scan
 from .lmscore import op1_lattice_score
 from .mixing import op10_pareto_mix
 from .quality import op3_quality_rules
+from .repair import op11_conversation_repair
 from .sampling import op2_gumbel_encoding
 from .toxicity import op6_toxicity
 
@@ -28,6 +29,7 @@ def queries() -> dict:
         "op8_chat_formatting": op8_chat_formatting,
         "op9_language_id": op9_language_id,
         "op10_pareto_mix": op10_pareto_mix,
+        "op11_conversation_repair": op11_conversation_repair,
         "op12_suffix_decontamination": op12_suffix_decontamination,
     }
 
