@@ -15,6 +15,7 @@ from .quality import op3_quality_rules
 from .repair import op11_conversation_repair
 from .sampling import op2_gumbel_encoding
 from .toxicity import op6_toxicity
+from .trie import op13_conversation_trie
 
 
 def queries() -> dict:
@@ -31,6 +32,7 @@ def queries() -> dict:
         "op10_pareto_mix": op10_pareto_mix,
         "op11_conversation_repair": op11_conversation_repair,
         "op12_suffix_decontamination": op12_suffix_decontamination,
+        "op13_conversation_trie": op13_conversation_trie,
     }
 
 
