@@ -2,11 +2,15 @@
 
 from .cleansing import (SILVER_SPECS, Cleansing, cleanse, cleanse_customers, drop_critical, enforce_types, fill_unknown,
                         latest_per_key, rename)
+from .dictionary import KeyDictionary, lasting_dimension
 from .gold import (GOLD_ORDER, GoldBuildError, active_only, build_gold, dim_customer_info, dim_product_info,
                    fact_sales, resolve_gender, sales_key_report)
 from .joins import fits_broadcast, left_join_dim, left_join_dims, measured_join, projection_bytes
 from .keys import surrogate_key
+from .partials import SalesPartials
 from .rollup import rollup
+from .storage import read_by_month, sales_in_months, sales_of, write_by_month
+from .upsert import KeyedTable
 from .quality import (IntegrityError, assert_integrity, integrity_report, natural_key_report, profile_columns,
                       profile_tables)
 
@@ -16,4 +20,6 @@ __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown"
            "left_join_dim", "projection_bytes", "surrogate_key", "integrity_report",
            "profile_columns", "profile_tables", "IntegrityError", "assert_integrity",
            "fits_broadcast", "measured_join", "rollup", "SILVER_SPECS", "Cleansing", "cleanse",
-           "left_join_dims", "natural_key_report", "sales_key_report"]
+           "left_join_dims", "natural_key_report", "sales_key_report",
+           "KeyDictionary", "lasting_dimension", "SalesPartials", "KeyedTable", "write_by_month", "read_by_month",
+           "sales_of", "sales_in_months"]

@@ -81,13 +81,14 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 # Silver step for the raw customer copy: the operators above in order.
 CUSTOMER_TYPES = {"cst_id": "bigint", "cst_create_date": "date", "cst_acctbal": "decimal(12,2)"}
 CUSTOMER_TEXT = ("cst_firstname", "cst_lastname", "cst_marital_status", "cst_gndr")
+CUSTOMER_ORDER = ("cst_create_date", "cst_marital_status")
 
 
 def cleanse_customers(bronze: DataFrame) -> DataFrame:
     typed = enforce_types(bronze, CUSTOMER_TYPES)
     kept = drop_critical(typed, ["cst_id"])
     filled = fill_unknown(kept, CUSTOMER_TEXT)
-    return latest_per_key(filled, ["cst_id"], ["cst_create_date", "cst_marital_status"])
+    return latest_per_key(filled, ["cst_id"], CUSTOMER_ORDER)
 
 
 @dataclass(frozen=True)
@@ -115,6 +116,9 @@ def cleanse(bronze: DataFrame, spec: Cleansing) -> DataFrame:
     return latest_per_key(out, spec.keys, spec.order) if spec.keys else out
 
 
+# The raw customer copy, as ``cleanse_customers`` treats it.
+RAW_CUSTOMER = Cleansing(CUSTOMER_TYPES, ["cst_id"], CUSTOMER_TEXT, ["cst_id"], CUSTOMER_ORDER)
+
 # The six tables that the gold layer reads.
 SILVER_SPECS = {
     "crm_cust_info": Cleansing({"cust_id": "bigint", "cust_create_date": "date"}, ["cust_id"],

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.catalog import Layers
+from .dictionary import KeyDictionary, lasting_dimension
 from .joins import left_join_dim, left_join_dims
 from .keys import surrogate_key
 from .quality import assert_integrity, integrity_report, natural_key_report
@@ -46,10 +47,10 @@ def active_only(df: DataFrame, end_col: str = "prd_end_dt") -> DataFrame:
 
 
 def dim_customer_info(cust: DataFrame, demo: DataFrame, loc: DataFrame,
-                      key_mode: str = "distributed") -> DataFrame:
+                      key_mode: str = "distributed", dictionary: KeyDictionary | None = None) -> DataFrame:
     """CRM customers enriched with ERP demographics and location, keyed by ``cust_id`` order.
 
-    The enrichments are left joins through ``left_join_dim``: broadcast when
+    With a ``dictionary`` (of ``customer_id``) customers keep the key of earlier builds. The enrichments are left joins through ``left_join_dim``: broadcast when
     their measured size allows, otherwise a shuffle join with hot keys salted.
     """
     joined = left_join_dims(cust, [
@@ -66,15 +67,18 @@ def dim_customer_info(cust: DataFrame, demo: DataFrame, loc: DataFrame,
         F.col("bdate").alias("customer_birthdate"),
         F.col("cust_create_date").alias("customer_create_date"),
     )
+    if dictionary is not None:
+        return lasting_dimension(pre, dictionary)
     keyed = surrogate_key(pre, ["customer_id"], "customer_key", mode=key_mode,
                           tiebreak=["customer_number"])
     return keyed.select("customer_key", *pre.columns)
 
 
-def dim_product_info(prd: DataFrame, cat: DataFrame, key_mode: str = "distributed") -> DataFrame:
+def dim_product_info(prd: DataFrame, cat: DataFrame, key_mode: str = "distributed",
+                     dictionary: KeyDictionary | None = None) -> DataFrame:
     """Active products with their category, keyed by (start date, product number) order.
 
-    The category lookup goes through ``left_join_dim``: a category shared by a
+    With a ``dictionary`` (of ``product_number``) products keep the key of earlier builds. The category lookup goes through ``left_join_dim``: a category shared by a
     large share of the products is broadcast or salted, never one task.
     """
     joined = left_join_dim(active_only(prd), cat.select("id", "cat", "subcat", "maintenance"),
@@ -91,6 +95,8 @@ def dim_product_info(prd: DataFrame, cat: DataFrame, key_mode: str = "distribute
         F.col("prd_line").alias("product_line"),
         F.col("prd_start_dt").alias("product_start_date"),
     )
+    if dictionary is not None:
+        return lasting_dimension(pre, dictionary, ["product_start_date"])
     keyed = surrogate_key(pre, ["product_start_date", "product_number"], "product_key",
                           mode=key_mode, tiebreak=["product_id"])
     return keyed.select("product_key", *pre.columns)
@@ -146,9 +152,16 @@ def fact_layout(fact: DataFrame, partitions: int | None = None, mode: str = "reb
     return fact.sortWithinPartitions(*keys)
 
 
+def layers_dictionaries(layers: Layers) -> dict[str, KeyDictionary]:
+    """The dictionaries of both dimensions' keys, kept beside the gold builds."""
+    return {"dim_customer_info": KeyDictionary(layers.spark, layers.path("gold", "keys/customer"), "customer_id", "bigint", "customer_key"),
+            "dim_product_info": KeyDictionary(layers.spark, layers.path("gold", "keys/product"), "product_number", "string", "product_key")}
+
+
 def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "distributed",
                timings: dict[str, float] | None = None, verify: bool = False,
-               fact_layout_mode: str = "rebalance", max_unmatched: float = 0.5) -> dict[str, DataFrame]:
+               fact_layout_mode: str = "rebalance", max_unmatched: float = 0.5,
+               dictionaries: dict[str, KeyDictionary] | None = None) -> dict[str, DataFrame]:
     """Build the gold tables in dependency order and publish them together; return them read back.
 
     The two dimensions do not depend on each other and are built as two
@@ -160,7 +173,10 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
     every non-NULL surrogate key must exist in its dimension, no natural key may
     occur twice in a dimension, and at most a share of ``max_unmatched`` of the
     sales with a natural key may find no dimension row; ``IntegrityError`` otherwise.
+    ``dictionaries`` (dimension name → ``KeyDictionary``, see ``layers_dictionaries``) make
+    surrogate keys last from build to build.
     """
+    lasting = dictionaries or {}
     build = layers.new_build()
     timings = {} if timings is None else timings
     started = time.perf_counter()
@@ -177,9 +193,10 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
 
     with ThreadPoolExecutor(max_workers=2) as pool:
         dim_c = pool.submit(timed, "dim_customer_info", lambda: dim_customer_info(
-            silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"], key_mode))
+            silver["crm_cust_info"], silver["erp_cust_az12"], silver["erp_loc_a101"], key_mode,
+            lasting.get("dim_customer_info")))
         dim_p = pool.submit(timed, "dim_product_info", lambda: dim_product_info(
-            silver["crm_prd_info"], silver["erp_px_cat_g1v1"], key_mode))
+            silver["crm_prd_info"], silver["erp_px_cat_g1v1"], key_mode, lasting.get("dim_product_info")))
         out = {"dim_customer_info": dim_c.result(), "dim_product_info": dim_p.result()}
     out["fact_sales"] = timed("fact_sales", lambda: fact_layout(fact_sales(
         silver["crm_sales_details"], out["dim_product_info"], out["dim_customer_info"]),

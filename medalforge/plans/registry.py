@@ -17,8 +17,9 @@ from ..session import scratch_path
 from ..sources import Layers
 from ..sources import bronze as bronze_io
 from ..sources.fixtures import BRONZE_CUSTOMER_COLUMNS, bronze_customer
-from ..warehouse import gold_for, layers_for, silver_for, source
-from . import catalog
+from ..streaming.upsert import upsert_stream
+from ..warehouse import gold_for, layers_for, monthly_fact_for, partials_for, silver_for, source
+from . import catalog, merged
 from .views import publish_tables
 
 AS_OF = "2002-01-01"  # the date that ages and recency are counted to
@@ -89,6 +90,58 @@ def silver_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers_for(spark, sf_dir).write(clean, "silver", "customer_raw_copy")
 
 
+def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw customer copy landed in three batches, late and repeated ids among them, merged into silver by a stream."""
+    inbox, rows = scratch_path(spark, "inbox"), _bronze_rows(spark, sf_dir)
+    types = ops.enforce_types(rows, ops.cleansing.CUSTOMER_TYPES, error_col=None).schema
+    spec = ops.cleansing.RAW_CUSTOMER
+    silver = ops.KeyedTable(spark, scratch_path(spark, "silver_customer"), types, spec.keys, spec.order)
+    batch = F.pmod(F.crc32(F.concat("cst_key", "cst_create_date").cast("binary")), F.lit(3))
+    for number in range(3):
+        bronze_io.land(rows.where(batch == number), f"{inbox}/landed={number}", "json")
+        upsert_stream(spark, f"{inbox}/*", "json", bronze_io.STRING(BRONZE_CUSTOMER_COLUMNS), spec, silver).awaitTermination()
+    return silver.read()
+
+
+#: Dates of the two builds of ``lasting_keys``.
+SNAPSHOTS = ("1994-06-30", AS_OF)
+
+
+def lasting_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of both dimensions in the second of two builds: as of a day in 1994, and after customers and products
+    came and products ended."""
+    silver = silver_for(spark, sf_dir)
+    layers = Layers(spark, scratch_path(spark, "lasting"))
+    dictionaries = ops.gold.layers_dictionaries(layers)
+    for day in SNAPSHOTS:
+        began = silver["crm_prd_info"].where(F.col("prd_start_dt") <= F.lit(day).cast("date"))
+        still = began.withColumn("prd_end_dt", F.when(F.col("prd_end_dt") <= F.lit(day).cast("date"), F.col("prd_end_dt")))
+        known = silver["crm_cust_info"].where(F.col("cust_create_date") <= F.lit(day).cast("date"))
+        gold = ops.build_gold({**silver, "crm_cust_info": known, "crm_prd_info": still}, layers, dictionaries=dictionaries)
+
+    def keys(name: str, natural: str, key: str) -> DataFrame:
+        rows = gold[name].select(F.col(natural).alias("_n"), key)
+        since = dictionaries[name].read().select(F.col(key).alias("_key"), "since")
+        return rows.join(since, rows[key] == since["_key"]).select(
+            F.lit(name).alias("dimension"), F.col("_n").cast("string").alias("natural_key"), F.col(key).alias("surrogate_key"), "since")
+
+    return keys("dim_customer_info", "customer_id", "customer_key").unionByName(keys("dim_product_info", "product_number", "product_key"))
+
+
+def customer_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sales of the customer with the largest revenue, from the fact stored by month."""
+    best = partials_for(spark, sf_dir).summary("customer").where("customer_key IS NOT NULL")
+    key = best.orderBy(F.col("sales").desc(), "customer_key").first()["customer_key"]
+    fact = monthly_fact_for(spark, sf_dir)
+    return ops.sales_of(fact, "customer_key", key).drop("order_month")
+
+
+def best_months_sales(spark: SparkSession, sf_dir: str, n: int = 3) -> DataFrame:
+    """All sales of the ``n`` months with the largest sales; other months' folders are not read."""
+    months = partials_for(spark, sf_dir).summary("month").orderBy(F.col("sales").desc(), "order_month").limit(n)
+    return ops.sales_in_months(monthly_fact_for(spark, sf_dir), months).drop("order_month")
+
+
 def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build gold from silver, check and publish it; the manifest of what was published, in build order."""
     layers = Layers(spark, scratch_path(spark, "publish"))
@@ -162,6 +215,7 @@ def queries() -> dict[str, Query]:
         source(s, d, "events"), ["user_id"], ["ts", "event_id"])
     q["rename_business"] = lambda s, d: ops.rename(silver_for(s, d)["crm_cust_info"], CUSTOMER_RENAMES)
     q["silver_write"] = silver_write
+    q["silver_upsert"] = silver_upsert
     # gold
     q["dim_customer_info"] = _dim_c
     q["dim_product_info"] = _dim_p
@@ -170,7 +224,9 @@ def queries() -> dict[str, Query]:
                                                          limit_bytes=0)
     q["gold_publish"] = gold_publish
     q["gold_sql_top100"] = gold_sql_top100
+    q["fact_by_month"] = lambda s, d: monthly_fact_for(s, d).drop("order_month")
     q["surrogate_key"] = surrogate_key_query
+    q["lasting_keys"] = lasting_keys
     q["resolve_gender"] = resolve_gender_query
     q["active_only"] = lambda s, d: ops.active_only(silver_for(s, d)["crm_prd_info"])
     q["integrity_report"] = integrity
@@ -179,4 +235,10 @@ def queries() -> dict[str, Query]:
     # the analytic queries, over the gold tables built from the test tables
     for name in catalog.ANALYTICS:
         q[name] = partial(_analytic, name)
+    # the same reports from partial aggregates of several builds, and queries that skip most of the fact
+    q["customer_360_merged"] = lambda s, d: merged.customer_360(partials_for(s, d), _dim_c(s, d), AS_OF)
+    q["product_360_merged"] = lambda s, d: merged.product_360(partials_for(s, d), _dim_p(s, d), AS_OF)
+    q["monthly_trend_merged"] = lambda s, d: merged.monthly_trend(partials_for(s, d))
+    q["customer_statement"] = customer_statement
+    q["best_months_sales"] = best_months_sales
     return q

@@ -34,8 +34,6 @@ def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "o
     ``age="boundary"`` counts calendar years crossed, as the reference does;
     ``age="days"`` gives completed years (elapsed days / 365.25).
     """
-    if vip_on not in ("orders", "amount") or age not in ("boundary", "days"):
-        raise ValueError("vip_on must be 'orders' or 'amount'; age 'boundary' or 'days'")
     agg = (fact.where(F.col("order_date").isNotNull()).groupBy("customer_key").agg(
         F.count_distinct("product_key").alias("total_products"),
         F.count_distinct("sales_order_number").alias("total_sales"),
@@ -43,6 +41,16 @@ def customer_360(fact: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "o
         F.sum("quantity").alias("total_quantity"),
         F.min("order_date").alias("first_order"),
         F.max("order_date").alias("latest_order_date")))
+    return customer_report(agg, dim_c, as_of, vip_on, threshold, months, age_labels, segment_labels, age)
+
+
+def customer_report(agg: DataFrame, dim_c: DataFrame, as_of=None, vip_on: str = "orders", threshold: float = 5000,
+                    months: int = 12, age_labels=AGE_BANDS, segment_labels=CUSTOMER_SEGMENTS,
+                    age: str = "boundary") -> DataFrame:
+    """``customer_360`` from one row per customer key (however aggregated): total_products, total_sales (orders),
+    total_sales_amount, total_quantity, first_order, latest_order_date."""
+    if vip_on not in ("orders", "amount") or age not in ("boundary", "days"):
+        raise ValueError("vip_on must be 'orders' or 'amount'; age 'boundary' or 'days'")
     d = dim_c.select(F.col("customer_key").alias("_dk"), "customer_number", "first_name",
                      "last_name", "customer_birthdate", "customer_gender")
     det = measured_join(agg, d, agg.customer_key == d._dk)
@@ -93,6 +101,13 @@ def product_360(fact: DataFrame, dim_p: DataFrame, as_of=None, high: float = 500
         F.count_distinct("customer_key").alias("total_customers_unique"),
         F.min("order_date").alias("first_sale_date"),
         F.max("order_date").alias("latest_sale_date")))
+    return product_report(agg, dim_p, as_of, high, mid_low, mid_high, labels)
+
+
+def product_report(agg: DataFrame, dim_p: DataFrame, as_of=None, high: float = 50000, mid_low: float = 10000,
+                   mid_high: float = 49999, labels=PRODUCT_SEGMENTS) -> DataFrame:
+    """``product_360`` from one row per product key: total_orders, total_sales, total_quantity_sold,
+    total_customers_unique, first_sale_date, latest_sale_date."""
     agg = agg.withColumn("lifespan", months_between_boundary("first_sale_date", "latest_sale_date"))
     d = dim_p.select(F.col("product_key").alias("_dk"), "product_name",
                      F.col("category_name").alias("product_category"),

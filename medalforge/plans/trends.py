@@ -68,7 +68,11 @@ def monthly_trend(fact: DataFrame, window: int = 3, dense: bool = False) -> Data
     LAG 1 and LAG 12 are previous *rows*, as in the reference; months with no
     sales are absent unless ``dense=True``.
     """
-    monthly = monthly_sales(fact, dense)
+    return series_trend(monthly_sales(fact, dense), window)
+
+
+def series_trend(monthly: DataFrame, window: int = 3) -> DataFrame:
+    """``monthly_trend`` from one row per month: order_month, total_sales, total_quantity, total_units_solds."""
     w = Window.orderBy("order_month")  # one row per month: a small, bounded series
     sales = F.col("total_sales")
     return monthly.select(

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+
 # Reader / writer options that keep text unchanged: no whitespace trimming;
 # an empty string is written quoted ("") and read back as an empty string,
 # while a missing value is an empty field and reads back as NULL.
@@ -75,11 +77,15 @@ def configured(reader, fmt: str, schema: T.StructType | None, keep_corrupt: bool
 
 
 def ingest(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None = None,
-           keep_corrupt: bool = True) -> DataFrame:
-    """Read raw files with a declared schema (no inference pass over the data).
+           keep_corrupt: bool = True, target: str | None = None) -> DataFrame:
+    """Land raw files, read with a declared schema (no inference pass), as a Parquet table; returns that table.
 
     A ``_corrupt_record`` column holds whole lines that did not parse; without
     ``keep_corrupt`` such lines lose what does not fit the schema. Text files need no
-    schema: one row per line, column ``value``.
+    schema: one row per line, column ``value``. The table goes to ``target``, or to a folder of its own under the shared
+    one. Raw files are parsed once, here: later queries read any columns, the corrupt lines alone among them.
     """
-    return configured(spark.read, fmt, schema, keep_corrupt).load(path)
+    raw = configured(spark.read, fmt, schema, keep_corrupt).load(path)
+    target = target or scratch_path(spark, "bronze")
+    raw.write.mode("overwrite").parquet(target)
+    return spark.read.schema(raw.schema).parquet(target)

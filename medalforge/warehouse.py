@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .operators.cleansing import SILVER_SPECS, cleanse
 from .operators.gold import build_gold
+from .operators.partials import SalesPartials
+from .operators.storage import read_by_month, write_by_month
 from .session import scratch_path, session_id
 from .sources.catalog import Layers
 from .sources.fixtures import SILVER_SOURCES, bronze_table, load_tables, silver_tables
@@ -24,6 +26,9 @@ _BUILT: dict[tuple, dict[str, DataFrame]] = {}
 _LAYERS: dict[tuple, Layers] = {}
 _SOURCES: dict[tuple, dict[str, DataFrame]] = {}
 _SILVER: dict[tuple, dict[str, DataFrame]] = {}
+_PARTIALS: dict[tuple, SalesPartials] = {}
+_MONTHLY: dict[tuple, DataFrame] = {}
+INCREMENTS = ("1997-01-01", "1999-01-01")  # order dates at which new builds of the partials begin
 
 
 def _key(spark: SparkSession, sf_dir: str, key_mode: str) -> tuple:
@@ -72,9 +77,34 @@ def gold_for(spark: SparkSession, sf_dir: str, key_mode: str = "distributed") ->
     return _BUILT[key]
 
 
+def partials_for(spark: SparkSession, sf_dir: str) -> SalesPartials:
+    """Partial aggregates of the whole dated fact, as three builds leave them: two of them merged, then one more."""
+    key = _key(spark, sf_dir, "")
+    if key not in _PARTIALS:
+        fact = gold_for(spark, sf_dir)["fact_sales"]
+        store = SalesPartials(spark, scratch_path(spark, "partials"))
+        first, second = (f"DATE '{d}'" for d in INCREMENTS)
+        store.add(fact.where(f"order_date < {first}"), "build 1")
+        store.add(fact.where(f"order_date >= {first} AND order_date < {second}"), "build 2")
+        store.compact()
+        store.add(fact.where(f"order_date >= {second}"), "build 3")
+        _PARTIALS[key] = store
+    return _PARTIALS[key]
+
+
+def monthly_fact_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact in the layout of ``operators.storage``, with its ``order_month``."""
+    key = _key(spark, sf_dir, "")
+    if key not in _MONTHLY:
+        fact, path = gold_for(spark, sf_dir)["fact_sales"], scratch_path(spark, "fact_by_month")
+        write_by_month(fact, path)
+        _MONTHLY[key] = read_by_month(spark, path, fact.schema)
+    return _MONTHLY[key]
+
+
 def forget(spark: SparkSession | None = None) -> None:
     """Drop cached handles (tests); the written files stay in the shared folder."""
-    for cache in (_BUILT, _LAYERS, _SOURCES, _SILVER):
+    for cache in (_BUILT, _LAYERS, _SOURCES, _SILVER, _PARTIALS, _MONTHLY):
         for k in list(cache):
             if spark is None or k[0] == session_id(spark):
                 del cache[k]
