@@ -7,15 +7,18 @@ segmentations by the forward recursion of ``lattice``; runs are independent.
 The prediction is the language of highest likelihood, the score its posterior
 under equal priors.
 
-Learning: word counts per language from a bounded sample of labelled rows
-(``max_docs`` expected per language, picked by a hash of ``doc_id``), then
+Learning: in how many texts of a language each word stands, from a bounded sample of labelled
+rows (``max_docs`` expected per language, picked by a hash of ``doc_id`` and text, so equal rows come
+together), a word of over ``LONG`` letters weighing as little as one of that length, so
+neither one long text nor one endless word moves a language; then
 ``rounds`` of expectation maximisation, whose expected piece uses are computed
 by Spark tasks and summed per piece; the driver sees one number per language
 and piece. The first round weighs segmentations by the vocabulary's own scores.
 
 Defined results: null text or one without a letter is ``und`` with score 0;
-equal likelihoods go to the language that sorts first; with no labelled row at
-all every text is ``und``. Repeated rows are predicted alike. Columns of the
+equal likelihoods go to the language that sorts first; a label without a letter in any
+of its training texts is never predicted, and with no other label
+every text is ``und``. Repeated rows are predicted alike. Columns of the
 input stay; ``lang_pred`` and ``score`` replace columns of those names.
 """
 
@@ -37,6 +40,7 @@ UNKNOWN = "und"
 MAX_DOCS = 4000       # expected sample size per language
 MAX_LANGUAGES = 500   # bounds the model: languages x pieces numbers
 ROUNDS, STRENGTH = 2, 2000.0
+LONG = 40             # letters beyond which a word weighs less
 HELD_OUT = (4, 2)
 _NODES = 4_000_000    # lattice nodes x languages in memory at once
 _HASH = 1 << 30
@@ -47,6 +51,7 @@ class LanguageModel:
     pieces: Pieces
     languages: list[str]
     logp: np.ndarray  # (languages, pieces)
+    learned: np.ndarray  # languages with a letter in a training text
 
 
 def runs_of(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -92,7 +97,7 @@ def sample(documents: DataFrame, max_docs: int) -> tuple[list[str], DataFrame]:
              known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages: their model has no size bound")
-    draw = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(_HASH))
+    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(_HASH))
     picked = F.lit(False)
     for lang, n in sizes.items():
         picked = picked | ((F.col("lang") == lang) & (draw < int(min(1.0, max_docs / n) * _HASH)))
@@ -107,15 +112,16 @@ def train(documents: DataFrame, vocabulary: str = VOCABULARY, max_docs: int = MA
     prior = pieces.log_probs()
     logp = np.tile(prior, (len(languages), 1))
     if not languages:
-        return LanguageModel(pieces, languages, logp)
+        return LanguageModel(pieces, languages, logp, np.zeros(0, bool))
     number = {lang: k for k, lang in enumerate(languages)}
 
     def count(batches):
         for batch in steps(batches):
             flat, of = runs_of(strings(batch.column("text")))
             codes, words = encoded(flat)
-            lang = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)[of]
-            key, n = np.unique(lang * max(1, len(words)) + codes, return_counts=True)
+            lang = np.array([number[x] for x in batch.column("lang").to_pylist()], np.int64)
+            once = np.unique(of * max(1, len(words)) + codes)  # a word counts once per text
+            key, n = np.unique(lang[once // max(1, len(words))] * max(1, len(words)) + once % max(1, len(words)), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [words.take(pa.array(key % max(1, len(words)))).cast(pa.string()),
                  pa.array(key // max(1, len(words)), pa.int32()), pa.array(n, pa.int64())], ["word", "k", "n"])
@@ -128,7 +134,9 @@ def train(documents: DataFrame, vocabulary: str = VOCABULARY, max_docs: int = MA
             for batch in batches:
                 codes, words = encoded(batch.column("word"))
                 weight = np.zeros((len(languages), len(words)))
+                size = pc.utf8_length(words).to_numpy(zero_copy_only=False)
                 np.add.at(weight, (batch.column("k").to_numpy(), codes), batch.column("n").to_numpy())
+                weight *= np.minimum(1.0, LONG / np.maximum(size, 1))
                 part = expected_uses(pieces, words, weight, logp)
                 total = part if total is None else total + part
             if total is not None:
@@ -141,17 +149,20 @@ def train(documents: DataFrame, vocabulary: str = VOCABULARY, max_docs: int = MA
         total = np.zeros(logp.shape)
         total[found["k"].to_numpy(), found["piece"].to_numpy()] = found["uses"].to_numpy()
         logp = adapted(prior, total, strength)
-    return LanguageModel(pieces, languages, logp)
+    learned = np.zeros(len(languages), bool)
+    learned[[r["k"] for r in counts.select("k").distinct().collect()]] = True  # one row per language
+    return LanguageModel(pieces, languages, logp, learned)
 
 
 def _predicted(model: LanguageModel, text: pa.Array) -> tuple[list[str], np.ndarray]:
     n, sets = len(text), len(model.languages)
     flat, rows = runs_of(text)
-    if not sets:
+    if not model.learned.any():
         return [UNKNOWN] * n, np.zeros(n)
     codes, words = encoded(flat)
     each = log_likelihoods(model.pieces, words, model.logp)
-    total = np.stack([np.bincount(rows, each[k][codes], minlength=n) for k in range(sets)])
+    total = np.stack([np.bincount(rows, each[k][codes], minlength=n) for k in range(sets)]).astype(float)
+    total[~model.learned] = -np.inf
     best = total.argmax(axis=0)
     score = 1.0 / np.exp(total - total.max(axis=0)).sum(axis=0)
     lettered = pc.match_substring_regex(text, r"\p{L}").to_numpy(zero_copy_only=False)
