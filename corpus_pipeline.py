@@ -29,8 +29,11 @@ def _packed(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    predicted = langid.predict(_packed(docs, "text"), langid.train(docs))
-    return predicted.where(F.col("lang_pred") != langid.UNKNOWN).select("_all.*")
+    # each text goes to the workers once, in small batches; names that the stage adds cannot clash with these
+    plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
+    text = f"_c{docs.columns.index('text')}"
+    kept = langid.predict(plain, langid.train(docs), text).where(F.col("lang_pred") != langid.UNKNOWN)
+    return stored(kept.select(*plain.columns).toDF(*docs.columns), "language", batch_rows=500)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +42,7 @@ def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = stored(mixing.numbered(_packed(docs)), "numbered")
-    linked = jaccard.link_documents(rows.select(F.col("_row").alias("doc_id"), "_all.text"), row="doc_id")
+    linked = jaccard.link_documents(rows.select(F.col("_row").alias("doc_id"), "_all.text"))
     copies = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_row"))
     return rows.join(copies, "_row", "left_anti").select("_all.*")
 
