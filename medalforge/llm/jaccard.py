@@ -16,17 +16,21 @@ Sets near the upper end of a band also join the next band.
 
 Blocks meet in Spark: packed by hash into ``spark.sql.shuffle.partitions``
 buckets and matched in tasks. A block that many sets of one task share is
-pre-aggregated there (its first set goes on, the others are tied to it).
-Candidates are verified in two rounds, and no round lists all pairs of a group:
+dealt out there (its first set goes to the bucket, the others to any task).
+Of a set's e non-empty blocks only the d + 1 that the fewest sets have are kept, d being the bound: of the blocks
+that a partner lacks there are at most d, so the rarest block that both have is among the kept of either.
+A block of a common passage is thus dropped by all sets that have enough blocks of their own.
+Candidates are verified in two rounds:
 
 1. every set against the first of each of its blocks; links give components;
 2. in blocks that still hold several components, sets of different components
    only, those of the largest component against the others. All other pairs are
    connected already.
 
+Round 2 compares sets of one block whose other blocks did not suffice: sets that are alike, but below the threshold.
 Either round drops pairs whose bit sketches (one parity bit per token) differ in
 more bits than the symmetric difference may have, and verifies the rest on whole
-shingle sets, read again from the texts: the sets of a candidate's partners come to
+shingle sets, read again from the texts (a row is known by its id and a hash of its text): the sets of a candidate's partners come to
 its own, and a candidate with many partners is dealt out to many groups.
 Components come from repeated star contraction on the links.
 
@@ -42,9 +46,10 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.joins import left_join_dim
 from .common import encoded, steps, stored, strings, table, words_of
 
 SHINGLE = 5
@@ -155,7 +160,14 @@ def _block_keys(value, owner, band, attempt):
 
 def sketch_keys(value: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All block keys of all sets: (set index, key)."""
+    return counted_keys(value, owner, size)[:2]
+
+
+def counted_keys(value: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All block keys of all sets: (set index, key), and per set and band (its own, the next) how many keys it has
+    there, 0 if they are too few to leave any out."""
     own = np.searchsorted(_BANDS, size, side="right") - 1
+    enough = np.zeros((2, len(size)), np.int64)
     out_who, out_key = [np.zeros(0, np.int64)], [np.zeros(0, _U)]
     for ahead in (0, 1):
         band = np.maximum(own, 0) + ahead
@@ -170,11 +182,14 @@ def sketch_keys(value: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple
             who, key = _block_keys(value[rows], owner[rows], band, attempt)
             out_who.append(who)
             out_key.append(key)
-            left = left & (np.bincount(who, minlength=len(size)) <= bound(band))
+            have = np.bincount(who, minlength=len(size))
+            if not attempt:
+                enough[ahead] = np.where(have > bound(band), have, 0)
+            left = left & (have <= bound(band))
         rest = np.flatnonzero(left)
         out_who.append(rest)  # never so in practice: they all meet in one block
         out_key.append((mixed(band[rest].astype(_U) + _C2) & ~_LOW) | (band[rest].astype(_U) << _U(1)))
-    return np.concatenate(out_who), np.concatenate(out_key)
+    return np.concatenate(out_who), np.concatenate(out_key), enough
 
 
 def _longs(band: int) -> int:
@@ -211,8 +226,8 @@ def _long(raw: bytes) -> np.ndarray:
 
 
 def _packed(batches, parts: int):
-    """Texts to packed rows: kind 0 block keys and classes; kind 1 pre-aggregated ones with the class
-    they are tied to; kind 2 documents, their classes and sizes."""
+    """Texts to packed rows: kind 0 block keys and classes; kind 1 those of blocks that are dealt out;
+    kind 2 documents, their classes, sizes, text hashes, bands and numbers of keys."""
     turn = 0
     for batch in steps(batches, limit=STEP):
         value, owner, size = shingle_sets(strings(batch.column("text")))
@@ -221,18 +236,18 @@ def _packed(batches, parts: int):
         turn += 1
         ends = np.cumsum(size)
         own = np.searchsorted(_BANDS, size, side="right") - 1
-        bits = [None if not n else b"".join(_parity_bits(value[e - n:e], j + k).tobytes() for k in (0, 1))
+        bits = [None if not n else b"".join(_parity_bits(value[e - n:e], j + k).tobytes() for k in (0, 1) if not k or _joins_next(n, j))
                 for n, e, j in zip(size.tolist(), ends.tolist(), own.tolist())]
         lane = lambda: (turn * 7919 + int(abs(node[0])) % parts) % parts
-        out = [_row(lane(), 2, np.asarray(ids, np.int64), node, size.astype(np.int64),
-                    batch.column("row").to_numpy(), bits)]
         # one set per class
         _, first = np.unique(node, return_index=True)
         mine = np.zeros(len(size), bool)
         mine[first] = True
         mine &= size > 0
         rows = mine[owner]
-        who, key = sketch_keys(value[rows], owner[rows], np.where(mine, size, 0))
+        who, key, enough = counted_keys(value[rows], owner[rows], np.where(mine, size, 0))
+        out = [_row(lane(), 2, np.asarray(ids, np.int64), node, size.astype(np.int64),
+                    np.stack([batch.column("row").to_numpy(), own, *enough]), bits)]
         key &= _U((1 << 56) - 1)
         nodes = node[who]
         order = np.lexsort((nodes, key))
@@ -244,12 +259,11 @@ def _packed(batches, parts: int):
         lead[run] = True
         tied = big & ~lead
         if tied.any():
-            pivot = np.repeat(nodes[run], length)[tied]
             marked, members = key[tied], nodes[tied]
             for s in range(0, len(marked), 1 << 16):
                 turn += 1
                 cut = slice(s, s + (1 << 16))
-                out.append(_row(lane(), 1, marked[cut] | _U(1), members[cut], pivot[cut]))
+                out.append(_row(lane(), 1, marked[cut] | _U(1), members[cut]))
         key = np.where(big, key | _U(1), key)[~tied]
         nodes = nodes[~tied]
         part = (mixed(key >> _U(7)) % _U(parts)).astype(np.int64)
@@ -267,7 +281,7 @@ def _packed(batches, parts: int):
              pa.array(bits, pa.list_(pa.binary()))], _NAMES)
 
 
-_FOUND = "kind int, a long, b long, c long, d long, bits binary"
+_FOUND = "kind int, a long, b long, c long, d long, own long, e0 long, e1 long, bits binary"
 
 
 def _rows(kind, a, b, c=None, d=None, bits=None, limit=1 << 16):
@@ -276,14 +290,15 @@ def _rows(kind, a, b, c=None, d=None, bits=None, limit=1 << 16):
         n = len(a[cut])
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.full(n, kind, np.int32)), pa.array(a[cut].view(np.int64)), pa.array(b[cut].view(np.int64)),
-             *[pa.nulls(n, pa.int64()) if x is None else pa.array(x[cut].view(np.int64)) for x in (c, d)],
-             pa.nulls(n, pa.binary()) if bits is None else bits.slice(s, limit)], ["kind", "a", "b", "c", "d", "bits"])
+             *[pa.nulls(n, pa.int64()) if x is None else pa.array(x[cut]) for x in (c, *([None] * 4 if d is None else d))],
+             pa.nulls(n, pa.binary()) if bits is None else bits.slice(s, limit)],
+            ["kind", "a", "b", "c", "d", "own", "e0", "e1", "bits"])
 
 
 def _matched(batches):
-    """Packed rows of one bucket to rows: kind 0 (block, class) of shared blocks, kind 1 (class, class)
-    candidates, kind 2 (doc_id, class, size, row, bit sketches)."""
-    keys, nodes, first, second = [], [], [], []
+    """Packed rows of one bucket to rows: kind 0 (block, class) of shared blocks, kind 2 (doc_id, class, size, text
+    hash, band, numbers of keys, bit sketches)."""
+    keys, nodes = [], []
     for batch in batches:
         for kind, a, b, c, d, bits in zip(*(batch.column(k) for k in ("kind", "a", "b", "c", "d", "bits"))):
             kind, a, b, c = kind.as_py(), a.as_py(), b.as_py(), np.frombuffer(c.as_py(), np.int64)
@@ -294,11 +309,9 @@ def _matched(batches):
             elif kind == 1:
                 a, b = np.frombuffer(a, _U), np.frombuffer(b, np.int64)
                 yield from _rows(0, a | _U(1), b)
-                first.append(c)
-                second.append(b)
             else:
                 yield from _rows(2, np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), c,
-                                 np.frombuffer(d.as_py(), np.int64), bits.values)
+                                 np.frombuffer(d.as_py(), np.int64).reshape(4, -1), bits.values)
     if keys:
         key, node = np.concatenate(keys), np.concatenate(nodes)
         order = np.lexsort((node, key >> _U(1)))
@@ -311,17 +324,7 @@ def _matched(batches):
         length = np.diff(np.append(run, len(block)))
         shared = (length > 1) | (np.maximum.reduceat(marked, run) > 0)
         live = np.repeat(shared, length)
-        pivot = np.repeat(node[run], length)
         yield from _rows(0, (block[live] << _U(1)) | _U(1), node[live])
-        other = live & (node != pivot)
-        first.append(pivot[other])
-        second.append(node[other])
-    if first:
-        a, b = np.concatenate(first), np.concatenate(second)
-        a, b = np.minimum(a, b), np.maximum(a, b)
-        pairs = np.unique(np.stack([a, b], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        yield from _rows(1, np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1]))
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -329,6 +332,11 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= 80 * (len(a) + len(b) - common)
 
 
+def _joins_next(n: int, own: int) -> bool:
+    """Whether a set of ``n`` tokens of band ``own`` can link with one of the next band."""
+    return 5 * n >= 4 * BANDS[own + 1]
+
+
 def _bits_of(n: int, blob: bytes, band: int) -> np.ndarray:
     """The bit sketch of a set of ``n`` tokens under a band: its own or the next."""
     own = int(np.searchsorted(_BANDS, n, side="right")) - 1
@@ -373,16 +381,16 @@ def _tested(batches):
 
 
 def verify(pairs: DataFrame, classes: DataFrame, known: DataFrame, name: str) -> DataFrame:
-    """The pairs (x, y) whose whole sets link. ``classes``: (node, row), a row of ``known`` that has the set."""
+    """The pairs (x, y) whose whole sets link. ``classes``: (node, doc_id, row), a row of ``known`` that has the set."""
     degree = pairs.groupBy("x").agg((F.floor(F.count(F.lit(1)) / PARTNERS) + 1).alias("parts"))
     asked = (pairs.join(degree, "x")
              .select(F.col("y").alias("node"), "x", F.pmod(F.xxhash64("y"), F.col("parts")).alias("part"), F.col("y").alias("partner")))
     own = degree.select(F.col("x").alias("node"), "x", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"),
                         F.lit(None).cast("long").alias("partner"))
     wanted = stored(asked.union(own).groupBy("node").agg(F.collect_list(F.struct("x", "part", "partner")).alias("groups"))
-                    .join(classes.select("node", "row"), "node"), name + "-wanted")
+                    .join(classes.select("node", "doc_id", "row"), "node"), name + "-wanted")
     # A bitmap of fixed size spares the texts of other rows the shuffle; the join decides.
-    place = F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS))
+    place = F.pmod(F.xxhash64("doc_id", "row"), F.lit(FILTER_BITS))
     maps = (wanted.select(place.alias("h")).groupBy(F.floor(F.col("h") / 32768).cast("int").alias("at"))
             .agg(F.bitmap_construct_agg(F.pmod("h", F.lit(32768))).alias("bits")).toArrow())
     bits = np.zeros((FILTER_BITS // 32768, 4096), np.uint8)
@@ -394,7 +402,7 @@ def verify(pairs: DataFrame, classes: DataFrame, known: DataFrame, name: str) ->
         for batch in batches:
             h = batch.column("h").to_numpy()
             held = pa.array(((bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1).astype(bool))
-            yield pa.RecordBatch.from_arrays([batch.column("row").filter(held), batch.column("text").filter(held)], ["row", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(held) for c in ("doc_id", "row", "text")], ["doc_id", "row", "text"])
 
     def sets_of(batches):
         for batch in steps(batches, limit=STEP):
@@ -403,7 +411,7 @@ def verify(pairs: DataFrame, classes: DataFrame, known: DataFrame, name: str) ->
             out = []
             for i, (right, groups) in enumerate(zip(batch.column("node").to_pylist(), batch.column("groups").to_pylist())):
                 if node[i] != right:
-                    raise RuntimeError("rows changed between two scans of the documents; write them to a table first")
+                    raise RuntimeError("rows changed between two scans of the documents")
                 blob = value[ends[i] - size[i]:ends[i]].tobytes()
                 out += [(g["x"], g["part"], g["partner"], blob) for g in groups]
             for s in range(0, len(out), 512):
@@ -411,7 +419,9 @@ def verify(pairs: DataFrame, classes: DataFrame, known: DataFrame, name: str) ->
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(part, pa.int64()), pa.array(partner, pa.int64()),
                                                   pa.array(blob, pa.binary())], ["x", "part", "partner", "shingles"])
 
-    texts = known.select("row", "text", place.alias("h")).mapInArrow(few, "row long, text string").join(wanted, "row")
+    # equal rows come once; the combining aggregate keeps many of them from one task
+    texts = (known.select("doc_id", "row", "text", place.alias("h")).mapInArrow(few, "doc_id long, row long, text string")
+             .groupBy("doc_id", "row").agg(F.first("text").alias("text")).join(wanted, ["doc_id", "row"]))
     groups = (texts.select("node", "groups", "text").mapInArrow(sets_of, "x long, part long, partner long, shingles binary")
               .repartition("x", "part").sortWithinPartitions("x", "part", F.col("partner").asc_nulls_first()))
     return stored(groups.mapInArrow(_tested, "x long, y long"), name, BATCH_ROWS)
@@ -446,7 +456,7 @@ def _sketches(batches):
         out = []
         for node, n, blob in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "bits"))):
             own = int(np.searchsorted(_BANDS, n, side="right")) - 1
-            out += [(node, j, n, _bits_of(n, blob, j).view(np.int64)) for j in (own, own + 1)]
+            out += [(node, j, n, _bits_of(n, blob, j).view(np.int64)) for j in (own, own + 1) if j == own or _joins_next(n, own)]
         node, j, n, bits = zip(*out) if out else ((), (), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(j, pa.int32()), pa.array(n, pa.int64()),
                                           pa.array(bits, pa.list_(pa.int64()))], ["node", "band", "n", "bits"])
@@ -477,27 +487,45 @@ def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: D
     return pairs.join(tested, ["x", "y"], "left_anti")
 
 
-def link_documents(documents: DataFrame, row: str | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of (doc_id, text).
-
-    Rows are read more than once and told apart by a number, which is written with them first, since
-    another scan can be split otherwise. ``row``: a unique column of a stored table, used instead.
-    """
-    spark = documents.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = (documents.where("doc_id IS NOT NULL")
-             .select("doc_id", "text", (F.col(row) if row else F.monotonically_increasing_id()).alias("row")))
-    known = known if row else stored(known, "numbered")
+def _rarest(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """The (block, node) that any linked pair can do with: per set and band the rarest bound + 1 of its blocks."""
+    sizes = shared.groupBy(F.col("block").alias("_block")).agg(F.count(F.lit(1)).alias("f"))
+    band = F.shiftrightunsigned("block", 1).bitwiseAND(63).cast("int")
+    held = left_join_dim(shared, sizes, "block", "_block").withColumn("band", band).join(classes.select("node", "own", "e0", "e1"), "node")
+    mine = Window.partitionBy("node", "band")
+    keys = F.when(F.col("band") == F.col("own"), F.col("e0")).otherwise(F.col("e1"))
+    bounds = F.array(*[F.lit(int(d)) for d in bound(np.arange(64))])
+    # blocks of this set alone are not listed, and come before all others
+    rank = F.row_number().over(mine.orderBy("f", "block")) + keys - F.count(F.lit(1)).over(mine)
+    held = held.select("block", "node", "f", (keys == 0).alias("short"), rank.alias("rank"), (F.get(bounds, F.col("band")) + 1).alias("most"))
+    kept = held.where("f > 1 AND (short OR rank <= most)").select("block", "node")
+    several = kept.groupBy(F.col("block").alias("_block")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_block", F.lit(True).alias("_live"))
+    return left_join_dim(kept, several, "block", "_block").where("_live").select("block", "node")
+
+
+def shared_blocks(known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of (doc_id, text, row): (doc_id, node, n) per document, the classes of equal sets, and (block, node) of blocks
+    that several classes keep."""
+    parts = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = known.mapInArrow(lambda batches: _packed(batches, parts), _PACKED)
     found = stored(packed.repartitionById(parts, F.col("p")).mapInArrow(_matched, _FOUND), "blocks", BATCH_ROWS)
     docs = found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("c").alias("n"))
     firsts = (found.where("kind = 2 AND c > 0").groupBy(F.col("b").alias("node"))
-              .agg(F.min("a").alias("doc_id"), F.min("d").alias("row")))
-    sketches = found.where("kind = 2 AND c > 0").select(F.col("d").alias("row"), F.col("c").alias("n"), "bits")
-    classes = stored(firsts.join(sketches, "row"), "classes")
-    candidates = found.where("kind = 1").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct()
+              .agg(F.min(F.struct(F.col("a").alias("doc_id"), F.col("d").alias("row"))).alias("f"), F.max("c").alias("n"),
+                   F.max("own").alias("own"), F.max("e0").alias("e0"), F.max("e1").alias("e1"), F.any_value("bits").alias("bits")))
+    classes = stored(firsts.select("node", "f.*", "n", "own", "e0", "e1", "bits"), "classes")
+    every = found.where("kind = 0").select(F.col("a").alias("block"), F.col("b").alias("node")).distinct()
+    return docs, classes, stored(_rarest(every, classes), "shared")
+
+
+def link_documents(documents: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of (doc_id, text). The texts are read more than once."""
+    known = documents.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("row"))
+    docs, classes, shared = shared_blocks(known)
+    pivots = shared.groupBy("block").agg(F.min("node").alias("p"))
+    paired = left_join_dim(shared, pivots.withColumnRenamed("block", "_block"), "block", "_block").where("node != p")
+    candidates = paired.select(F.col("p").alias("x"), F.col("node").alias("y")).distinct()
     tested = stored(near_pairs(candidates, classes), "pairs")
-    shared = found.where("kind = 0").select(F.col("a").alias("block"), F.col("b").alias("node")).distinct()
     links = verify(tested, classes, known, "links")
     comps = components(links)
     crossing = stored(_crossing(shared, comps, classes, tested), "crossing")

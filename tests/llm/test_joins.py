@@ -102,6 +102,32 @@ def test_linked_sets_agree_on_a_block(n, seed):
     assert apart <= len(a) + len(b) - 2 * len(np.intersect1d(a, b))  # lower-bounds the symmetric difference
 
 
+def test_a_shared_passage_makes_candidates_in_proportion_to_the_rows(spark):
+    """Texts of own words around one passage: none link, and nearly all drop the passage's blocks."""
+    rng = np.random.default_rng(4)
+    passage = " ".join(f"shared{i}" for i in range(12))
+    kept = {}
+    for n in (1000, 4000):
+        docs = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10 ** 9, 120)) + " " + passage) for i in range(n)]
+        known = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "text", "xxhash64(text) row")
+        kept[n] = jaccard.shared_blocks(known)[2].count()
+    assert kept[1000] <= 100 and kept[4000] <= 400
+
+
+def test_templated_texts_just_below_the_threshold(spark):
+    """Pages that share most, but not enough, and their near copies."""
+    rng = np.random.default_rng(5)
+    template = [f"t{i}" for i in range(120)]
+    docs = []
+    for i in range(60):
+        own = [f"o{x}" for x in rng.integers(0, 10 ** 9, int(rng.integers(8, 40)))]
+        docs.append((i, " ".join(template + own)))
+        if i % 3 == 0:
+            docs.append((100 + i, " ".join(template + own[:-1])))
+    got = jaccard.link_documents(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=str) == brute_components(docs)
+
+
 def test_short_keys_round_trip():
     key = np.random.default_rng(0).integers(0, 1 << 56, 1000, dtype=np.uint64)
     assert (jaccard._long(jaccard._short(key).tobytes()) == key).all()
