@@ -5,8 +5,8 @@
   the fact at all. A projection with arrays, maps or structs has no simple byte
   bound and is never broadcast.
 * Otherwise one shuffle join on (key, salt) is used. The *hot* keys, those
-  holding at least ``hot_fraction`` of the rows, come from one pass over the key
-  columns of the base table, for all joins of a chain at once and before any of
+  holding at least ``hot_fraction`` of the rows, come from a bounded summary of the key
+  columns of the base table and an exact count of its candidates, for all joins of a chain at once and before any of
   them; there are at most ``1 / hot_fraction`` per column, so they come back as
   bounded lists. Fact rows of hot keys and rows with a NULL key (which can never
   match, and would otherwise all land in one task) get a salt; all other rows get
@@ -17,7 +17,7 @@
 
 A hot key's rows are spread over all partitions by that hash (evenly up to
 chance), every other key holds under ``hot_fraction`` of the rows, and the base
-table is read twice: its key columns, and the joins.
+table is read three times: its key columns twice, and the joins.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -121,21 +120,45 @@ def left_join_dims(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
     return out.drop(_ROW)
 
 
+def heavy_candidates(fact: DataFrame, keys: Sequence[str], fraction: float) -> tuple[dict[str, int], dict[str, list[str]]]:
+    """Per key column the number of non-NULL values, and values (as strings) that include all of at least ``fraction``.
+
+    One aggregate with a frequent-items summary per column (``approx_top_k``): summaries have a fixed number
+    of counters, are filled per task and merged, so what moves is a summary per task, however many keys there are. With 8 /
+    ``fraction`` counters a value's count is off by less than ``fraction`` / 4 of the rows, so no value of that share can
+    be missing from it, nor from its first 2 / ``fraction`` values.
+    """
+    tracked, most = min(1_000_000, int(8 / fraction)), int(2 / fraction)
+    if most > tracked // 4:
+        raise ValueError("hot keys under a share of 8e-6 need more counters than a summary has")
+    text = [F.col(k).cast("string") for k in keys]
+    aggs = [F.count(c).alias(f"n{i}") for i, c in enumerate(text)]
+    # NULLs are put under one of the values, if any: they are counted apart
+    aggs += [F.call_function("approx_top_k", c, F.lit(most), F.lit(tracked)).alias(f"t{i}") for i, c in enumerate(text)]
+    row = fact.agg(*aggs).first()
+    return ({k: row[f"n{i}"] for i, k in enumerate(keys)},
+            {k: [x["item"] for x in row[f"t{i}"] if x["item"] is not None] for i, k in enumerate(keys)})
+
+
 def hot_keys(fact: DataFrame, keys: Sequence[str], fraction: float) -> dict[str, list[str]]:
-    """Per key column, the values (as strings) that hold at least ``fraction`` of the rows: one pass for all."""
-    cells = F.explode(F.array(*[F.struct(F.lit(k).alias("c"), F.col(k).cast("string").alias("v")) for k in keys]))
-    counts = (fact.select(cells.alias("x")).where("x.v IS NOT NULL").groupBy("x.c", "x.v")
-              .agg(F.count(F.lit(1)).alias("n")).persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        totals = {r["c"]: r["n"] for r in counts.groupBy("c").agg(F.sum("n").alias("n")).collect()}
-        enough = F.lit(False)
-        for c, n in totals.items():
-            enough = enough | ((F.col("c") == c) & (F.col("n") >= max(1, int(n * fraction))))
-        found: dict[str, list[str]] = {k: [] for k in keys}
-        for r in counts.where(enough).select("c", "v").collect():
+    """Per key column, the values (as strings) that hold at least ``fraction`` of its non-NULL rows.
+
+    Candidates come from bounded summaries (``heavy_candidates``); a second pass over the key columns counts the candidates alone,
+    exactly. Neither pass shuffles the other keys.
+    """
+    totals, candidates = heavy_candidates(fact, keys, fraction)
+    found: dict[str, list[str]] = {k: [] for k in keys}
+    cells = [F.struct(F.lit(k).alias("c"), F.col(k).cast("string").alias("v")) for k in keys if candidates[k]]
+    if not cells:
+        return found
+    wanted = F.lit(False)
+    for k in keys:
+        if candidates[k]:
+            wanted = wanted | ((F.col("x.c") == k) & F.col("x.v").isin(candidates[k]))
+    counts = fact.select(F.explode(F.array(*cells)).alias("x")).where(wanted).groupBy("x.c", "x.v").agg(F.count(F.lit(1)).alias("n"))
+    for r in counts.collect():  # at most 2 / fraction values per column
+        if r["n"] >= max(1, int(totals[r["c"]] * fraction)):
             found[r["c"]].append(r["v"])
-    finally:
-        counts.unpersist()
     return found
 
 

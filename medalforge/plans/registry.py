@@ -7,6 +7,7 @@ functions themselves take DataFrames and parameters only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,6 +104,42 @@ def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.read()
 
 
+def _accounted(spark: SparkSession, sf_dir: str) -> ops.Accounted:
+    """The raw customer copy as JSON lines, some cut short, cleansed with an account of every line; a date is required."""
+    rows = _bronze_rows(spark, sf_dir)
+    line = F.to_json(F.struct(*BRONZE_CUSTOMER_COLUMNS))
+    cut = F.substring_index("cst_key", "#", -1).cast("long") % 41 == 0
+    inbox = scratch_path(spark, "inbox")
+    bronze_io.land(rows.select(F.when(cut, F.substring(line, F.lit(1), F.length(line) - 3)).otherwise(line).alias("value")), inbox, "text")
+    landed = bronze_io.ingest(spark, inbox, "json", bronze_io.STRING(BRONZE_CUSTOMER_COLUMNS))
+    spec = replace(ops.cleansing.RAW_CUSTOMER, critical=["cst_id", "cst_create_date"])
+    done = ops.cleanse_accounted(landed, spec)
+    done.check()
+    return done
+
+
+def customer_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that did not become silver, as they landed, and why."""
+    key = F.coalesce("cst_key", F.regexp_extract("_corrupt_record", '"cst_key":"([^"]*)"', 1))
+    return _accounted(spark, sf_dir).rejects.select(
+        "reason", key.alias("cst_key"), F.when(F.col("_corrupt_record").isNull(), F.col("cst_create_date")).alias("cst_create_date"),
+        F.col("_corrupt_record").isNotNull().alias("whole_line_kept"))
+
+
+def customer_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed, silver and rejected rows by reason, as counted by the write."""
+    rows = ops.reconciliation({"crm_cust_info": _accounted(spark, sf_dir)})
+    return spark.createDataFrame(rows, "table_name string, outcome string, row_count long")
+
+
+def order_running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running total, three-order mean and previous amount over all orders by date, with no single-task window."""
+    orders = source(spark, sf_dir, "orders").select(
+        "o_orderdate", "o_orderkey", F.floor("o_totalprice").cast("decimal(18,2)").alias("amount"))
+    return ops.running_windows(orders, ["o_orderdate", "o_orderkey"], totals={"running_total": "amount"},
+                               means={"mean_3_orders": ("amount", 3)}, lags={"previous_amount": ("amount", 1)})
+
+
 #: Dates of the two builds of ``lasting_keys``.
 SNAPSHOTS = ("1994-06-30", AS_OF)
 
@@ -216,6 +253,8 @@ def queries() -> dict[str, Query]:
     q["rename_business"] = lambda s, d: ops.rename(silver_for(s, d)["crm_cust_info"], CUSTOMER_RENAMES)
     q["silver_write"] = silver_write
     q["silver_upsert"] = silver_upsert
+    q["customer_rejects"] = customer_rejects
+    q["customer_reconciliation"] = customer_reconciliation
     # gold
     q["dim_customer_info"] = _dim_c
     q["dim_product_info"] = _dim_p
@@ -241,4 +280,5 @@ def queries() -> dict[str, Query]:
     q["monthly_trend_merged"] = lambda s, d: merged.monthly_trend(partials_for(s, d))
     q["customer_statement"] = customer_statement
     q["best_months_sales"] = best_months_sales
+    q["order_running"] = order_running
     return q
