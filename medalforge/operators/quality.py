@@ -48,12 +48,17 @@ def natural_key_report(sales: DataFrame, refs: Mapping[str, tuple[str, DataFrame
     out = integrity_report(sales, refs)
     repeated = None
     for name, dim, key in refs.values():
-        one = (dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-               .agg(F.count_if(F.col("_n") > 1).alias("repeated_keys")).select(F.lit(name).alias("dimension"), "repeated_keys"))
+        one = repeated_keys(dim, key).select(F.lit(name).alias("dimension"), "repeated_keys")
         repeated = one if repeated is None else repeated.unionByName(one)
     return out.join(repeated, "dimension").select(*out.columns, "repeated_keys")
 
 
+def repeated_keys(dim: DataFrame, key: str) -> DataFrame:
+    """One row, ``repeated_keys``: how many non-NULL keys a dimension holds more than once."""
+    return (dim.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.count_if(F.col("_n") > 1).alias("repeated_keys")))
+
+
 class IntegrityError(AssertionError):
     """Fact rows reference keys that the dimension does not have."""
 
@@ -67,7 +72,11 @@ def assert_integrity(report: DataFrame, allow_null_keys: bool = True,
     default: the gold fact keeps them, as the reference's left joins do.
     ``max_unmatched``: share of the rows with a key that may be unmatched.
     """
-    rows = [r.asDict() for r in report.collect()]
+    return assert_references([r.asDict() for r in report.collect()], allow_null_keys, max_unmatched)
+
+
+def assert_references(rows: list[dict], allow_null_keys: bool = True, max_unmatched: float = 0.0) -> list[dict]:
+    """``assert_integrity`` on the rows of a report."""
     broken = [r for r in rows if r["unmatched_rows"] > max_unmatched * (r["fact_rows"] - r["null_key_rows"])
               or r.get("repeated_keys") or (not allow_null_keys and r["null_key_rows"])]
     if broken:

@@ -20,8 +20,8 @@ from ..sources import bronze as bronze_io
 from ..sources.fixtures import BRONZE_CUSTOMER_COLUMNS, bronze_customer
 from ..streaming.upsert import upsert_stream
 from ..warehouse import gold_for, layers_for, monthly_fact_for, partials_for, silver_for, source
-from . import catalog, merged
-from .views import publish_tables
+from . import catalog, merged, reports
+from .views import register_catalog
 
 AS_OF = "2002-01-01"  # the date that ages and recency are counted to
 
@@ -195,9 +195,27 @@ def gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gold_sql_top100(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The report by its published name, as a SQL user asks for it."""
-    publish_tables(spark, gold_for(spark, sf_dir), scratch_path(spark, "published"), as_of=AS_OF)
-    return spark.sql("SELECT * FROM gold.view_customer_analytics ORDER BY total_sales_amount DESC, customer_key LIMIT 100")
+    """The report by its name in the catalog, as a SQL user asks for it."""
+    gold_for(spark, sf_dir)
+    register_catalog(spark, layers_for(spark, sf_dir), as_of=AS_OF)
+    return spark.sql("SELECT * FROM gold_live.view_customer_analytics ORDER BY total_sales_amount DESC, customer_key LIMIT 100")
+
+
+def gold_sql_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The product report by its name in the catalog."""
+    gold_for(spark, sf_dir)
+    register_catalog(spark, layers_for(spark, sf_dir), as_of=AS_OF)
+    return spark.sql("SELECT * FROM gold_live.view_product_analytics")
+
+
+def customer_360_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ages and recency counted to the day of the run."""
+    return catalog.run("customer_360", gold_for(spark, sf_dir), None)
+
+
+def customer_360_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ages in completed years by elapsed days."""
+    return reports.customer_360(_fact(spark, sf_dir), _dim_c(spark, sf_dir), AS_OF, age="days")
 
 
 def integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,6 +281,9 @@ def queries() -> dict[str, Query]:
                                                          limit_bytes=0)
     q["gold_publish"] = gold_publish
     q["gold_sql_top100"] = gold_sql_top100
+    q["gold_sql_products"] = gold_sql_products
+    q["customer_360_today"] = customer_360_today
+    q["customer_360_days"] = customer_360_days
     q["fact_by_month"] = lambda s, d: monthly_fact_for(s, d).drop("order_month")
     q["surrogate_key"] = surrogate_key_query
     q["lasting_keys"] = lasting_keys

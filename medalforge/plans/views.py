@@ -1,4 +1,5 @@
-"""Name the gold tables and reports as temporary views for ``spark.sql``.
+"""Name the gold tables and reports for ``spark.sql``: as temporary views, as saved tables, or as views of the catalog
+that always show the published build.
 
 Users who query the star schema with SQL keep doing so: the gold tables keep
 their names, and the two reports are views named as in the warehouse. The
@@ -12,7 +13,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import reports
+from ..sources.catalog import Layers
+from . import report_sql, reports
 
 GOLD_VIEWS = ("dim_customer_info", "dim_product_info", "fact_sales")
 CUSTOMER_OPTIONS = ("vip_on", "threshold", "months", "age", "age_labels", "segment_labels")
@@ -55,3 +57,27 @@ def publish_tables(spark: SparkSession, gold: dict[str, DataFrame], location: st
         df.write.mode("overwrite").option("path", path).saveAsTable(f"{database}.{name}")
         names.append(f"{database}.{name}")
     return names
+
+
+def register_catalog(spark: SparkSession, layers: Layers, database: str = "gold_live", as_of: str | None = None) -> list[str]:
+    """Create or replace persistent views of the gold tables and both reports over ``layers``; returns their names.
+
+    A table's view reads the folder of that table and keeps the rows of the published build, which it looks up in the log of
+    builds when it is read: a scalar subquery on the partition column, so files of other builds are not opened. Publishing a build is
+    one appended row, so all five names switch to it at once, and before it none does; the reports are definitions,
+    so they are current whenever they are read. Folders of builds that are no longer published can be removed.
+    """
+    if layers.current_build() is None:
+        raise FileNotFoundError(f"no gold build has been published under {layers.root}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    current = f"(SELECT max_by(build, struct(number, build)) FROM parquet.`{layers.path('gold', 'builds')}`)"
+    definitions = {}
+    for name in GOLD_VIEWS:
+        columns = ", ".join(f"`{c}`" for c in layers.gold(name).columns)
+        definitions[name] = f"SELECT {columns} FROM parquet.`{layers.path('gold', name)}` WHERE build = {current}"
+    of = {name: f"{database}.{name}" for name in GOLD_VIEWS}
+    definitions[REPORT_VIEWS[0]] = report_sql.customer_360_sql(of["fact_sales"], of["dim_customer_info"], as_of)
+    definitions[REPORT_VIEWS[1]] = report_sql.product_360_sql(of["fact_sales"], of["dim_product_info"], as_of)
+    for name, text in definitions.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {text}")
+    return [f"{database}.{name}" for name in definitions]

@@ -2,7 +2,7 @@
 
 ``Layers`` maps (layer, table) to a path under one root. Bronze and silver
 tables are replaced one by one. Gold tables belong together: each build writes
-all of them below a folder of its own, and only a finished build is published,
+each of them in a folder of the build's own (``<table>/build=<id>``), and only a finished build is published,
 by appending one row to the ``builds`` table, whose latest row names the build
 that readers get. A build that fails leaves the earlier one as it was, and a
 reader that started on an earlier build can finish on it.
@@ -65,7 +65,7 @@ class Layers:
         return f"{time.time_ns() // 1_000_000}-{uuid.uuid4().hex[:8]}"
 
     def write_build(self, df: DataFrame, build: str, name: str) -> DataFrame:
-        path = self.path("gold", f"build={build}/{name}")
+        path = self.path("gold", f"{name}/build={build}")
         write_table(df, path)
         return read_table(self.spark, path)
 
@@ -96,4 +96,4 @@ class Layers:
         build = build or self.current_build()
         if build is None:
             raise FileNotFoundError(f"no gold build has been published under {self.root}")
-        return read_table(self.spark, self.path("gold", f"build={build}/{name}"))
+        return read_table(self.spark, self.path("gold", f"{name}/build={build}"))
