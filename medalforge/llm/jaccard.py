@@ -17,18 +17,20 @@ Sets near the upper end of a band also join the next band.
 Blocks meet in Spark: packed by hash into ``spark.sql.shuffle.partitions``
 buckets and matched in tasks. A block that many sets of one task share is
 dealt out there (its first set goes to the bucket, the others to any task).
-Of a set's e non-empty blocks only the d + 1 that the fewest sets have are kept, d being the bound: of the blocks
+Of a set's e non-empty blocks only the d + 1 that the fewest sets have are kept, d being the bound (blocks that were
+dealt out come last; ties go by block): of the blocks
 that a partner lacks there are at most d, so the rarest block that both have is among the kept of either.
 A block of a common passage is thus dropped by all sets that have enough blocks of their own.
-Candidates are verified in two rounds:
+Candidates are verified in three rounds:
 
 1. every set against the first of each of its blocks; links give components;
-2. in blocks that still hold several components, sets of different components
+2. in blocks that still hold several components, sets outside the block's largest one against
+   ``PIVOTS`` sets of that one: near copies that missed the first set of their block mostly link here;
+3. in blocks that hold several components even so, sets of different components
    only, those of the largest component against the others. All other pairs are
-   connected already.
+   connected already; what is left are sets that are alike, but below the threshold.
 
-Round 2 compares sets of one block whose other blocks did not suffice: sets that are alike, but below the threshold.
-Either round drops pairs whose bit sketches (one parity bit per token) differ in
+Each round drops pairs whose bit sketches (one parity bit per token) differ in
 more bits than the symmetric difference may have, and verifies the rest on whole
 shingle sets, read again from the texts (a row is known by its id and a hash of its text): the sets of a candidate's partners come to
 its own, and a candidate with many partners is dealt out to many groups.
@@ -60,6 +62,9 @@ FILTER_BITS = 1 << 26 # bits of the filter that spares texts without candidates
 BATCH_ROWS = 400      # texts or sets that a task holds at once
 BITS = 16             # bits of a sketch per difference that linked sets may have
 ATTEMPTS = 4
+MANY = 1 << 60        # stands for the size of a block that was dealt out
+PIVOTS = 8            # sets of a block's largest component that the others are tried on first
+HOT_SHARE = 5e-3      # share of the rows from which a block is salted
 _U = np.uint64
 _C1, _C2, _C3 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB), _U(0x9E3779B97F4A7C15)
 _LOW = _U(127)        # key bits that hold the band and the mark of a pre-aggregated block
@@ -296,7 +301,7 @@ def _rows(kind, a, b, c=None, d=None, bits=None, limit=1 << 16):
 
 
 def _matched(batches):
-    """Packed rows of one bucket to rows: kind 0 (block, class) of shared blocks, kind 2 (doc_id, class, size, text
+    """Packed rows of one bucket to rows: kind 0 (block, class, sets of the block, MANY if it was dealt out) of shared blocks, kind 2 (doc_id, class, size, text
     hash, band, numbers of keys, bit sketches)."""
     keys, nodes = [], []
     for batch in batches:
@@ -308,7 +313,7 @@ def _matched(batches):
                 nodes.append(c[np.frombuffer(b, np.uint16 if len(b) == 2 * len(key) else np.uint32)])
             elif kind == 1:
                 a, b = np.frombuffer(a, _U), np.frombuffer(b, np.int64)
-                yield from _rows(0, a | _U(1), b)
+                yield from _rows(0, a | _U(1), b, np.full(len(a), MANY))
             else:
                 yield from _rows(2, np.frombuffer(a, np.int64), np.frombuffer(b, np.int64), c,
                                  np.frombuffer(d.as_py(), np.int64).reshape(4, -1), bits.values)
@@ -324,7 +329,9 @@ def _matched(batches):
         length = np.diff(np.append(run, len(block)))
         shared = (length > 1) | (np.maximum.reduceat(marked, run) > 0)
         live = np.repeat(shared, length)
-        yield from _rows(0, (block[live] << _U(1)) | _U(1), node[live])
+        # all sets of a block are here, unless it was dealt out
+        held = np.where(np.maximum.reduceat(marked, run) > 0, MANY, length)
+        yield from _rows(0, (block[live] << _U(1)) | _U(1), node[live], np.repeat(held, length)[live])
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -462,8 +469,9 @@ def _sketches(batches):
                                           pa.array(bits, pa.list_(pa.int64()))], ["node", "band", "n", "bits"])
 
 
-def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: DataFrame) -> DataFrame:
-    """Untested pairs of different components that share a block and whose bit sketches are near enough."""
+def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: DataFrame, pivots: int | None = None) -> DataFrame:
+    """Untested pairs of different components that share a block and whose bit sketches are near enough; with ``pivots``
+    only those with so many sets of a block's largest component."""
     member = (shared.join(comps, "node", "left")
               .select("block", "node", F.coalesce("comp", "node").alias("comp")))
     open_blocks = (member.groupBy("block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
@@ -476,6 +484,9 @@ def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: D
             .mapInArrow(_sketches, "node long, band int, n long, bits array<long>"))
     member = member.join(largest, "block").withColumn("band", band).join(bits, ["node", "band"])
     left = member.where("comp != main").select("block", *[F.col(c).alias("l_" + c) for c in ("node", "comp", "n", "bits")])
+    if pivots:
+        drawn = Window.partitionBy("block").orderBy(F.xxhash64("node"), "node")  # cut to the first map-side
+        member = member.where("comp = main").withColumn("_place", F.row_number().over(drawn)).where(F.col("_place") <= pivots)
     right = member.select("block", "main", *[F.col(c).alias("r_" + c) for c in ("node", "comp", "n", "bits")])
     apart = F.aggregate(F.zip_with("l_bits", "r_bits", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
                         F.lit(0), lambda total, k: total + k)
@@ -488,23 +499,24 @@ def _crossing(shared: DataFrame, comps: DataFrame, classes: DataFrame, tested: D
 
 
 def _rarest(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """The (block, node) that any linked pair can do with: per set and band the rarest bound + 1 of its blocks."""
-    sizes = shared.groupBy(F.col("block").alias("_block")).agg(F.count(F.lit(1)).alias("f"))
+    """Of (block, node, f), f the sets of the block, those that any linked pair can do with, in blocks that several
+    sets keep, with the first of these: (block, node, pivot)."""
     band = F.shiftrightunsigned("block", 1).bitwiseAND(63).cast("int")
-    held = left_join_dim(shared, sizes, "block", "_block").withColumn("band", band).join(classes.select("node", "own", "e0", "e1"), "node")
+    held = shared.withColumn("band", band).join(classes.select("node", "own", "e0", "e1"), "node")
     mine = Window.partitionBy("node", "band")
     keys = F.when(F.col("band") == F.col("own"), F.col("e0")).otherwise(F.col("e1"))
     bounds = F.array(*[F.lit(int(d)) for d in bound(np.arange(64))])
     # blocks of this set alone are not listed, and come before all others
     rank = F.row_number().over(mine.orderBy("f", "block")) + keys - F.count(F.lit(1)).over(mine)
     held = held.select("block", "node", "f", (keys == 0).alias("short"), rank.alias("rank"), (F.get(bounds, F.col("band")) + 1).alias("most"))
-    kept = held.where("f > 1 AND (short OR rank <= most)").select("block", "node")
-    several = kept.groupBy(F.col("block").alias("_block")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_block", F.lit(True).alias("_live"))
-    return left_join_dim(kept, several, "block", "_block").where("_live").select("block", "node")
+    kept = stored(held.where("f > 1 AND (short OR rank <= most)").select("block", "node"), "kept")
+    firsts = (kept.groupBy(F.col("block").alias("_block")).agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("n"))
+              .where("n > 1").drop("n"))
+    return left_join_dim(kept, firsts, "block", "_block", hot_fraction=HOT_SHARE).where("pivot IS NOT NULL")
 
 
 def shared_blocks(known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Of (doc_id, text, row): (doc_id, node, n) per document, the classes of equal sets, and (block, node) of blocks
+    """Of (doc_id, text, row): (doc_id, node, n) per document, the classes of equal sets, and (block, node, pivot) of blocks
     that several classes keep."""
     parts = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = known.mapInArrow(lambda batches: _packed(batches, parts), _PACKED)
@@ -514,7 +526,7 @@ def shared_blocks(known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
               .agg(F.min(F.struct(F.col("a").alias("doc_id"), F.col("d").alias("row"))).alias("f"), F.max("c").alias("n"),
                    F.max("own").alias("own"), F.max("e0").alias("e0"), F.max("e1").alias("e1"), F.any_value("bits").alias("bits")))
     classes = stored(firsts.select("node", "f.*", "n", "own", "e0", "e1", "bits"), "classes")
-    every = found.where("kind = 0").select(F.col("a").alias("block"), F.col("b").alias("node")).distinct()
+    every = found.where("kind = 0").select(F.col("a").alias("block"), F.col("b").alias("node"), F.col("c").alias("f")).distinct()
     return docs, classes, stored(_rarest(every, classes), "shared")
 
 
@@ -522,15 +534,16 @@ def link_documents(documents: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of (doc_id, text). The texts are read more than once."""
     known = documents.where("doc_id IS NOT NULL").select("doc_id", "text", F.xxhash64("text").alias("row"))
     docs, classes, shared = shared_blocks(known)
-    pivots = shared.groupBy("block").agg(F.min("node").alias("p"))
-    paired = left_join_dim(shared, pivots.withColumnRenamed("block", "_block"), "block", "_block").where("node != p")
-    candidates = paired.select(F.col("p").alias("x"), F.col("node").alias("y")).distinct()
+    candidates = shared.where("node != pivot").select(F.col("pivot").alias("x"), F.col("node").alias("y")).distinct()
     tested = stored(near_pairs(candidates, classes), "pairs")
     links = verify(tested, classes, known, "links")
-    comps = components(links)
-    crossing = stored(_crossing(shared, comps, classes, tested), "crossing")
-    more = verify(crossing, classes, known, "more-links")
-    comps = stored(components(links.union(more)), "components")
+    shared = shared.drop("pivot")
+    for step, pivots in (("pivots", PIVOTS), ("crossing", None)):
+        comps = components(links)
+        crossing = stored(_crossing(shared, comps, classes, tested, pivots), step)
+        links = stored(links.union(verify(crossing, classes, known, step + "-links")), "links")
+        tested = stored(tested.union(crossing), "tested")
+    comps = stored(components(links), "components")
     named = (classes.select("node", "doc_id").join(comps, "node", "left")
              .select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
     lowest = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
