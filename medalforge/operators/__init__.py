@@ -11,6 +11,7 @@ from .partials import SalesPartials
 from .rejects import Accounted, cleanse_accounted, reconciliation
 from .rollup import rollup
 from .running import running_windows
+from .sketches import ProfileStore
 from .storage import read_by_month, sales_in_months, sales_of, write_by_month
 from .upsert import KeyedTable
 from .quality import (IntegrityError, assert_integrity, integrity_report, natural_key_report, profile_columns,
@@ -24,4 +25,4 @@ __all__ = ["cleanse_customers", "drop_critical", "enforce_types", "fill_unknown"
            "fits_broadcast", "measured_join", "rollup", "SILVER_SPECS", "Cleansing", "cleanse",
            "left_join_dims", "natural_key_report", "sales_key_report",
            "KeyDictionary", "lasting_dimension", "SalesPartials", "KeyedTable", "write_by_month", "read_by_month",
-           "sales_of", "sales_in_months", "running_windows", "cleanse_accounted", "Accounted", "reconciliation"]
+           "sales_of", "sales_in_months", "running_windows", "cleanse_accounted", "Accounted", "reconciliation", "ProfileStore"]

@@ -6,26 +6,30 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .joins import measured_join
+from .joins import fits_broadcast
+from .partials import bit_words
 
 
 def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
     """One row per reference ``fact_key → (dimension name, dimension, dim_key)``.
 
     Columns: dimension, fact_key, fact_rows, null_key_rows, unmatched_rows.
-    Fact keys are counted first (one row per distinct key, partial aggregation
-    map-side), and only those counts meet the dimension keys.
+    The dimension's keys go to the fact if they are measured small enough to be broadcast, or, for integer keys,
+    as an exact bitmap of 64 keys a word, which is for dense keys a small part of that: each fact row is checked
+    where it lies and no fact key is shuffled. Beyond both, fact keys are counted first (one row per distinct key, partial
+    aggregation map-side), and only those counts meet the dimension keys.
     """
     parts = []
     for fact_key, (dim_name, dim, dim_key) in refs.items():
-        per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
-        keys = dim.select(F.col(dim_key).alias("_k"))
-        known = keys.distinct().withColumn("_m", F.lit(True))
-        # all keys bound the distinct ones, and measuring them needs no shuffle
-        joined = measured_join(per_key, known, "_k", bound=keys.withColumn("_m", F.lit(True)))
         k, n = F.col("_k"), F.col("_n")
-        parts.append(joined.agg(
+        counted = _checked_in_place(fact, fact_key, dim, dim_key)
+        if counted is None:
+            per_key = fact.groupBy(F.col(fact_key).alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+            known = dim.select(F.col(dim_key).alias("_k")).distinct().withColumn("_m", F.lit(True))
+            counted = per_key.join(known.hint("merge"), "_k", "left")
+        parts.append(counted.agg(
             F.coalesce(F.sum(n), F.lit(0)).cast("long").alias("fact_rows"),
             F.coalesce(F.sum(F.when(k.isNull(), n)), F.lit(0)).cast("long").alias("null_key_rows"),
             F.coalesce(F.sum(F.when(k.isNotNull() & F.col("_m").isNull(), n)), F.lit(0))
@@ -38,6 +42,22 @@ def integrity_report(fact: DataFrame, refs: Mapping[str, tuple[str, DataFrame, s
     return out
 
 
+def _checked_in_place(fact: DataFrame, fact_key: str, dim: DataFrame, dim_key: str) -> DataFrame | None:
+    """Fact rows (_k, _n = 1, _m set if the key is known) checked where they lie, or None if nothing small enough says so."""
+    rows = fact.select(F.col(fact_key).alias("_k"), F.lit(1).cast("long").alias("_n"))
+    keys = dim.where(F.col(dim_key).isNotNull()).select(F.col(dim_key).alias("_k"))
+    if fits_broadcast(keys.withColumn("_m", F.lit(True))):
+        return rows.join(F.broadcast(keys.distinct().withColumn("_m", F.lit(True))), "_k", "left")
+    if not (isinstance(keys.schema["_k"].dataType, (T.LongType, T.IntegerType)) and isinstance(rows.schema["_k"].dataType, (T.LongType, T.IntegerType))):
+        return None
+    word, mask = bit_words(F.col("_k").cast("long"))
+    words = keys.groupBy(word.alias("_word")).agg(F.bit_or(mask).alias("_mask"))
+    if not fits_broadcast(words):
+        return None
+    held = rows.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
+    return held.withColumn("_m", F.when(F.col("_mask").bitwiseAND(mask) != 0, F.lit(True)))
+
+
 def natural_key_report(sales: DataFrame, refs: Mapping[str, tuple[str, DataFrame, str]]) -> DataFrame:
     """``integrity_report`` on natural keys, plus the dimension's repeated ones.
 

@@ -144,6 +144,25 @@ def order_running(spark: SparkSession, sf_dir: str) -> DataFrame:
 SNAPSHOTS = ("1994-06-30", AS_OF)
 
 
+def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile of the fact by merged sketches of its files, held against exact counts and ranks."""
+    fact = monthly_fact_for(spark, sf_dir).drop("order_month")
+    store = ops.ProfileStore(spark, scratch_path(spark, "profile"))
+    store.update(fact)
+    ours = store.profile(fact).where("p50 IS NOT NULL OR data_type = 'string'")
+    exact = ops.profile_columns(fact).select("column_name", "distinct_count")
+    numbers = [f.name for f in fact.schema.fields if f.dataType.typeName() not in ("string", "date")]
+    medians = {r["column_name"]: r["p50"] for r in ours.where(F.col("column_name").isin(numbers)).collect()}  # one row per column
+    under = fact.agg(*[(F.count_if(F.col(c).cast("double") < m) / F.count(c)).alias(c + "_l") for c, m in medians.items()],
+                     *[(F.count_if(F.col(c).cast("double") <= m) / F.count(c)).alias(c + "_h") for c, m in medians.items()]).first()
+    close = F.lit(None).cast("boolean")
+    for c in numbers:
+        close = F.when(F.col("column_name") == c, F.lit(bool(under[c + "_l"] <= 0.53 and under[c + "_h"] >= 0.47))).otherwise(close)
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_count")) <= 0.05 * F.col("distinct_count")
+    return ours.join(exact, "column_name").select("column_name", "data_type", "row_count", "null_count",
+                                                  near.alias("distinct_within_5_percent"), close.alias("median_within_3_percent"))
+
+
 def lasting_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of both dimensions in the second of two builds: as of a day in 1994, and after customers and products
     came and products ended."""
@@ -302,4 +321,5 @@ def queries() -> dict[str, Query]:
     q["customer_statement"] = customer_statement
     q["best_months_sales"] = best_months_sales
     q["order_running"] = order_running
+    q["profile_merged"] = profile_merged
     return q

@@ -97,3 +97,47 @@ def test_summaries_are_bounded_and_keys_are_not_shuffled(spark):
     assert totals == {"k": 200_000} and "hot" in candidates["k"] and len(candidates["k"]) <= 200
     with pytest.raises(ValueError):
         heavy_candidates(df, ["k"], 1e-7)
+
+
+# --- profiles that merge --------------------------------------------------------------
+
+def test_a_second_profile_reads_only_new_files(spark):
+    from medalforge.session import scratch_path
+    path = scratch_path(spark, "profiled")
+    first = spark.range(20_000).selectExpr("id", "CAST(id % 500 AS STRING) AS s", "date_add(DATE '2001-01-01', CAST(id % 90 AS INT)) AS d",
+                                           "CAST(CASE WHEN id % 4 = 0 THEN NULL ELSE id % 1000 END AS DECIMAL(18,2)) AS x", "id % 2 = 0 AS b")
+    first.repartition(3).write.parquet(path)
+    store = ops.ProfileStore(spark, scratch_path(spark, "profile"))
+    assert len(store.update(spark.read.parquet(path))) == 3
+    first.where("id < 100").withColumn("s", F.lit("new")).coalesce(1).write.mode("append").parquet(path)
+    table = spark.read.parquet(path)
+    assert len(store.update(table)) == 1 and store.update(table) == []
+    exact = {r.column_name: r for r in ops.profile_columns(table).collect()}
+    for r in store.profile(table).collect():
+        assert (r.ordinal_position, r.data_type, r.null_count) == (exact[r.column_name].ordinal_position, exact[r.column_name].data_type, exact[r.column_name].null_count)
+        assert r.row_count == 20_100
+        assert abs(r.distinct_estimate - exact[r.column_name].distinct_count) <= 0.04 * exact[r.column_name].distinct_count
+    quantiles = {r.column_name: r.p50 for r in store.profile(table).collect()}
+    assert abs(quantiles["id"] - 9_950) < 600 and abs(quantiles["x"] - 500) < 30 and quantiles["s"] is None
+    # files that are gone no longer count
+    only = spark.read.parquet(*table.inputFiles()[:2])
+    assert store.update(only) == [] and {r.row_count for r in store.profile(only).collect()} == {only.count()}
+    nothing = store.profile(spark.createDataFrame([], table.schema))
+    assert nothing.count() == 0
+
+
+# --- references checked where the fact lies ---------------------------------------------
+
+def test_references_by_broadcast_bitmap_and_grouping(spark, monkeypatch):
+    from medalforge.operators import quality
+    fact = spark.range(5000).selectExpr("CASE WHEN id % 7 = 0 THEN NULL ELSE id % 300 END AS k", "CAST(id % 300 AS STRING) AS t")
+    dim = spark.range(0, 250).unionAll(spark.range(200, 250)).selectExpr("id AS dk", "CAST(id AS STRING) AS dt")
+    refs = {"k": ("d", dim, "dk"), "t": ("e", dim, "dt")}
+    want = {"d": (5000, 715, fact.where("k >= 250").count()), "e": (5000, 0, fact.where("CAST(t AS INT) >= 250").count())}
+    plans = []
+    for bytes_ in (10 ** 7, 3_000, 0):  # all keys fit; only the bitmap of the integer keys does; nothing does
+        monkeypatch.setattr(quality, "fits_broadcast", lambda df, bytes_=bytes_: ops.projection_bytes(df)[1] <= bytes_)
+        report = ops.integrity_report(fact, refs)
+        assert {r.dimension: (r.fact_rows, r.null_key_rows, r.unmatched_rows) for r in report.collect()} == want
+        plans.append(report._jdf.queryExecution().optimizedPlan().toString())
+    assert "bit_or" not in plans[0] and "bit_or" in plans[1] and "bit_or" not in plans[2]
