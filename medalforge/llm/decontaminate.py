@@ -332,3 +332,36 @@ def op12_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"), F.col("longest.n_words").alias("longest_words"),
         F.col("longest.item").alias("longest_item"), F.col("longest.start").alias("longest_at"))
+
+
+# The same rows by plain windows: every window of an item against every window of a text of that length.
+ORACLE_SQL = r"""
+WITH text_words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT DISTINCT COALESCE(CAST(item_id AS VARCHAR), '') AS item, text,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark WHERE text IS NOT NULL),
+item_window AS (
+  SELECT item, text, i, least(10, len(w)) AS k, array_to_string(w[i + 1:i + least(10, len(w))], ' ') AS g
+  FROM (SELECT *, unnest(range(len(w) - least(10, len(w)) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+widths AS (SELECT DISTINCT k FROM item_window),
+text_window AS (
+  SELECT r, a, k, array_to_string(w[a + 1:a + k], ' ') AS g
+  FROM (SELECT r, w, k, unnest(range(len(w) - k + 1)) AS a FROM text_words, widths WHERE len(w) >= k)),
+found AS (SELECT r, a, k, item, text, i FROM text_window JOIN item_window USING (k, g)),
+hits AS (SELECT r, COUNT(DISTINCT p) AS n FROM (SELECT r, unnest(range(a, a + k)) AS p FROM found) GROUP BY r),
+named AS (SELECT r, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY r),
+-- windows that follow each other along one diagonal are one match
+runs AS (
+  SELECT r, item, text, k, a, i, a - row_number() OVER (PARTITION BY r, item, text, k, a - i ORDER BY a) AS run FROM found),
+matches AS (
+  SELECT r, item, text, MIN(a) AS a, MIN(i) AS i, COUNT(*) + k - 1 AS n FROM runs GROUP BY r, item, text, k, a - i, run),
+best AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY n DESC, a, item, text, i) AS place FROM matches)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(COALESCE(h.n, 0) AS BIGINT) AS n_hit, CAST(COALESCE(len(items), 0) AS BIGINT) AS n_items,
+       sha256(COALESCE(array_to_string(items, ','), '')) AS items_sha256, COALESCE(h.n, 0) > 0 AS contaminated,
+       b.n AS longest_words, b.item AS longest_item, b.a AS longest_at
+FROM text_words LEFT JOIN hits h USING (r) LEFT JOIN named USING (r) LEFT JOIN (SELECT * FROM best WHERE place = 1) b USING (r)"""

@@ -16,8 +16,13 @@ if the matched words cover at least ``min_coverage`` of the template; of
 overlapping finds the one with the most matched words, then the highest
 coverage, stays. Each run is aligned again in the words that a find, or an
 alignment too weak to count, leaves on its two sides, until none of its hits lies
-there; so repeated notices are all found, however near. Spans are offsets in
-characters (code points) of the whole text.
+there; so repeated notices are all found, however near.
+
+A copy that more words are put into than the band holds has no such alignment. Its pieces, words that equal the
+template's without a break, ``PIECE`` at least, are chained: the heaviest sequence of pieces that rises in
+text and template, over gaps of any length, is a find if it covers enough. It competes with other finds by the words of
+its pieces, so what stands in a gap is found too; its span goes from the first piece to the last.
+Spans are offsets in characters (code points) of the whole text.
 
 Defined results: null and empty texts have no finds and so no rows; repeated rows
 are scanned one by one; a null key is an ordinary value; a template of fewer
@@ -43,6 +48,7 @@ from .common import encoded, steps, strings, table
 
 GRAM, WINDOW, BAND = 3, 2, 8
 MIN_COVERAGE = 0.8
+PIECE = 8  # words of a piece that is chained over gaps
 LONG = 40  # words of a template from which a bound is taken before an alignment
 MAX_TEMPLATE_WORDS = 500_000
 _WORD = re.compile(r"[^\W_]+")
@@ -262,6 +268,82 @@ def gaps(taken: list[tuple[int, int]], low: int, high: int) -> list[tuple[int, i
     return out
 
 
+def pieces(template: list[str], words: list[str], hits: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(first, past last, place in the template) of maximal runs of equal words on the hits' diagonals, PIECE words or more."""
+    out = []
+    last, end = None, 0
+    for d, at in sorted(hits):
+        if d != last:
+            last, end = d, 0
+        if at < end:
+            continue
+        a = b = at
+        while a > max(end, d, 0) and words[a - 1] == template[a - 1 - d]:
+            a -= 1
+        while b < len(words) and b - d < len(template) and words[b] == template[b - d]:
+            b += 1
+        end = max(b, at + 1)
+        if b - a >= PIECE:
+            out.append((a, b, a - d))
+    return out
+
+
+def heaviest_chain(found: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of pieces those of the most words that follow each other in text and template; overlaps at their ends are trimmed."""
+    if not found:
+        return []
+    slack = PIECE // 2  # two pieces may overlap by so many words, which count once
+    order = sorted(range(len(found)), key=lambda k: found[k][0])
+    by_end = sorted(range(len(found)), key=lambda k: found[k][1])
+    size = max(i + b - a for a, b, i in found) + 1
+    tree: list[tuple[int, int]] = [(0, -1)] * (size + 1)  # prefix maxima by end in the template
+    weight, before = [0] * len(found), [-1] * len(found)
+    at = 0
+    for k in order:
+        a, b, i = found[k]
+        while at < len(by_end) and found[by_end[at]][1] <= a + slack:
+            j = by_end[at]
+            place = found[j][2] + found[j][1] - found[j][0]
+            while place <= size:
+                tree[place] = max(tree[place], (weight[j], j))
+                place += place & -place
+            at += 1
+        best, place = (0, -1), min(size, i + slack)
+        while place > 0:
+            best = max(best, tree[place])
+            place -= place & -place
+        weight[k], before[k] = best[0] + b - a, best[1]
+    k = max(range(len(found)), key=lambda k: (weight[k], -found[k][0]))
+    chain = []
+    while k >= 0:
+        chain.append(found[k])
+        k = before[k]
+    out: list[tuple[int, int, int]] = []
+    for a, b, i in reversed(chain):
+        if out:
+            over = max(0, out[-1][1] - a, out[-1][2] + out[-1][1] - out[-1][0] - i)
+            a, i = a + over, i + over
+        if a < b:
+            out.append((a, b, i))
+    return out
+
+
+def chained(template: list[str], words: list[str], hits: list[tuple[int, int]], own: list[tuple[int, int]],
+            min_coverage: float) -> list[list[tuple[int, int, int]]]:
+    """Chains that cover enough of a template, of pieces outside its finds ``own`` and outside each other."""
+    out: list[list[tuple[int, int, int]]] = []
+    if len(template) < 2 * PIECE:
+        return out
+    left = [p for p in pieces(template, words, hits) if not any(a < p[1] and p[0] < b for a, b in own)]
+    while sum(b - a for a, b, _ in left) >= min_coverage * len(template):
+        chain = heaviest_chain(left)
+        if sum(b - a for a, b, _ in chain) < min_coverage * len(template):
+            break
+        out.append(chain)
+        left = [p for p in left if not any(a < p[1] and p[0] < b for a, b, _ in chain)]
+    return out
+
+
 def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE, band: int = BAND) -> list[tuple]:
     """(template, coverage, matched, start, end) of a text, in order of place."""
     spans = [(m.start(), m.end()) for m in _WORD.finditer(text)]
@@ -274,6 +356,7 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE, band:
             for t, i in index.places[int(values[at])]:
                 hits[t].append((at - i, at))
     heap: list[tuple] = []
+    own: dict[int, list[tuple[int, int]]] = defaultdict(list)
     taken: list[tuple[int, int]] = []
 
     def seek(run: Run, low: int, high: int) -> None:
@@ -290,21 +373,33 @@ def scan_text(index: Index, text: str, min_coverage: float = MIN_COVERAGE, band:
             matched, a, b = whole or align(template, words, run.start, 2 * band, low, high)
             if matched and matched >= min_coverage * len(template):
                 heapq.heappush(heap, (-matched, -matched / len(template), a, run.t, run.start, b, low, high, run))
+                own[run.t].append((a, b))
             elif matched:
                 todo += [(low, a), (b, high)]
 
     for t, places in hits.items():
         for run in runs(t, places, len(index.words[t]), band):
             seek(run, max(0, run.start - 2 * band), min(len(words), run.start + len(index.words[t]) + 2 * band))
+    for t, places in hits.items():
+        for chain in chained(index.words[t], words, places, own[t], min_coverage):
+            matched = sum(b - a for a, b, _ in chain)
+            heapq.heappush(heap, (-matched, -matched / len(index.words[t]), chain[0][0], t, -1, chain[-1][1], 0, 0, chain))
+
+    def is_free(a: int, b: int) -> bool:
+        at = bisect.bisect(taken, (a, b))
+        return not (at and taken[at - 1][1] > a) and not (at < len(taken) and taken[at][0] < b)
+
     kept: list[tuple] = []
     while heap:
         matched, coverage, a, t, _, b, low, high, run = heapq.heappop(heap)
-        at = bisect.bisect(taken, (a, b))
-        if not (at and taken[at - 1][1] > a) and not (at < len(taken) and taken[at][0] < b):
-            taken.insert(at, (a, b))
+        words_of_it = [(a, b)] if isinstance(run, Run) else [(x, y) for x, y, _ in run]
+        if all(is_free(x, y) for x, y in words_of_it):
+            for x, y in words_of_it:
+                bisect.insort(taken, (x, y))
             kept.append((index.names[t], -coverage, -matched, spans[a][0], spans[b - 1][1]))
-        for free in gaps(taken, low, high):
-            seek(run, *free)
+        if isinstance(run, Run):
+            for free in gaps(taken, low, high):
+                seek(run, *free)
     return sorted(kept, key=lambda f: f[3])
 
 

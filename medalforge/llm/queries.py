@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import decontaminate, quality
 from .ann import op4_hilbert_neighbours
 from .chat import op8_chat_formatting
 from .decontaminate import op12_suffix_decontamination
@@ -38,4 +38,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """The others learn, draw at random, search or compare sets: their tests use brute force instead."""
-    return {"op3_quality_rules": quality.ORACLE_SQL}
+    return {"op3_quality_rules": quality.ORACLE_SQL, "op12_suffix_decontamination": decontaminate.ORACLE_SQL}

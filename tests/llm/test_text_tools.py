@@ -178,6 +178,53 @@ def test_alignment_equals_full_dynamic_programming():
         assert matched >= best and (not matched or (b[start] in a and b[end - 1] in a))
 
 
+@pytest.mark.parametrize("name", ["MIT-text", "Apache-2.0-header", "GPL-3.0-body", "MIT-body"])
+@pytest.mark.parametrize("put_in", [0, 17, 40, 500])
+def test_copies_with_words_put_in_are_found_whole(name, put_in):
+    body = license.word_list(license.TEMPLATES[name])
+    half = len(body) // 2
+    strange = [f"strange{i}" for i in range(put_in)]
+    words = ["before"] * 30 + body[:half] + strange + body[half:] + ["after"] * 30
+    text = " ".join(words)
+    (found,) = license.scan_text(INDEX, text)
+    assert found[:3] == (name, 1.0, len(body))
+    assert text[found[3]:found[4]].split() == body[:half] + strange + body[half:]
+
+
+def test_a_notice_inside_the_gap_of_another_is_found():
+    body = license.word_list(license.TEMPLATES["MIT-text"])
+    half = len(body) // 2
+    inner = "Licensed under CC BY-NC 4.0."
+    text = " ".join([*body[:half], *["strange"] * 40, inner, *["words"] * 40, *body[half:]])
+    assert sorted(f[0] for f in license.scan_text(INDEX, text)) == sorted(["MIT-text"] + [f[0] for f in license.scan_text(INDEX, inner)])
+    # several cuts, and pieces in another order, which are no copy
+    third = len(body) // 3
+    gap = ["strange"] * 60
+    (found,) = license.scan_text(INDEX, " ".join(body[:third] + gap + body[third:2 * third] + gap + body[2 * third:]))
+    assert found[:2] == ("MIT-text", 1.0)
+    assert "MIT-text" not in [f[0] for f in license.scan_text(INDEX, " ".join(body[2 * third:] + gap + body[third:2 * third] + gap + body[:third]))]
+
+
+def test_heaviest_chain_equals_trying_all():
+    import itertools
+    import random
+    rng = random.Random(2)
+    for _ in range(200):
+        found = []
+        for _ in range(rng.randrange(1, 8)):
+            a, i, n = rng.randrange(60), rng.randrange(60), rng.randrange(8, 20)
+            found.append((a, a + n, i))
+        slack, best = license.PIECE // 2, 0
+        for k in range(1, len(found) + 1):
+            for c in itertools.combinations(sorted(found), k):
+                if all(x[1] <= y[0] + slack and x[2] + x[1] - x[0] <= y[2] + slack for x, y in zip(c, c[1:])):
+                    best = max(best, sum(b - a for a, b, _ in c))
+        chain = license.heaviest_chain(found)
+        trimmed = sum(b - a for a, b, _ in chain)
+        assert best - slack * (len(chain) - 1) <= trimmed <= best
+        assert all(x[1] <= y[0] and x[2] + x[1] - x[0] <= y[2] for x, y in zip(chain, chain[1:]))
+
+
 def test_winnowing_keeps_one_of_every_window():
     import numpy as np
     values = np.random.default_rng(0).integers(0, 50, 200).astype(np.uint64)
