@@ -39,6 +39,12 @@ CUSTOMER_RENAMES = {
 }
 
 
+#: Queries over tables that grow, or that build or account for something in every run.
+GROWING = ("silver_upsert", "customer_rejects", "customer_reconciliation", "lasting_keys", "fact_by_month", "customer_360_merged",
+           "product_360_merged", "monthly_trend_merged", "customer_statement", "best_months_sales", "order_running", "profile_merged",
+           "gold_sql_products", "customer_360_today", "customer_360_days")
+
+
 def _gold(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return gold_for(spark, sf_dir)[name]
 
