@@ -274,42 +274,78 @@ def encode_batch(pieces: Pieces, logp: np.ndarray, texts: pa.Array, keys: np.nda
     return row, rank, ids, np.bincount(which, count, minlength=len(edges)).astype(np.int64), log_prob, value, inclusion
 
 
+def piece_bytes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes that the pieces spell, one after the other, and each one's start and length."""
+    values = _values(pieces)
+    size = np.array([len(v) for v in values], np.int64)
+    return np.frombuffer(b"".join(values), np.uint8), np.cumsum(size) - size, size
+
+
+def round_trips(spelled, texts: pa.Array, row: np.ndarray, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Decodes segmentations (``count`` of ``ids`` each, of the texts ``row``): their bytes without the leading mark, and
+    whether they are the text's, byte by byte."""
+    flat, start, size = spelled
+    of = np.repeat(np.arange(len(row)), count)
+    own = np.bincount(of, size[ids], minlength=len(row)).astype(np.int64)
+    each = size[ids]
+    decoded = flat[np.repeat(start[ids] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+    wanted = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string())).take(pa.array(row))
+    ends = np.frombuffer(wanted.buffers()[1], np.int64, len(wanted) + 1)
+    same = np.diff(ends) == own
+    if same.all():
+        differs = decoded != np.frombuffer(wanted.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+        same &= np.bincount(np.repeat(np.arange(len(row)), own), differs, minlength=len(row)) == 0
+    else:  # of different lengths: one by one
+        at = np.append(0, np.cumsum(own))
+        same &= np.array([decoded[at[i]:at[i + 1]].tobytes() == wanted[i].as_py().encode("utf-8", "surrogatepass") for i in range(len(row))])
+    return own - 1, same
+
+
 def encode(df: DataFrame, text: str = "text", key: str = "doc_id", k: int = SAMPLES, seed: int = SEED,
-           vocabulary: str = VOCABULARY) -> DataFrame:
+           vocabulary: str = VOCABULARY, check: bool = False) -> DataFrame:
     """(key, rank, ids, log_prob, perturbed, log_inclusion): up to ``k`` rows per non-null text.
 
     ``log_prob`` is the natural-log unigram probability of the segmentation, ``perturbed`` its
-    Gumbel-perturbed value among all segmentations of the text.
+    Gumbel-perturbed value among all segmentations of the text. With ``check`` every segmentation is decoded
+    again, and two columns follow: decoded_bytes, and round_trip, whether these are the text's.
     """
     pieces = load_pieces(vocabulary)
     logp = pieces.log_probs()
     source = df.select(F.col(f"`{key}`").alias("_key"), F.xxhash64(F.col(f"`{key}`")).alias("_hash"),
                        F.col(f"`{text}`").alias("_text")).where("_text IS NOT NULL")
-    schema = f"_key {source.schema['_key'].dataType.simpleString()}, {_SCHEMA}"
+    schema = f"_key {source.schema['_key'].dataType.simpleString()}, {_SCHEMA}" + (", decoded_bytes long, round_trip boolean" if check else "")
+    spelled = piece_bytes(pieces) if check else None
 
     def run(batches):
         for batch in steps(batches, "_text", STEP):
             hashes = batch.column("_hash").to_numpy(zero_copy_only=False)
-            row, rank, ids, size, log_prob, value, inclusion = encode_batch(
-                pieces, logp, strings(batch.column("_text")), hashes, k, seed)
+            texts = strings(batch.column("_text"))
+            row, rank, ids, size, log_prob, value, inclusion = encode_batch(pieces, logp, texts, hashes, k, seed)
+            checked = [] if spelled is None else [pa.array(x) for x in round_trips(spelled, texts, row, ids, size)]
             offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_key").take(pa.array(row, pa.int64())), pa.array(rank, pa.int32()), listed,
-                 pa.array(log_prob), pa.array(value), pa.array(inclusion)],
-                ["_key", "rank", "ids", "log_prob", "perturbed", "log_inclusion"])
+                 pa.array(log_prob), pa.array(value), pa.array(inclusion), *checked],
+                ["_key", "rank", "ids", "log_prob", "perturbed", "log_inclusion", *["decoded_bytes", "round_trip"][:len(checked)]])
 
     return source.mapInArrow(run, schema).withColumnRenamed("_key", key)
 
 
-def decode_ids(pieces: Pieces, ids) -> str:
-    """The text that a list of piece ids spells."""
+def _values(pieces: Pieces) -> list[bytes]:
+    """The bytes that each piece spells."""
     values = getattr(pieces, "_bytes", None)
     if values is None:
         values = [p.replace(MARK, " ").encode("utf-8", "surrogatepass") for p in pieces.pieces]
         for b, i in enumerate(pieces.byte_ids.tolist()):
             values[i] = bytes([b])
         pieces._bytes = values
+    return values
+
+
+def decode_ids(pieces: Pieces, ids) -> str:
+    """The text that a list of piece ids spells."""
+    values = _values(pieces)
     return b"".join([values[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
 
 
@@ -328,4 +364,4 @@ def decode(df: DataFrame, ids: str = "ids", into: str = "text", vocabulary: str
 
 
 def op2_gumbel_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode(table(spark, sf_dir, "documents")).withColumn("n_pieces", F.size("ids"))
+    return encode(table(spark, sf_dir, "documents"), check=True).withColumn("n_pieces", F.size("ids"))

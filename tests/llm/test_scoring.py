@@ -149,3 +149,26 @@ def test_gradient_of_the_network():
     net.p["o"] = net.p["o"] + 1e-6
     pooled, _ = net.pooled(net.place[bucket], rows, 2, net.tables())
     assert net.logits(bucket, rows, 2) - before == pytest.approx(1e-6 * pooled.sum(axis=1), rel=1e-2, abs=1e-9)
+
+
+def test_every_segmentation_is_decoded_and_compared(spark):
+    docs = awkward(spark)
+    out = encode(docs, check=True)
+    assert out.columns[-2:] == ["decoded_bytes", "round_trip"] and out.where("NOT round_trip").count() == 0
+    sizes = {(str(r.doc_id), r.n) for r in docs.where("text IS NOT NULL").selectExpr("doc_id", "octet_length(text) n").collect()}
+    assert {(str(r.doc_id), r.decoded_bytes) for r in out.collect()} == sizes
+    assert encode(empty(spark), check=True).count() == 0
+
+
+def test_a_wrong_segmentation_is_told():
+    from medalforge.llm.sampling import piece_bytes, round_trips
+    import pyarrow as pa
+    pieces = load_pieces()
+    spelled = piece_bytes(pieces)
+    at = {p: i for i, p in enumerate(pieces.pieces)}
+    a, b = at["▁a"], at["▁b"]
+    texts = pa.array(["a", "b", "a b"], pa.large_string())
+    got = lambda *lists: [x.tolist() for x in round_trips(spelled, texts, np.arange(3), np.concatenate(lists), np.array([len(x) for x in lists]))]
+    assert got([a], [b], [a, b]) == [[1, 1, 3], [True, True, True]]
+    assert got([a], [a], [b, b]) == [[1, 1, 3], [True, False, False]]
+    assert got([a], [a, b], [a]) == [[1, 3, 1], [True, False, False]]
