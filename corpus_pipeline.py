@@ -10,7 +10,7 @@ kept, written as Parquet and read again. All but the last return the columns of
    first in reading order (rows are told apart by a number that is written once with them,
    so neither repeated ids nor another split of the files do harm);
 4. mixing sources to target weights: documents are repeated or left out;
-5. SentencePiece encoding: sampled segmentations of every text (copies of a
+5. SentencePiece encoding and decoding: sampled segmentations of every text, decoded and compared (copies of a
    document are sampled alike).
 """
 
@@ -52,7 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sampling.encode(docs)
+    return sampling.encode(docs, check=True)
 
 
 STAGES = [
