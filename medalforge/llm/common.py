@@ -7,6 +7,7 @@ Arrow's ASCII kernels implement that rule over a whole batch at once.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +46,15 @@ def stored(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete shuffle files that nothing refers to any more: it does so when the driver collects garbage,
+    which a driver with little to do hardly does by itself."""
+    jvm = getattr(spark, "_jvm", None)
+    gc.collect()
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import left_join_dim
-from .common import encoded, steps, stored, strings, table, words_of
+from .common import encoded, release, steps, stored, strings, table, words_of
 
 SHINGLE = 5
 LOCAL_GROUP = 16      # sets of one task on one block before they are pre-aggregated
@@ -521,13 +521,16 @@ def shared_blocks(known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     parts = int(known.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = known.mapInArrow(lambda batches: _packed(batches, parts), _PACKED)
     found = stored(packed.repartitionById(parts, F.col("p")).mapInArrow(_matched, _FOUND), "blocks", BATCH_ROWS)
+    release(known.sparkSession)
     docs = found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("node"), F.col("c").alias("n"))
     firsts = (found.where("kind = 2 AND c > 0").groupBy(F.col("b").alias("node"))
               .agg(F.min(F.struct(F.col("a").alias("doc_id"), F.col("d").alias("row"))).alias("f"), F.max("c").alias("n"),
                    F.max("own").alias("own"), F.max("e0").alias("e0"), F.max("e1").alias("e1"), F.any_value("bits").alias("bits")))
     classes = stored(firsts.select("node", "f.*", "n", "own", "e0", "e1", "bits"), "classes")
     every = found.where("kind = 0").select(F.col("a").alias("block"), F.col("b").alias("node"), F.col("c").alias("f")).distinct()
-    return docs, classes, stored(_rarest(every, classes), "shared")
+    shared = stored(_rarest(every, classes), "shared")
+    release(known.sparkSession)
+    return docs, classes, shared
 
 
 def link_documents(documents: DataFrame) -> DataFrame:
@@ -541,8 +544,10 @@ def link_documents(documents: DataFrame) -> DataFrame:
     for step, pivots in (("pivots", PIVOTS), ("crossing", None)):
         comps = components(links)
         crossing = stored(_crossing(shared, comps, classes, tested, pivots), step)
+        release(documents.sparkSession)
         links = stored(links.union(verify(crossing, classes, known, step + "-links")), "links")
         tested = stored(tested.union(crossing), "tested")
+        release(documents.sparkSession)
     comps = stored(components(links), "components")
     named = (classes.select("node", "doc_id").join(comps, "node", "left")
              .select("node", "doc_id", F.coalesce("comp", "node").alias("comp")))
