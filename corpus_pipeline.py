@@ -20,7 +20,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medalforge.llm import jaccard, langid, mixing, quality, sampling
-from medalforge.llm.common import stored, table
+from medalforge.llm.common import release, stored, table
+
+
+#: Rows per Arrow batch in the session that runs the pipeline: whole rows with their texts go to the workers and back.
+BATCH_ROWS = 500
+
+
+def _begin(spark: SparkSession) -> None:
+    """Small batches, and no shuffle files of the stage before."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    release(spark)
 
 
 def _packed(docs: DataFrame, *columns: str) -> DataFrame:
@@ -29,18 +39,21 @@ def _packed(docs: DataFrame, *columns: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     # each text goes to the workers once, in small batches; names that the stage adds cannot clash with these
     plain = docs.toDF(*[f"_c{i}" for i in range(len(docs.columns))])
     text = f"_c{docs.columns.index('text')}"
     kept = langid.predict(plain, langid.train(docs), text).where(F.col("lang_pred") != langid.UNKNOWN)
-    return stored(kept.select(*plain.columns).toDF(*docs.columns), "language", batch_rows=500)
+    return kept.select(*plain.columns).toDF(*docs.columns)
 
 
 def apply_quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     return quality.filter_quality(_packed(docs, "doc_id", "text")).where("kept").select("_all.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     rows = stored(mixing.numbered(_packed(docs)), "numbered")
     linked = jaccard.link_documents(rows.select(F.col("_row").alias("doc_id"), "_all.text"))
     copies = linked.where("doc_id != component_id").select(F.col("doc_id").alias("_row"))
@@ -48,10 +61,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     return mixing.take(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _begin(spark)
     return sampling.encode(docs, check=True)
 
 
