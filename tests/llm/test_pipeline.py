@@ -4,7 +4,7 @@ import corpus_pipeline
 from medalforge.llm import jaccard, mixing, sampling
 from tests.conftest import SF001
 
-from .helpers import with_clashes
+from .helpers import awkward, empty, with_clashes
 
 
 def test_stages_in_order_and_their_decisions(spark):
@@ -53,3 +53,15 @@ def test_files_split_otherwise_between_two_scans(spark, monkeypatch, module, nam
     finally:
         spark.conf.set(SPLIT, before)
     assert len(want) > 0 and got == want
+
+
+def test_awkward_and_empty_tables(spark):
+    """Null ids and texts, ties, repeated rows, a long word, a long text; and no rows at all."""
+    for docs in (awkward(spark), empty(spark)):
+        for number, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1], 1):
+            kept = corpus_pipeline.stored(stage(spark, docs, SF001), f"awkward-stage{number}")
+            assert kept.columns == docs.columns and kept.exceptAll(docs).count() == 0 or number == 4
+            docs = kept
+        encoded = corpus_pipeline.STAGES[-1][1](spark, docs, SF001)
+        assert encoded.where("NOT round_trip").count() == 0
+        assert encoded.where("rank = 1").count() == docs.count()
