@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..sources.catalog import Layers
 from .dictionary import KeyDictionary, lasting_dimension
-from .joins import left_join_dim, left_join_dims
+from .joins import fits_broadcast, left_join_dim, left_join_dims
 from .keys import surrogate_key
 from .quality import assert_references, natural_key_report, repeated_keys
 
@@ -107,6 +107,11 @@ REFERENCES = {"sls_prd_key": ("dim_product_info", "product_key", "product_number
               "sls_cust_id": ("dim_customer_info", "customer_key", "customer_id")}
 
 
+def _fact_dims(dim_p: DataFrame, dim_c: DataFrame) -> list[tuple[DataFrame, str, str]]:
+    return [(dim_p.select("product_number", "product_key"), "sls_prd_key", "product_number"),
+            (dim_c.select("customer_id", "customer_key"), "sls_cust_id", "customer_id")]
+
+
 def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
                limit_bytes: int | None = None, seen: Observation | None = None) -> DataFrame:
     """Sales on surrogate keys; unmatched natural keys give NULL surrogate keys.
@@ -114,9 +119,7 @@ def fact_sales(sales: DataFrame, dim_p: DataFrame, dim_c: DataFrame,
     ``seen`` receives, when the fact is written, its rows and per natural key those without one and those without a
     dimension row: the joins have both at hand, so no later pass has to look keys up again.
     """
-    f = left_join_dims(sales, [
-        (dim_p.select("product_number", "product_key"), "sls_prd_key", "product_number"),
-        (dim_c.select("customer_id", "customer_key"), "sls_cust_id", "customer_id")], limit_bytes)
+    f = left_join_dims(sales, _fact_dims(dim_p, dim_c), limit_bytes)
     if seen is not None:
         metrics = [F.count(F.lit(1)).alias("fact_rows")]
         for natural, (_, key, _) in REFERENCES.items():
@@ -191,7 +194,8 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
     The two dimensions do not depend on each other and are built as two
     concurrent Spark jobs; the fact, which reads both, follows. Seconds per
     table (and ``total``) are logged and, if ``timings`` is given, stored in it.
-    ``fact_layout_mode`` is passed to ``fact_layout`` ("rebalance" or "sort").
+    ``fact_layout_mode`` is passed to ``fact_layout`` ("rebalance" or "sort"); a fact whose joins are salted shuffles
+    comes out of them evenly spread, so it is only sorted.
     A failure raises ``GoldBuildError`` naming the table and leaves the published
     build as it was. With ``verify`` the build is checked before it is published:
     no natural key may occur twice in a dimension, and at most a share of ``max_unmatched`` of the
@@ -223,9 +227,15 @@ def build_gold(silver: dict[str, DataFrame], layers: Layers, key_mode: str = "di
             silver["crm_prd_info"], silver["erp_px_cat_g1v1"], key_mode, lasting.get("dim_product_info")))
         out = {"dim_customer_info": dim_c.result(), "dim_product_info": dim_p.result()}
     seen = Observation()
-    out["fact_sales"] = timed("fact_sales", lambda: fact_layout(fact_sales(
-        silver["crm_sales_details"], out["dim_product_info"], out["dim_customer_info"], seen=seen if verify else None),
-        mode=fact_layout_mode))
+
+    def fact() -> DataFrame:
+        dim_p, dim_c = out["dim_product_info"], out["dim_customer_info"]
+        rows = fact_sales(silver["crm_sales_details"], dim_p, dim_c, seen=seen if verify else None)
+        # a salted shuffle join already leaves its rows spread evenly: a REBALANCE would move the whole fact once more
+        spread = not all(fits_broadcast(dim) for dim, _, _ in _fact_dims(dim_p, dim_c))
+        return fact_layout(rows, mode="sort" if spread else fact_layout_mode)
+
+    out["fact_sales"] = timed("fact_sales", fact)
     if verify:
         assert_references(_observed(seen.get, out), max_unmatched=max_unmatched)
     layers.publish(build)

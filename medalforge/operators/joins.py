@@ -25,7 +25,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,13 +111,16 @@ def left_join_dims(fact: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
     if not all(fits):
         wide = [key for (_, key, _), small in zip(dims, fits) if not small]
         hot = hot_keys(fact, wide, hot_fraction)
-        out = fact.withColumn(_ROW, F.monotonically_increasing_id())
+        n = SALTS_PER_TASK * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = {_salt(key): _salted(key, hot[key], n) for key in wide}
+        # all salts are taken from the row number here, so the shuffles carry them (mostly 0), not the number
+        out = fact.withColumn(_ROW, F.monotonically_increasing_id()).withColumns(salts).drop(_ROW)
     for (dim, fact_key, dim_key), small in zip(dims, fits):
         if small:
             out = out.join(F.broadcast(dim), out[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
         else:
-            out = _salted_join(out, dim, fact_key, dim_key, hot[fact_key])
-    return out.drop(_ROW)
+            out = _salted_join(out, dim, fact_key, dim_key, hot[fact_key], n)
+    return out.drop(*[_salt(key) for _, key, _ in dims])
 
 
 def heavy_candidates(fact: DataFrame, keys: Sequence[str], fraction: float) -> tuple[dict[str, int], dict[str, list[str]]]:
@@ -162,16 +165,22 @@ def hot_keys(fact: DataFrame, keys: Sequence[str], fraction: float) -> dict[str,
     return found
 
 
-def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: list[str]) -> DataFrame:
-    """One shuffle join on (key, salt) of a fact with row numbers; ``hot``: key values to spread."""
-    n = SALTS_PER_TASK * int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _salt(fact_key: str) -> str:
+    return f"_salt_{fact_key}"
+
+
+def _salted(fact_key: str, hot: list[str], n: int) -> Column:
+    """A salt below ``n`` from the row number for NULLs and the values in ``hot``, else 0."""
     key = F.col(fact_key)
-    spread = key.isNull() | key.cast("string").isin(hot)
-    salted = fact.withColumn("_salt", F.when(spread, F.pmod(F.xxhash64(_ROW), F.lit(n))).otherwise(F.lit(0)))
+    return F.when(key.isNull() | key.cast("string").isin(hot), F.pmod(F.xxhash64(_ROW), F.lit(n))).otherwise(F.lit(0).cast("bigint"))
+
+
+def _salted_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, hot: list[str], n: int) -> DataFrame:
+    """One shuffle join on (key, salt) of a fact with its salt of ``n``; ``hot``: key values that are spread."""
     every_salt = F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")
     dim_salted = dim.withColumn("_dsalt", F.explode(
         F.when(F.col(dim_key).cast("string").isin(hot), every_salt).otherwise(F.array(F.lit(0).cast("bigint")))))
-    cond = (salted[fact_key] == dim_salted[dim_key]) & (salted["_salt"] == dim_salted["_dsalt"])
+    cond = (fact[fact_key] == dim_salted[dim_key]) & (fact[_salt(fact_key)] == dim_salted["_dsalt"])
     # measured too large to broadcast: keep it a shuffle join on (key, salt)
-    return (salted.join(dim_salted.hint("merge"), cond, "left")
-            .drop(dim_salted[dim_key]).drop("_salt", "_dsalt"))
+    return (fact.join(dim_salted.hint("merge"), cond, "left")
+            .drop(dim_salted[dim_key]).drop("_dsalt"))
