@@ -85,10 +85,16 @@ class SalesPartials:
         self.parts.commit([part], note=note)
         return True
 
-    def merged(self, table: str) -> DataFrame:
-        """The live partials of a table, one row per key, kind and word."""
+    def merged(self, table: str, by_key: bool = False) -> DataFrame:
+        """The live partials of a table, one row per key, kind and word.
+
+        ``by_key`` puts all rows of a key in one partition, so an aggregate by key that follows moves nothing: with many
+        keys hardly any two rows of a task share one, and that aggregate would shuffle nearly every row again. A key has at most one row
+        per 64 members and part, so no key is too much for a task.
+        """
         key = TABLES[table][0].split()[0]
-        return self.read(table).groupBy(key, "kind", "word").agg(
+        rows = self.read(table)
+        return (rows.repartition(key) if by_key else rows).groupBy(key, "kind", "word").agg(
             F.bit_or("mask").alias("mask"), F.sum("sales").cast("decimal(28,2)").alias("sales"), F.sum("quantity").alias("quantity"),
             F.min("first_order").alias("first_order"), F.max("latest_order").alias("latest_order"))
 
@@ -110,7 +116,7 @@ class SalesPartials:
         def members(kind: int, name: str) -> Column:
             return F.coalesce(F.sum(F.when(F.col("kind") == kind, F.bit_count("mask"))), F.lit(0)).cast("long").alias(name)
 
-        return self.merged(table).groupBy(key).agg(
+        return self.merged(table, by_key=table != "month").groupBy(key).agg(
             F.max("sales").alias("sales"), F.max("quantity").alias("quantity"), F.min("first_order").alias("first_order"),
             F.max("latest_order").alias("latest_order"), members(ORDERS, "n_orders"), members(PRODUCTS, "n_products"),
             members(CUSTOMERS, "n_customers"))

@@ -69,3 +69,19 @@ def test_fact_is_rebalanced_only_if_its_joins_did_not_shuffle_it(spark, monkeypa
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert modes == [mode]
+
+
+def test_a_report_of_merged_partials_shuffles_them_once(spark):
+    fact = spark.range(400).selectExpr("'o' || (id % 90) sales_order_number", "id % 7 customer_key", "nullif(id % 11, 3) product_key",
+                                       "date_add(DATE'2001-01-01', cast(id % 60 as int)) order_date",
+                                       "cast(id as decimal(18,2)) sales_amount", "1 quantity")
+    store = SalesPartials(spark, scratch_path(spark, "moves"))
+    store.add(fact.where("order_date < DATE'2001-02-01'"))
+    store.add(fact.where("order_date >= DATE'2001-02-01'"))
+    for table, key, member, n in (("customer", "customer_key", "product_key", "n_products"),
+                                  ("product", "product_key", "customer_key", "n_customers")):
+        got = store.summary(table)
+        assert _plan(got).count("Exchange hashpartitioning") == 1
+        want = fact.groupBy(key).agg(F.sum("sales_amount").cast("decimal(28,2)").alias("sales"), F.count_distinct("sales_order_number").alias("n_orders"),
+                                     F.count_distinct(member).alias(n))
+        assert sorted(got.select(*want.columns).collect(), key=repr) == sorted(want.collect(), key=repr)
