@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
+from medalforge import warehouse
 from medalforge.operators import gold as gold_ops
-from medalforge.operators.joins import left_join_dims
+from medalforge.operators.cleansing import SILVER_SPECS
+from medalforge.operators.joins import heavy_candidates, left_join_dims
 from medalforge.operators.partials import SalesPartials
+from medalforge.plans import reports
 from medalforge.session import scratch_path
 from medalforge.sources import Layers
 from medalforge.sources.fixtures import bronze_table
@@ -85,3 +90,34 @@ def test_a_report_of_merged_partials_shuffles_them_once(spark):
         want = fact.groupBy(key).agg(F.sum("sales_amount").cast("decimal(28,2)").alias("sales"), F.count_distinct("sales_order_number").alias("n_orders"),
                                      F.count_distinct(member).alias(n))
         assert sorted(got.select(*want.columns).collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_the_reports_shuffle_each_fact_row_of_a_light_key_once(spark):
+    rows = spark.range(30000).selectExpr(  # one key holds a third of the rows, 4000 a few each, some none
+        "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 50 > 0 THEN id % 4001 END k", "'o' || (id % 90) a", "nullif(id % 11, 3) b", "id % 5 v")
+    got = reports.by_key(rows, "k", {"n_a": "a", "n_b": "b"}, F.sum("v").alias("s"), F.max("a").alias("m"))
+    want = rows.groupBy("k").agg(F.count_distinct("a").alias("n_a"), F.count_distinct("b").alias("n_b"), F.sum("v").alias("s"), F.max("a").alias("m"))
+    assert got.schema == want.schema
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    heavy = heavy_candidates(rows, ["k"], reports.HEAVY_SHARE)[1]["k"]
+    assert "7" in heavy and len(heavy) < 4000
+    fact = rows.selectExpr("k product_key", "a sales_order_number", "b customer_key", "v sales_amount", "1 quantity", "DATE'2001-01-01' order_date")
+    dim = spark.range(4001).selectExpr("id product_key", "'n' product_name", "'c' category_name", "'s' subcategory_name", "1 product_cost")
+    # copies of rows are made for the heavy keys alone
+    plan = _plan(reports.product_360(fact, dim))
+    assert plan.count("Expand [") == 1 and plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_bronze_and_silver_tables_are_written_side_by_side(monkeypatch):
+    everyone = threading.Barrier(len(SILVER_SPECS), timeout=20)  # breaks unless all writes are under way at once
+
+    class Written:
+        def read(self, layer, name):
+            return name
+
+        def write(self, df, layer, name):
+            everyone.wait()
+            return f"{layer}/{name}"
+
+    monkeypatch.setattr(warehouse, "cleanse", lambda df, spec: df)
+    assert warehouse.silver_step(Written()) == {name: f"silver/{name}" for name in SILVER_SPECS}
