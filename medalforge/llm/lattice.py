@@ -19,6 +19,8 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -145,12 +147,18 @@ class Lattice:
     ``marked``: each string gets the word mark in front.
     """
 
-    def __init__(self, pieces: Pieces, texts: list[str], marked: bool = True):
+    def __init__(self, pieces: Pieces, texts: list[str] | pa.Array, marked: bool = True):
         self.pieces, n = pieces, len(texts)
         mark = MARK if marked else ""
-        joined = "".join([mark + t for t in texts]) if marked else "".join(texts)
+        if isinstance(texts, pa.Array):  # no string object per text
+            spelled = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts.cast(pa.large_string()), pa.scalar(mark, pa.large_string()))
+            lens = pc.utf8_length(spelled).to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.frombuffer(spelled.buffers()[1], np.int64, n + 1)
+            joined = (spelled.buffers()[2] or pa.py_buffer(b"")).to_pybytes()[ends[0]:ends[-1]].decode("utf-8", "surrogatepass")
+        else:
+            lens = np.fromiter(map(len, texts), np.int64, n) + len(mark)
+            joined = "".join([mark + t for t in texts]) if marked else "".join(texts)
         self.points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        lens = np.fromiter(map(len, texts), np.int64, n) + len(mark)
         starts = np.cumsum(lens) - lens
         self.order = np.argsort(-lens, kind="stable")
         self.lens, self.starts = lens[self.order], starts[self.order]

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import encoded, steps, strings, table
-from .lattice import MARK, VOCABULARY, Lattice, Pieces, load_pieces, utf8
+from .lattice import MARK, VOCABULARY, Lattice, Pieces, byte_weights, load_pieces, utf8
 
 SAMPLES = 2
 SEED = 7
@@ -81,30 +81,41 @@ def uniform1(x: int, *parts: int) -> float:
 class Choices(Lattice):
     """Lattices with, at every node, the posterior probabilities of its edges as a cumulative list."""
 
-    def __init__(self, pieces: Pieces, units: list[str], logp: np.ndarray):
+    def __init__(self, pieces: Pieces, units: list[str] | pa.Array, logp: np.ndarray):
         super().__init__(pieces, units)
-        groups, degree = [], np.zeros(self.nodes, np.int64)
-
-        def visit(length, ranks, ids, source, step):
-            degree[source] += 1
-            groups.append((length, ranks, ids, source, step[0]))
-
-        beta = self.backward(logp[None, :], visit)[0]
+        # backward recursion, as in the base class but for one set of probabilities
+        beta = np.full(self.nodes, -np.inf)
+        beta[self.base[self.lens] + np.arange(self.n)] = 0.0
+        degree = np.zeros(self.nodes, np.int64)
+        sources, targets, spelled, steps_ = [], [], [], []
+        for o in range(self.longest - 1, -1, -1):
+            for length, ranks, ids in self.edges_from(o):
+                source, target = self.base[o] + ranks, self.base[o + max(1, length)] + ranks
+                step = beta[target] + (logp[ids] if length else byte_weights(pieces, ids, logp[None, :])[0])
+                beta[source] = np.logaddexp(beta[source], step)
+                degree[source] += 1
+                sources.append(source)
+                targets.append(target)
+                spelled.append(ids if length else -1 - ids)
+                steps_.append(step)
         self.first = np.cumsum(degree) - degree
         self.degree = degree
         size = int(degree.sum())
         self.upto, self.logq = np.empty(size), np.empty(size)
         self.target, self.ids = np.empty(size, np.int64), np.empty(size, np.int64)  # ids < 0: code points in bytes
-        filled, mass = np.zeros(self.nodes, np.int64), np.zeros(self.nodes)
-        for length, ranks, ids, source, step in groups:
-            at = self.first[source] + filled[source]
-            filled[source] += 1
-            logq = step - beta[source]
-            mass[source] += np.exp(logq)
-            self.logq[at], self.upto[at] = logq, mass[source]
-            o = np.searchsorted(self.base, source[0], side="right") - 1
-            self.target[at] = self.base[o + max(1, length)] + ranks
-            self.ids[at] = ids if length else -1 - ids
+        if size:
+            logq = np.concatenate(steps_) - beta[np.concatenate(sources)]
+            share = np.exp(logq)
+            place, mass, done, at = self.first.copy(), np.zeros(self.nodes), 0, []
+            for source in sources:
+                to = place[source]
+                place[source] = to + 1
+                mass[source] += share[done:done + len(source)]
+                self.upto[to] = mass[source]
+                at.append(to)
+                done += len(source)
+            at = np.concatenate(at)
+            self.logq[at], self.target[at], self.ids[at] = logq, np.concatenate(targets), np.concatenate(spelled)
         self.rank = np.empty(self.n, np.int64)
         self.rank[self.order] = np.arange(self.n)
         self.total = np.empty(self.n)
@@ -172,25 +183,28 @@ class _Path:
         self.edges, self.begin, self.value = edges, begin, value
         self.logq = choices.logq[edges]
         self.log_prob = float(self.logq.sum())
+        self.before = np.cumsum(self.logq) - self.logq
         end = min(len(edges), start + _HEAD)
-        self.beside = self._values(value, start, end, key)
+        self.beside = np.full(end, -np.inf)
+        self.beside[start:] = self._values(np.arange(start, end), key)
         if end < len(edges):
             floor = np.sort(self.beside)[-k - 1] if len(self.beside) > k else -np.inf
-            before = np.cumsum(self.logq) - self.logq
-            stop = int(np.searchsorted(-before, _REACH - floor, side="right"))
+            stop = int(np.searchsorted(-self.before, _REACH - floor, side="right"))
             if stop > end:
-                self.beside = self._values(value, start, stop, key)
+                self.beside = np.concatenate([self.beside, np.full(stop - end, -np.inf)])
+                at = np.arange(end, stop)
+                if floor > -np.inf:  # a variate above its location by x needs 1 - u < exp(-x)
+                    u = uniform(hashed(_U(key), at))
+                    at = at[(1 - u) * (1 - 1e-9) <= np.exp(np.minimum(0.0, self.before[end:stop] - floor))]
+                if len(at):
+                    self.beside[at] = self._values(at, key)
         self.best = float(self.beside.max()) if len(self.beside) else -np.inf
 
-    def _values(self, value, start, end, key):
-        logq = self.logq[:end]
-        before = np.cumsum(logq) - logq
+    def _values(self, at, key):
         with np.errstate(divide="ignore"):
-            rest = np.log(np.maximum(0.0, -np.expm1(logq[start:])))
-        u = uniform(hashed(_U(key), np.arange(start, end)))
-        out = np.full(end, -np.inf)
-        out[start:] = np.where(rest > -34, _truncated(before[start:] + rest, value, u), -np.inf)
-        return out
+            rest = np.log(np.maximum(0.0, -np.expm1(self.logq[at])))
+        u = uniform(hashed(_U(key), at))
+        return np.where(rest > -34, _truncated(self.before[at] + rest, self.value, u), -np.inf)
 
 
 def top_k(choices: Choices, key: int, walks, k: int):
@@ -252,7 +266,7 @@ def encode_batch(pieces: Pieces, logp: np.ndarray, texts: pa.Array, keys: np.nda
     lists = pc.split_pattern(texts, " ")
     size = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     codes, distinct = encoded(lists.flatten())
-    choices = Choices(pieces, distinct.to_pylist(), logp)
+    choices = Choices(pieces, distinct, logp)
     ends = np.cumsum(size)
     key = hashed(hashed(np.zeros(len(keys), _U), np.full(len(keys), seed)), keys)
     place = hashed(np.repeat(key, size), np.arange(len(codes)) - np.repeat(ends - size, size))
@@ -269,34 +283,31 @@ def encode_batch(pieces: Pieces, logp: np.ndarray, texts: pa.Array, keys: np.nda
             edges.append(path.edges)
             out.append((row, rank, path.log_prob + base[row], path.value, inclusion))
     ids, count = _ids(choices, np.concatenate(edges))
-    which = np.repeat(np.arange(len(edges)), [len(e) for e in edges])
+    first = np.append(0, np.cumsum([len(e) for e in edges]))
     row, rank, log_prob, value, inclusion = (np.array(x) for x in zip(*out))
-    return row, rank, ids, np.bincount(which, count, minlength=len(edges)).astype(np.int64), log_prob, value, inclusion
+    return row, rank, ids, np.diff(np.append(0, np.cumsum(count))[first]), log_prob, value, inclusion
 
 
-def piece_bytes(pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The bytes that the pieces spell, one after the other, and each one's start and length."""
-    values = _values(pieces)
-    size = np.array([len(v) for v in values], np.int64)
-    return np.frombuffer(b"".join(values), np.uint8), np.cumsum(size) - size, size
+def piece_bytes(pieces: Pieces) -> pa.Array:
+    """The bytes that each piece spells."""
+    return pa.array(_values(pieces), pa.large_binary())
 
 
-def round_trips(spelled, texts: pa.Array, row: np.ndarray, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def round_trips(spelled: pa.Array, texts: pa.Array, row: np.ndarray, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Decodes segmentations (``count`` of ``ids`` each, of the texts ``row``): their bytes without the leading mark, and
     whether they are the text's, byte by byte."""
-    flat, start, size = spelled
-    of = np.repeat(np.arange(len(row)), count)
-    own = np.bincount(of, size[ids], minlength=len(row)).astype(np.int64)
-    each = size[ids]
-    decoded = flat[np.repeat(start[ids] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
+    pieces = spelled.take(pa.array(ids))
+    bounds = np.frombuffer(pieces.buffers()[1], np.int64, len(pieces) + 1)
+    decoded = np.frombuffer(pieces.buffers()[2] or b"", np.uint8)[bounds[0]:bounds[-1]]
+    at = (bounds - bounds[0])[np.append(0, np.cumsum(count))]
+    own = np.diff(at)
     wanted = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), texts, pa.scalar(" ", pa.large_string())).take(pa.array(row))
     ends = np.frombuffer(wanted.buffers()[1], np.int64, len(wanted) + 1)
     same = np.diff(ends) == own
     if same.all():
-        differs = decoded != np.frombuffer(wanted.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
-        same &= np.bincount(np.repeat(np.arange(len(row)), own), differs, minlength=len(row)) == 0
+        differs = np.flatnonzero(decoded != np.frombuffer(wanted.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]])
+        same[np.searchsorted(at, differs, side="right") - 1] = False
     else:  # of different lengths: one by one
-        at = np.append(0, np.cumsum(own))
         same &= np.array([decoded[at[i]:at[i + 1]].tobytes() == wanted[i].as_py().encode("utf-8", "surrogatepass") for i in range(len(row))])
     return own - 1, same
 

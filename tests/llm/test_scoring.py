@@ -172,3 +172,22 @@ def test_a_wrong_segmentation_is_told():
     assert got([a], [b], [a, b]) == [[1, 1, 3], [True, True, True]]
     assert got([a], [a], [b, b]) == [[1, 1, 3], [True, False, False]]
     assert got([a], [a, b], [a]) == [[1, 3, 1], [True, False, False]]
+
+
+def test_encoding_takes_units_as_arrow_and_leaves_no_near_one_of_the_largest_values_out():
+    import pyarrow as pa
+
+    from medalforge.llm.sampling import Choices, _Path, hashed1
+
+    pieces = load_pieces()
+    units = ["the", "", "na\u00efve", "x\u2581y", "\U0001f600" * 3, "abcabcabc" * 40, "plain"]
+    listed, held = Lattice(pieces, units), Lattice(pieces, pa.array(["cut", *units], pa.large_string()).slice(1))
+    assert held.points.tolist() == listed.points.tolist() and held.cls.tolist() == listed.cls.tolist()
+    assert held.reach.tolist() == listed.reach.tolist() and held.base.tolist() == listed.base.tolist()
+    choices = Choices(pieces, pa.array(units), pieces.log_probs())
+    codes = np.array([5, 0, 2, 6] * 30)
+    for seed in range(20):
+        edges, begin = choices.walk(codes, np.arange(len(codes), dtype=np.uint64) + np.uint64(1000 * seed))
+        path = _Path(choices, edges, begin, 0.3, 2, hashed1(seed, 1), 2)
+        every = path._values(np.arange(2, len(edges)), hashed1(seed, 1))
+        assert np.sort(path.beside)[-3:].tolist() == np.sort(every)[-3:].tolist()
