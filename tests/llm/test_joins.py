@@ -249,3 +249,12 @@ def test_unequal_probabilities(spark):
     for group, wanted in {0: 1 / 2, 2: 3 / 2, 1: 2 / 3, 3: 4 / 3}.items():
         assert share[group] == pytest.approx(wanted, abs=0.13)
         assert set(out.copies[out.doc_id % 4 == group]) <= {int(wanted), int(wanted) + 1}
+
+
+def test_stored_tables_are_packed_with_zstd(spark):
+    from medalforge.llm.common import stored
+
+    df = spark.range(50).selectExpr("id", "'t' || id text")
+    back = stored(df, "packed")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    assert back.inputFiles() and all(f.endswith(".zstd.parquet") for f in back.inputFiles())
